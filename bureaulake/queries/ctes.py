@@ -15,12 +15,6 @@ def ladder(expr: str, op: str, pairs: str, otherwise: str) -> str:
     return f"(CASE {whens} ELSE {otherwise}e0 END)"
 
 
-def date_sql(text: str) -> str:
-    token = f"regexp_extract({text}, '^\\s*(\\S+)', 1)"
-    return (f"CAST(coalesce(try_strptime({token}, '%d/%m/%Y'), try_strptime({token}, '%Y/%m/%d'), "
-            f"try_strptime({token}, '%Y-%m-%d')) AS DATE)")
-
-
 CTES: dict[str, str] = {}
 
 CTES["applicant"] = """
