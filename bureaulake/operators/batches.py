@@ -202,6 +202,6 @@ def training_run(results: DataFrame) -> DataFrame:
     ok = F.col("status") == "SUCCESS"
     return results.groupBy("training_id").agg(
         F.count(F.lit(1)).alias("models"), F.count_if(ok).alias("succeeded"),
-        F.round(F.sum("duration_seconds"), 4).alias("total_duration"),
+        F.round(F.sum("duration_seconds"), 6).alias("total_duration"),
     ).withColumn("run_status", F.when(F.col("succeeded") == F.col("models"), F.lit("COMPLETE"))
                  .when(F.col("succeeded") > 0, F.lit("PARTIAL")).otherwise("FAILED"))

@@ -2,15 +2,16 @@
 
 The *facts* table has plain columns, one row per applicant::
 
-    request_id, hit_status, has_45, has_49, birth_date, dependants, has_employer, national_id,
-    delinquency_raw, accounts_in_arrear, arrear_amount, outstanding_debt, instalment_45, instalment_49,
+    request_id, hit_status, has_45, has_49, applicant_age_years (null: unknown), dependants, has_employer,
+    identity_known, delinquency (null: absent), accounts_in_arrear, arrear_amount, outstanding_debt, instalment_45, instalment_49,
     active_accounts, total_accounts, bounced_cheques, judgement_found (null: section absent), has_adverse,
     has_agreements (section present), months_on_time, worst_arrears, current_streak, utilisation,
     credit_age, closed_good, product_diversity, distinct_addresses, mobile_count, mobile_max,
     written_off, charged_off, legal_handover, enquiries_3m, enquiries_12m, enquiries_total
 
 It is built either from relational bureau tables (``plans.facts``) or from nested reports
-(``operators.reports``); the rules below are the same for both.
+(``operators.reports``); the rules below are the same for both.  Texts are parsed before the facts are
+joined, so the thirty feature expressions stay small wherever the optimizer moves them.
 """
 
 from __future__ import annotations
@@ -50,14 +51,14 @@ def _sources() -> dict[str, list[tuple[Column, Column, Column]]]:
     either = F.when(p45 & p49, F.lit("p45+p49")).when(p45, from_45).otherwise(from_49)
 
     rules = {f: [(hit, bin_value(f, col(c)), from_45)] for f, c in PRODUCT_45_BINS.items()}
-    rating = bin_value("highest_delinquency_rating", parse.safe_number(col("delinquency_raw")))
+    rating = bin_value("highest_delinquency_rating", col("delinquency"))
     rules["highest_delinquency_rating"] = [
-        (hit & parse.filled(col("delinquency_raw")), rating, from_45), (thin, rating, from_49)]
+        (hit & col("delinquency").isNotNull(), rating, from_45), (thin, rating, from_49)]
     rules["has_active_arrears"] = [
         (hit & col("accounts_in_arrear").isNotNull(), bins.no_yes(col("accounts_in_arrear") > 0), from_45)]
     rules["has_judgement"] = [(hit & col("judgement_found").isNotNull(), bins.yes_no(col("judgement_found")), from_45)]
     rules["has_adverse_default"] = [(hit, bins.yes_no(col("has_adverse")), from_45)]
-    dependants = bin_value("num_dependants", parse.safe_number(col("dependants")))
+    dependants = bin_value("num_dependants", col("dependants"))
     rules["num_dependants"] = [(hit, dependants, from_45), (thin, dependants, from_49)]
     employer = bins.employer_weight(col("has_employer"))
     rules["has_employer_detail"] = [(hit, employer, from_45), (thin, employer, from_49)]
@@ -71,7 +72,7 @@ def _sources() -> dict[str, list[tuple[Column, Column, Column]]]:
         (p49 | (p45 & col("has_agreements")), bins.yes_no(col("written_off")), either)]
     rules["has_charged_off"] = [(p45 | p49, bins.yes_no(col("charged_off")), either)]
     rules["has_legal_handover"] = [(p45 | p49, bins.yes_no(col("legal_handover")), either)]
-    rules["identity_verified"] = [(p45 & parse.filled(col("national_id")), F.lit(1.0), from_45)]
+    rules["identity_verified"] = [(p45 & col("identity_known"), F.lit(1.0), from_45)]
     rules["applicant_age"] = [
         (p45 & col("applicant_age_years").isNotNull(), bin_value("applicant_age", col("applicant_age_years")), from_45)]
     for feature, fact in (("num_enquiries_3m", "enquiries_3m"), ("num_enquiries_12m", "enquiries_12m")):
@@ -95,11 +96,10 @@ def _gap(feature: str) -> Column | None:
     return None
 
 
-def feature_vector(facts: DataFrame, as_of: dt.date, policy: dict[str, float] | None = None,
-                   impute: bool = True) -> DataFrame:
-    """Facts plus 30 feature columns, ``applicant_age_years`` and ``provenance`` (feature -> source).
+def feature_vector(facts: DataFrame, policy: dict[str, float] | None = None, impute: bool = True) -> DataFrame:
+    """Facts plus 30 feature columns and ``provenance`` (feature -> source).
 
-    Two projections, no shuffle.  ``policy`` maps the imputable features to fill values.
+    One projection, no shuffle.  ``policy`` maps the imputable features to fill values.
     """
     policy = catalog.POLICY_VALUES if policy is None else policy
     values, sources = [], []
@@ -111,9 +111,7 @@ def feature_vector(facts: DataFrame, as_of: dt.date, policy: dict[str, float] |
             rules.append((gap, F.lit(float(policy[feature])), F.lit(tag)))
         values.append(case([(c, v) for c, v, _ in rules]).cast("double").alias(feature))
         sources += [F.lit(feature), case([(c, s) for c, _, s in rules], "missing")]
-    aged = facts.withColumn(
-        "applicant_age_years", F.when(F.col("has_45"), age_years(F.col("birth_date"), as_of)))
-    return aged.select("*", *values, F.create_map(*sources).alias("provenance"))
+    return facts.select("*", *values, F.create_map(*sources).alias("provenance"))
 
 
 def _sources_ordered():
@@ -173,7 +171,7 @@ def score(vectors: DataFrame, flow: str = "training", fix_polarity: bool = False
     age = F.col("applicant_age_years")
     bounced = F.col("bounced_cheques") if fix_polarity else None
     groups = scoring.group_scores(features, age, bounced)
-    raw = parse.safe_number(F.col("delinquency_raw")) if raw_delinquency_stop else None
+    raw = scoring.zero(F.col("delinquency")) if raw_delinquency_stop else None
     no_ratio = F.lit(None).cast("double")
 
     scored = vectors.withColumns({

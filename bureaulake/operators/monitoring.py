@@ -75,50 +75,53 @@ def verdict(scores: DataFrame) -> DataFrame:
 
 
 def age_group(weight: Column) -> Column:
-    """Nearest age-bin weight within 0.05, else UNKNOWN; on equal distance the first in catalog order."""
-    candidates = F.array(*[
-        F.struct(F.abs(F.lit(w) - weight).alias("d"), F.lit(i).alias("i"), F.lit(name).alias("name"))
-        for i, (w, name) in enumerate(catalog.AGE_GROUPS.items())])
-    nearest = F.array_min(candidates)
-    return F.when(nearest["d"] < 0.05, nearest["name"]).otherwise("UNKNOWN")
+    """Nearest age-bin weight closer than 0.05, else UNKNOWN.
 
+    Only the centres 0.65 and 0.70 are near enough to each other to compete; they part at 0.675.
+    """
+    def near(centre):
+        return F.abs(weight - centre) < 0.05
 
-def _shown(group: str) -> Column:
-    return ~F.col(group).isin("INELIGIBLE", "UNKNOWN")
-
+    near_by = {centre: near(centre) for centre in catalog.AGE_GROUPS}
+    near_by[0.70] = near(0.70) & (weight >= 0.675)
+    return case([(near_by[centre], name) for centre, name in catalog.AGE_GROUPS.items()], "UNKNOWN")
 
-def group_rates(df: DataFrame, minimum: int = 10) -> DataFrame:
-    """Positive rate per group with enough rows; expects ``age_group, predicted``."""
-    return df.filter(_shown("age_group")).groupBy("age_group").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("predicted").alias("positive_rate")).filter(F.col("n") >= minimum)
 
+def group_table(df: DataFrame) -> DataFrame:
+    """One row per age group from ``age_group, actual, predicted``: all that both checks need.
 
-def disparate_impact(df: DataFrame) -> DataFrame:
-    spread = group_rates(df).agg(F.count(F.lit(1)).alias("groups"), F.min("positive_rate").alias("low"),
-                                 F.max("positive_rate").alias("high"))
+    Groups that are not shown are marked, not filtered: a filter on the group would be pushed down to the rows
+    and repeat the whole derivation of the group there.
+    """
+    positive = F.col("actual") == 1
+    return df.groupBy("age_group").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("predicted").alias("positive_rate"), F.count_if(positive).alias("positives"),
+        F.count_if(positive & (F.col("predicted") == 0)).alias("missed"),
+    ).withColumns({
+        "shown": ~F.col("age_group").isin("INELIGIBLE", "UNKNOWN"),
+        "fnr": F.round(F.col("missed") / F.when(F.col("positives") > 0, F.col("positives")), 4)})
+
+
+def disparate_impact(groups: DataFrame, minimum: int = 10) -> DataFrame:
+    """Lowest over highest positive rate among groups with enough rows; takes :func:`group_table`."""
+    rate = F.when(F.col("shown") & (F.col("n") >= minimum), F.col("positive_rate"))
+    spread = groups.agg(F.count(rate).alias("groups"), F.min(rate).alias("low"), F.max(rate).alias("high"))
     ratio = F.when((F.col("groups") < 2) | (F.col("high") <= 0), F.lit(1.0)).otherwise(
         F.col("low") / F.when(F.col("high") > 0, F.col("high")))
     return spread.select("groups", F.round(ratio, 4).alias("di_ratio"), (ratio < catalog.IMPACT_RATIO_MIN).alias("di_violation"))
 
 
-def group_misses(df: DataFrame, minimum: int = 5) -> DataFrame:
-    """False-negative rate per group with enough positives; expects ``age_group, actual, predicted``."""
-    positive = F.col("actual") == 1
-    return df.filter(_shown("age_group")).groupBy("age_group").agg(
-        F.count_if(positive).alias("positives"), F.count_if(positive & (F.col("predicted") == 0)).alias("missed")
-    ).filter(F.col("positives") >= minimum).select(
-        "age_group", "positives", F.round(F.col("missed") / F.col("positives"), 4).alias("fnr"))
-
-
-def equal_opportunity(df: DataFrame) -> DataFrame:
-    spread = group_misses(df).agg(F.count(F.lit(1)).alias("groups"), (F.max("fnr") - F.min("fnr")).alias("gap"))
+def equal_opportunity(groups: DataFrame, minimum: int = 5) -> DataFrame:
+    """Widest gap of false-negative rates among groups with enough positives; takes :func:`group_table`."""
+    rate = F.when(F.col("shown") & (F.col("positives") >= minimum), F.col("fnr"))
+    spread = groups.agg(F.count(rate).alias("groups"), (F.max(rate) - F.min(rate)).alias("gap"))
     gap = F.when(F.col("groups") < 2, F.lit(0.0)).otherwise(F.col("gap"))
     return spread.select("groups", F.round(gap, 4).alias("max_gap"), (gap > catalog.FNR_GAP_MAX).alias("eo_violation"))
 
 
-def fairness_report(df: DataFrame) -> DataFrame:
+def fairness_report(groups: DataFrame) -> DataFrame:
     """Both checks in one row."""
-    impact, chance = disparate_impact(df).drop("groups"), equal_opportunity(df).drop("groups")
-    return impact.crossJoin(chance).select(
+    impact, chance = disparate_impact(groups).drop("groups"), equal_opportunity(groups).drop("groups")
+    return impact.crossJoin(F.broadcast(chance)).select(  # one row each
         "*", (F.col("di_violation").cast("int") + F.col("eo_violation").cast("int")).alias("violations"),
         (~F.col("di_violation") & ~F.col("eo_violation")).alias("passed"))

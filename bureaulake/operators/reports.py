@@ -13,6 +13,7 @@ from bureaulake import catalog
 from bureaulake.catalog import AsOf
 from bureaulake.functions import accounts as acc
 from bureaulake.functions import parse
+from bureaulake.operators.features import age_years
 
 # Canonical field -> other names it may arrive under, in order of preference.
 AGREEMENT_ALIASES = {
@@ -245,13 +246,12 @@ def facts(reports: DataFrame, as_of: AsOf = AsOf(), payload: str = "payload") ->
     no_arrears = F.lit(0).cast("long")
     out = base.select(
         *[c for c in reports.columns if c != payload], "hit_status", "has_45", "has_49",
-        x45["birth_date"].alias("birth_date"),
-        F.coalesce(F.when(F.col("has_45"), x45["dependants"]), thin["thin_dependants"])
-        .cast("string").alias("dependants"),
+        F.when(F.col("has_45"), age_years(x45["birth_date"], as_of.birth)).alias("applicant_age_years"),
+        F.coalesce(F.when(F.col("has_45"), x45["dependants"]), thin["thin_dependants"]).alias("dependants"),
         F.coalesce(F.when(F.col("has_45"), x45["has_employer_detail"]), thin["thin_has_employer"]).alias("has_employer"),
-        x45["national_id_no"].alias("national_id"),
+        x45["has_national_id_input"].alias("identity_known"),
         F.when(F.col("has_45"), F.when(x45["has_highest_delinquency_input"], x45["highest_delinquency_rating_raw"]))
-        .otherwise(thin["thin_rating"]).cast("string").alias("delinquency_raw"),
+        .otherwise(thin["thin_rating"]).alias("delinquency"),
         F.when(x45["has_total_account_in_arrear_input"], x45["total_account_in_arrear_ghs"]).alias("accounts_in_arrear"),
         x45["total_arrear_amount_ghs"].alias("arrear_amount"),
         x45["total_outstanding_debt_ghs"].alias("outstanding_debt"),

@@ -113,9 +113,23 @@ def enquiry_facts(merged: DataFrame, as_of: AsOf = AsOf()) -> DataFrame:
         F.count(F.lit(1)).alias("enquiries_total"))
 
 
+def parsed_applicants(people: DataFrame, as_of: AsOf = AsOf()) -> DataFrame:
+    """Personal details as numbers and flags; the age counts only with a full report."""
+    c, full = F.col, F.col("status_45") == 200
+    rating = c("delinquency_raw")
+    return people.select(
+        "applicant_id", "request_id", hit_status(c("status_45"), c("status_49")).alias("hit_status"),
+        full.alias("has_45"), (c("status_49") == 200).alias("has_49"),
+        F.when(full, features.age_years(c("birth_date"), as_of.birth)).alias("applicant_age_years"),
+        parse.safe_number(c("dependants")).alias("dependants"), parse.filled(c("employer")).alias("has_employer"),
+        parse.filled(c("national_id")).alias("identity_known"),
+        F.when(parse.filled(rating), parse.safe_number(rating)).alias("delinquency"),
+        "judgement_found", "has_adverse", "bounced_cheques", "instalment_49")
+
+
 def applicant_facts(spark: SparkSession, sf_dir: str, as_of: AsOf = AsOf()) -> DataFrame:
     """The facts table: all inputs are reduced to one row per applicant before they meet."""
-    people = views.applicants(spark, sf_dir)
+    people = parsed_applicants(views.applicants(spark, sf_dir), as_of)
     account = account_facts(views.accounts(spark, sf_dir), as_of)
     # The payment history hangs on the first agreement, which the account pass already found.
     codes = views.month_codes(F.col("first_account"), F.col("applicant_id"))
@@ -136,11 +150,7 @@ def applicant_facts(spark: SparkSession, sf_dir: str, as_of: AsOf = AsOf()) -> D
         return F.coalesce(F.col(name), F.lit(0.0)).alias(alias or name)
 
     return joined.select(
-        "applicant_id", "request_id", hit_status(F.col("status_45"), F.col("status_49")).alias("hit_status"),
-        (F.col("status_45") == 200).alias("has_45"), (F.col("status_49") == 200).alias("has_49"),
-        "birth_date", "dependants", parse.filled(F.col("employer")).alias("has_employer"), "national_id",
-        "delinquency_raw", "judgement_found", "has_adverse", F.lit(True).alias("has_agreements"),
-        "bounced_cheques", "instalment_49",
+        *people.columns, F.lit(True).alias("has_agreements"),
         amount("utilisation"), count("credit_age"), count("closed_good"), count("total_accounts"),
         count("active_accounts"), count("accounts_in_arrear"), amount("arrear_amount"),
         amount("debt", "outstanding_debt"), amount("mobile_max"), (amount("debt") / 24).alias("instalment_45"),
@@ -154,7 +164,7 @@ def applicant_facts(spark: SparkSession, sf_dir: str, as_of: AsOf = AsOf()) -> D
 
 
 def feature_table(spark: SparkSession, sf_dir: str, as_of: AsOf = AsOf(), impute: bool = True) -> DataFrame:
-    return features.feature_vector(applicant_facts(spark, sf_dir, as_of), as_of.birth, impute=impute)
+    return features.feature_vector(applicant_facts(spark, sf_dir, as_of), impute=impute)
 
 
 def decisions(spark: SparkSession, sf_dir: str, flow: str = "training", as_of: AsOf = AsOf(), **options) -> DataFrame:

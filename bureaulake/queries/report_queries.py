@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bureaulake import catalog
-from bureaulake.catalog import AsOf
 from bureaulake.functions import parse
 from bureaulake.operators import batches, features, reports
 from bureaulake.queries.ctes import FEATURE_NAMES, sql
@@ -175,7 +174,7 @@ def report_decisions(spark, d):
     """The nested path end to end: JSON text to decision, without a shuffle."""
     normal = _normal(spark, d).withColumn("request_id", F.concat(F.lit("REQ-"), "key")).drop("key")
     facts = reports.facts(normal)
-    scored = features.score(features.feature_vector(facts, AsOf().birth))
+    scored = features.score(features.feature_vector(facts))
     return scored.select("request_id", "hit_status", "hard_stop_code", "credit_score", "score_grade", "decision",
                          F.array_join("decision_reason_codes", ",").alias("decision_reason_codes"))
 
