@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["scoring_queries", "report_queries", "decision_queries", "profile_queries", "monitoring_queries", "file_queries", "streaming_queries"]
+MODULES = ["scoring_queries", "report_queries", "decision_queries", "profile_queries", "monitoring_queries", "file_queries", "streaming_queries", "model_queries"]
 
 
 def _merged(attribute: str) -> dict:
