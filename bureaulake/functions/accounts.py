@@ -55,28 +55,45 @@ def has_status(code: Column, wanted: str, when: Column | None = None) -> Column:
 
 
 def default_signals(code: Column, arrears: Column, position: Column) -> dict[str, Column]:
-    """Partial signals for the default flag; :func:`default_flag` turns them into the label."""
+    """Partial signals for the default flag; :func:`default_flag` turns them into the label.
+
+    The first excluded account is kept as one lowest position per excluding status.  Numbers and flags are
+    fixed-width states, which lets the whole aggregation run hash-based instead of sorting.
+    """
     code, arrears = status(code), parse.whole(arrears)
     defaulted = code.isin(catalog.ADVERSE_STATUS) | ((code == "A") & (arrears >= 3))
     undecided = (code == "") | ((code == "A") & arrears.isin(1, 2))
     return {
         "n_accounts": F.count(F.lit(1)),
-        "first_excluded": F.min_by(code, F.when(code.isin(catalog.EXCLUDED_STATUS), position)),
+        **{f"first_{s}": F.min(F.when(code == s, position)) for s in catalog.EXCLUDED_STATUS},
         "saw_default": any_of(defaulted),
         "saw_decided": any_of(~undecided),
     }
 
 
-def default_flag(n_accounts: Column, first_excluded: Column, saw_default: Column, saw_decided: Column) -> Column:
-    keep = (F.coalesce(n_accounts, F.lit(0)) > 0) & first_excluded.isNull()
-    return F.when(keep & saw_default, F.lit(1)).when(keep & saw_decided, F.lit(0))
+SIGNALS = ["n_accounts", *[f"first_{s}" for s in catalog.EXCLUDED_STATUS], "saw_default", "saw_decided"]
+
+
+def first_excluded() -> Column:
+    """Excluding status with the lowest position among the signal columns, or null."""
+    firsts = [F.when(F.col(f"first_{s}").isNotNull(), F.struct(F.col(f"first_{s}").alias("p"), F.lit(s).alias("code")))
+              for s in catalog.EXCLUDED_STATUS]
+    return F.array_min(F.array_compact(F.array(*firsts)))["code"]
 
 
-def default_exclusion(n_accounts: Column, first_excluded: Column, saw_default: Column, saw_decided: Column) -> Column:
+def default_flag() -> Column:
+    """1 defaulted, 0 not, null when excluded or undecided; over columns named as in :data:`SIGNALS`."""
+    excluded = F.coalesce(*[F.col(f"first_{s}") for s in catalog.EXCLUDED_STATUS]).isNotNull()
+    keep = (F.coalesce("n_accounts", F.lit(0)) > 0) & ~excluded
+    return F.when(keep & F.col("saw_default"), F.lit(1)).when(keep & F.col("saw_decided"), F.lit(0))
+
+
+def default_exclusion() -> Column:
+    """Why there is no default flag, or null; over columns named as in :data:`SIGNALS`."""
     return (
-        F.when(F.coalesce(n_accounts, F.lit(0)) == 0, F.lit("NO_ACCOUNTS"))
-        .when(first_excluded.isNotNull(), F.concat(F.lit("EXCLUDED_STATUS_"), first_excluded))
-        .when(~saw_default & ~saw_decided, F.lit("AMBIGUOUS_ACTIVE_1_2_ARREARS"))
+        F.when(F.coalesce("n_accounts", F.lit(0)) == 0, F.lit("NO_ACCOUNTS"))
+        .when(first_excluded().isNotNull(), F.concat(F.lit("EXCLUDED_STATUS_"), first_excluded()))
+        .when(~F.col("saw_default") & ~F.col("saw_decided"), F.lit("AMBIGUOUS_ACTIVE_1_2_ARREARS"))
     )
 
 
@@ -121,17 +138,16 @@ def streak_over_histories(position: Column, lead: Column, length: Column) -> dic
     """Partial aggregates for a streak that runs over histories at dense positions 1..n and never reopens.
 
     All histories before the first broken one count in full, so the broken one with the lowest position
-    is all that is needed besides the total length.
+    is all that is needed besides the total length.  Position and lead share one number, a fixed-width state.
     """
-    broken = lead < length
     return {
-        "first_broken": F.min(F.when(broken, F.struct(position.alias("p"), lead.alias("lead")))),
+        "first_broken": F.min(F.when(lead < length, position.cast("long") * 1000 + lead)),
         "total_months": F.sum(length),
         "months_per_history": F.max(length),
     }
 
 
 def streak(first_broken: Column, total_months: Column, months_per_history: Column) -> Column:
+    position, lead = F.floor(first_broken / 1000), first_broken % 1000
     return F.when(first_broken.isNull(), F.coalesce(total_months, F.lit(0))).otherwise(
-        (first_broken["p"] - 1) * months_per_history + first_broken["lead"]
-    )
+        (position - 1) * months_per_history + lead)

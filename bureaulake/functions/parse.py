@@ -35,26 +35,28 @@ def non_blank(*candidates: Column) -> Column:
 
 
 def first_token(text: Column) -> Column:
-    return F.regexp_extract(text, r"^\s*(\S+)", 1)
+    """Text up to the first white space, without leading white space."""
+    return F.substring_index(F.trim(F.translate(text, "\t\n\r", "   ")), " ", 1)
 
 
 def parse_date(text: Column) -> Column:
     """First token as a date in one of three layouts, else null.
 
-    The layout is picked by shape first, so every value goes through one parse attempt at most.
+    The position of the first separator picks the layout, so a value goes through one parse attempt at most.
     """
     token = first_token(text)
+    slash, dash = F.instr(token, "/"), F.instr(token, "-")
     return (
-        F.when(token.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(token, "d/M/yyyy"))
-        .when(token.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$"), F.try_to_date(token, "yyyy/M/d"))
-        .when(token.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(token, "yyyy-M-d"))
+        F.when(slash == 5, F.try_to_date(token, "yyyy/M/d"))
+        .when(slash.isin(2, 3), F.try_to_date(token, "d/M/yyyy"))
+        .when(dash == 5, F.try_to_date(token, "yyyy-M-d"))
     )
 
 
 def day_first_date(text: Column) -> Column:
     """Birth dates come in one layout only."""
     token = first_token(text)
-    return F.when(token.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(token, "d/M/yyyy"))
+    return F.when(F.instr(token, "/").isin(2, 3), F.try_to_date(token, "d/M/yyyy"))
 
 
 def months_between_calendar(later, earlier: Column) -> Column:

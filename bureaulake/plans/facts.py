@@ -19,65 +19,37 @@ def hit_status(status_45, status_49):
 
 
 def account_facts(accounts: DataFrame, as_of: AsOf = AsOf()) -> DataFrame:
-    """Every per-applicant account measure from one shuffle of partially aggregated rows.
+    """Every per-applicant account measure in one aggregation.
 
-    Text sets (product types, addresses) are reduced in a second pass over distinct values only.
+    Sums, extremes and flags combine map-side.  The two distinct counts are spread over (applicant, value) before
+    they meet, so an applicant with a very large share of the accounts stays harmless.
     """
     c = F.col
     code, arrears, opening = c("status_code"), c("months_in_arrears"), c("opening_balance")
-    # Reduce to one row per (applicant, type, address) first: sums and extremes are partial results there,
-    # and both distinct counts become plain set sizes over few rows in the second step.
-    opened = parse.parse_date(c("date_opened"))
     in_45, in_49 = c("in_45"), c("in_49")
-    usable = in_45 & (opening > 0)
-    signals = acc.default_signals(code, arrears, F.when(in_45, c("account_id")).otherwise(c("account_id") + (1 << 60)))
-    partial = accounts.groupBy(
-        "applicant_id", acc.normal_text(F.when(in_45, c("account_type"))).alias("type_text"),
-        acc.normal_text(F.when(in_45, c("address"))).alias("address_text"),
-    ).agg(
-        F.sum(F.when(usable, c("current_balance") / opening)).alias("ratio_sum"),
-        F.count_if(usable).alias("ratio_n"),
-        acc.oldest(opened, in_45).alias("oldest"),
+    # Agreements come before mobile facilities where the first of something counts.
+    position = F.when(in_45, c("account_id")).otherwise(c("account_id") + (1 << 60))
+    total = accounts.groupBy("applicant_id").agg(
+        acc.utilisation(c("current_balance"), opening, in_45).alias("utilisation"),
+        acc.oldest(parse.parse_date(c("date_opened")), in_45).alias("oldest"),
         acc.closed_good(code, c("closed_date"), in_45).alias("closed_good"),
         F.count_if(in_45).alias("total_accounts"),
         F.count_if(in_45 & (acc.status(code) == "A")).alias("active_accounts"),
         F.count_if(in_45 & (arrears > 0)).alias("accounts_in_arrear"),
-        F.sum(F.when(in_45, arrears)).alias("arrears_sum"),
+        (F.sum(F.when(in_45, arrears)) * 50.0).alias("arrear_amount"),
         F.max(F.when(in_45, arrears)).alias("arrears_max"),
         F.sum(F.when(in_45, opening * (c("applicant_id") % 8) / 200)).alias("debt"),
         F.min(F.when(in_45, c("account_id"))).alias("first_account"),
         F.count_if(in_49).alias("mobile_count"),
         F.max(F.when(in_49, opening * (F.floor(c("applicant_id") / 10) % 9) / 600)).alias("mobile_max"),
-        *[acc.has_status(code, s).alias(f"status_{s}") for s in ("W", "G", "L")],
-        signals["n_accounts"].alias("n_accounts"),
-        F.min(F.when(acc.status(code).isin(catalog.EXCLUDED_STATUS), F.struct(
-            F.when(in_45, c("account_id")).otherwise(c("account_id") + (1 << 60)).alias("p"),
-            acc.status(code).alias("code")))).alias("excluded"),
-        signals["saw_default"].alias("saw_default"), signals["saw_decided"].alias("saw_decided"),
+        F.count_distinct(acc.normal_text(F.when(in_45, c("account_type")))).alias("product_diversity"),
+        F.count_distinct(acc.normal_text(F.when(in_45, c("address")))).alias("distinct_addresses"),
+        *[acc.has_status(code, s).alias(n)
+          for s, n in (("W", "written_off"), ("G", "charged_off"), ("L", "legal_handover"))],
+        *[signal.alias(n) for n, signal in acc.default_signals(code, arrears, position).items()],
         acc.max_repaid_loan(code, opening).alias("max_repaid"),
     )
-    total = partial.groupBy("applicant_id").agg(
-        F.sum("ratio_sum").alias("ratio_sum"), F.sum("ratio_n").alias("ratio_n"), F.min("oldest").alias("oldest"),
-        *[F.sum(n).alias(n) for n in ("closed_good", "total_accounts", "active_accounts", "accounts_in_arrear",
-                                      "arrears_sum", "debt", "mobile_count", "n_accounts")],
-        *[F.max(n).alias(n) for n in ("arrears_max", "mobile_max", "max_repaid")],
-        F.min("first_account").alias("first_account"),
-        *[F.bool_or(f"status_{s}").alias(f"status_{s}") for s in ("W", "G", "L")],
-        F.min("excluded").alias("excluded"),
-        F.bool_or("saw_default").alias("saw_default"), F.bool_or("saw_decided").alias("saw_decided"),
-        F.count_distinct("type_text").alias("product_diversity"),
-        F.count_distinct("address_text").alias("distinct_addresses"),
-    )
-    ratio = F.when(c("ratio_n") > 0, c("ratio_sum") / c("ratio_n")).otherwise(0.0)
-    return total.select(
-        "applicant_id", F.least(F.greatest(ratio, F.lit(0.0)), F.lit(1.2)).alias("utilisation"),
-        acc.credit_age(c("oldest"), as_of.accounts).alias("credit_age"),
-        "closed_good", "total_accounts", "active_accounts", "accounts_in_arrear", "arrears_max", "debt",
-        (c("arrears_sum") * 50.0).alias("arrear_amount"), "first_account", "mobile_count", "mobile_max", "max_repaid",
-        "product_diversity", "distinct_addresses", "n_accounts", c("excluded.code").alias("first_excluded"),
-        "saw_default", "saw_decided",
-        c("status_W").alias("written_off"), c("status_G").alias("charged_off"), c("status_L").alias("legal_handover"),
-    )
+    return total.withColumn("credit_age", acc.credit_age(c("oldest"), as_of.accounts)).drop("oldest")
 
 
 def payment_facts(histories: DataFrame) -> DataFrame:
@@ -155,7 +127,7 @@ def applicant_facts(spark: SparkSession, sf_dir: str, as_of: AsOf = AsOf()) -> D
         count("active_accounts"), count("accounts_in_arrear"), amount("arrear_amount"),
         amount("debt", "outstanding_debt"), amount("mobile_max"), (amount("debt") / 24).alias("instalment_45"),
         count("mobile_count"), count("product_diversity"), count("distinct_addresses"), "max_repaid",
-        count("n_accounts"), "first_excluded",
+        count("n_accounts"), *[f"first_{s}" for s in catalog.EXCLUDED_STATUS],
         *[F.coalesce(F.col(n), F.lit(False)).alias(n)
           for n in ("saw_default", "saw_decided", "written_off", "charged_off", "legal_handover")],
         count("months_on_time"), count("worst_arrears"), count("current_streak"),

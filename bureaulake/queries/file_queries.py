@@ -56,7 +56,12 @@ def scan_tsv(spark, d):
     return rows.withColumn("customer_id", F.col("customer_id").try_cast("long"))
 
 
-_NESTED = T.StructType.fromDDL("id BIGINT, who STRUCT<name STRING, contact STRUCT<email STRING>>, tags ARRAY<STRING>")
+def _struct(**fields):
+    return T.StructType([T.StructField(n, kind) for n, kind in fields.items()])
+
+
+_TEXT = T.StringType()
+_NESTED = _struct(id=T.LongType(), who=_struct(name=_TEXT, contact=_struct(email=_TEXT)), tags=T.ArrayType(_TEXT))
 
 
 def _nested(spark, d):
@@ -149,25 +154,25 @@ def row_count_estimate(spark, d):
 
 @query("scan_dispatch")
 def scan_dispatch(spark, d):
-    """Each folder by its detected format, the format of its name when that yields nothing; united by name."""
+    """Each folder by its detected format and delimiter; compressed text falls back to delimited text."""
     path = _drop_folder(spark, d)
     scored = files.score_formats(files.introspect(files.probe(files.list_files(spark, path, "part-*"))))
     by_folder = scored.groupBy(F.element_at(F.split("path", "/"), -2).alias("folder")).agg(
-        F.max("format").alias("format"), F.max("fallback").alias("fallback"), F.max("compression").alias("compression"))
+        F.max("format").alias("format"), F.max("compression").alias("compression"), F.max(F.get("delimiters", F.lit(0))).alias("sep"))
     columns = ["customer_id", "segment", "nation"]
-    schema = T.StructType.fromDDL("customer_id STRING, segment STRING, nation STRING")
+    schema = _struct(customer_id=_TEXT, segment=_TEXT, nation=_TEXT)
     readers = {
-        "parquet": lambda p: spark.read.parquet(p).select(*[F.col(c).cast("string") for c in columns]),
-        "csv": lambda p: files.read_delimited(spark, p, columns),
-        "tsv": lambda p: files.read_delimited(spark, p, columns, sep="\t"),
-        "json": lambda p: files.read_json(spark, p, schema),
-        "jsonl": lambda p: files.read_json(spark, p, schema),
-        "txt": lambda p: spark.read.text(p).select(F.lit(None).cast("string").alias("customer_id"), F.col("value").alias("segment"), F.lit(None).cast("string").alias("nation")),
+        "parquet": lambda p, _: spark.read.parquet(p).select(*[F.col(c).cast("string") for c in columns]),
+        "csv": lambda p, sep: files.read_delimited(spark, p, columns, sep=sep or ","),
+        "tsv": lambda p, sep: files.read_delimited(spark, p, columns, sep=sep or "\t"),
+        "json": lambda p, _: files.read_json(spark, p, schema),
+        "jsonl": lambda p, _: files.read_json(spark, p, schema),
+        "txt": lambda p, _: spark.read.text(p).select(F.lit(None).cast("string").alias("customer_id"), F.col("value").alias("segment"), F.lit(None).cast("string").alias("nation")),
     }
     loaded = None
     for row in sorted(by_folder.collect()):  # one row per upload folder
         kind = row["format"] if not row["compression"] else "csv"
-        rows = readers[kind](f"{path}/{row['folder']}").withColumn("folder", F.lit(row["folder"]))
+        rows = readers[kind](f"{path}/{row['folder']}", row["sep"]).withColumn("folder", F.lit(row["folder"]))
         loaded = rows if loaded is None else loaded.unionByName(rows)
     return loaded.groupBy("folder").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("segment").alias("segments"))
 

@@ -106,10 +106,9 @@ def trailing_7d(spark, d):
 def judged(spark, d):
     """Age group, default flag and thresholded model output per applicant."""
     vectors = facts.feature_table(spark, d).join(views.predictions(spark, d).drop("request_id"), "applicant_id")
-    signals = [F.col(n) for n in ("n_accounts", "first_excluded", "saw_default", "saw_decided")]
     return vectors.select(
         "request_id", "applicant_age", monitoring.age_group(F.col("applicant_age")).alias("age_group"),
-        acc.default_flag(*signals).alias("actual"), (F.col("probability_of_default") >= 0.5).cast("int").alias("predicted"))
+        acc.default_flag().alias("actual"), (F.col("probability_of_default") >= 0.5).cast("int").alias("predicted"))
 
 
 _JUDGED = f"""SELECT request_id, CASE WHEN applicant_age IS NULL THEN 'UNKNOWN' WHEN applicant_age = 0 THEN 'INELIGIBLE' WHEN applicant_age = 0.7e0 THEN 'YOUNG' WHEN applicant_age = 1 THEN 'PRIME'

@@ -103,9 +103,7 @@ def default_flag(spark, d):
     signals = acc.default_signals(F.col("status_code"), F.col("months_in_arrears"), position)
     rows = views.accounts(spark, d).filter("in_45 or in_49").groupBy("applicant_id").agg(
         *[s.alias(n) for n, s in signals.items()])
-    cols = [F.col(n) for n in signals]
-    return rows.select("applicant_id", acc.default_flag(*cols).alias("default_flag"),
-                       acc.default_exclusion(*cols).alias("exclusion_reason"))
+    return rows.select("applicant_id", acc.default_flag().alias("default_flag"), acc.default_exclusion().alias("exclusion_reason"))
 
 
 @query("max_successful_loan", sql("SELECT applicant_id, max_repaid AS max_successful_loan FROM account_fact"))
@@ -304,10 +302,9 @@ def targets(spark, d):
 def training_rows(spark, d):
     """Features, targets and metadata of every applicant."""
     scored = _with_income(facts.decisions(spark, d))
-    signals = [F.col(n) for n in ("n_accounts", "first_excluded", "saw_default", "saw_decided")]
     return features.coverage(scored).withColumns({
-        "default_flag": acc.default_flag(*signals),
-        "default_flag_exclusion_reason": acc.default_exclusion(*signals),
+        "default_flag": acc.default_flag(),
+        "default_flag_exclusion_reason": acc.default_exclusion(),
         "max_successful_loan_ghs": F.col("max_repaid"),
         "income_tier": features.income_class(F.col("income_tier_proxy")),
         "product_source": features.product_source(),

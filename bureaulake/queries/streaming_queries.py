@@ -67,7 +67,8 @@ def _messages(spark, d):
 @query("stream_collect", sql("SELECT rid AS request_id, state FROM got", **dq._COL))
 def stream_collect(spark, d):
     """Two-phase collection over four micro-batches; ends where the batch collector ends."""
-    stream = jobs.staged(_messages(spark, d), 4, "model_type", "messages")
+    messages = _messages(spark, d)
+    stream = jobs.staged(messages, F.pmod(F.xxhash64("request_id", "model_type"), F.lit(4)), 4, "messages")
     reached = jobs.final_states(jobs.rows(jobs.collect(stream), "collect"))
     asked = dq.contexts(spark, d).select("request_id")
     return asked.join(reached, "request_id", "left").select("request_id", F.coalesce("state", F.lit("waiting")).alias("state"))
@@ -76,7 +77,9 @@ def stream_collect(spark, d):
 @query("stream_timeout")
 def stream_timeout(spark, d):
     """Requests whose results did not come within 300 seconds of the last message, by event time."""
-    stream = jobs.staged(_messages(spark, d), 4, "at_ms", "timed-messages")
+    messages = _messages(spark, d)
+    last = messages.agg(F.max("at_ms").alias("m")).first()["m"]
+    stream = jobs.staged(messages, F.floor(F.col("at_ms") * 4 / (last + 1)), 4, "timed-messages")
     found = jobs.rows(jobs.collect(stream, timeout_ms=300_000, delay="1 minute"), "timeout")
     return found.groupBy("state", "missing").agg(F.count(F.lit(1)).alias("n"))
 
@@ -146,7 +149,7 @@ def stream_drift(spark, d):
 def stream_audit(spark, d):
     """Decisions arrive in three micro-batches with repeats across them; each is stored once."""
     log = dq.decisions_log(spark, d).withColumn("part", F.col("audit_id") % 3)
-    stream = jobs.staged(log, 3, "part", "audit-log")
+    stream = jobs.staged(log, F.col("part"), 3, "audit-log")
     out = jobs.run(stream, jobs.audit_sink(["request_id", "decision_date"], "decision_date"), "append", "audit")
     return spark.read.parquet(out).groupBy(F.date_format("decision_date", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -163,7 +166,7 @@ def run_state(spark, d):
 @query("stream_route", rq.ORACLE["route_messages"].replace("SELECT coalesce(route, 'none') AS route, trigger, count(*) AS n", "SELECT coalesce(route, 'none') AS route, count(*) AS n").replace("GROUP BY 1, 2", "GROUP BY 1"))
 def stream_route(spark, d):
     """One topic split into a folder per route by a single stream."""
-    staged = jobs.staged(rq.messages(spark, d), 2, "event_id", "topic")
+    staged = jobs.staged(rq.messages(spark, d), F.col("event_id") % 2, 2, "topic")
     routed = staged.withColumn("route", F.coalesce(batches.route(), F.lit("none")))
 
     def split(batch, batch_id, folder):

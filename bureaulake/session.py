@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call-site capture costs several round trips per column function; plans here have thousands of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

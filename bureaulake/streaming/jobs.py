@@ -36,11 +36,13 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def staged(df: DataFrame, files: int, order: str, name: str) -> DataFrame:
-    """A table laid out as ``files`` files along ``order`` and read back one file per micro-batch."""
-    path = scratch.folder(df.sparkSession, name)
-    df.repartitionByRange(files, order).write.parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+def staged(df: DataFrame, bucket: Column, buckets: int, name: str) -> DataFrame:
+    """A table replayed as a stream: bucket 0 arrives first, one bucket per micro-batch."""
+    spark = df.sparkSession
+    path = scratch.folder(spark, name)
+    for i in range(buckets):
+        df.filter(bucket == i).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def run(stream: DataFrame, write: Callable[[DataFrame, int, str], None], mode: str, name: str) -> str:
@@ -136,7 +138,9 @@ def collector(timeout_ms: int | None = None):
         memory = dict(zip(names, state.get)) if state.exists else blank
         out = []
         if state.hasTimedOut:
-            if not memory["done"]:
+            if memory["models"] is None:  # results after their request had timed out, or without a request
+                out.append((key[0], "orphan_results", ""))
+            elif not memory["done"]:
                 wanted = set((memory["models"] or "").split(",")) - set(memory["present"].split(",")) - {""}
                 out.append((key[0], "timeout", ",".join(sorted(wanted))))
             state.remove()
