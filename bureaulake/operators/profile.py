@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from bureaulake.functions import parse
 from bureaulake.functions.bins import case
+from bureaulake.operators.ranking import quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 Z_LIMIT = 1.96
@@ -42,26 +43,25 @@ def missing(df: DataFrame) -> DataFrame:
 def distribution(df: DataFrame, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """min, max, mean, median, sample standard deviation and distinct count of the numeric columns.
 
-    The exact median keeps one entry per distinct value of a column in its state.  ``exact=False`` uses sketches of
-    fixed size instead and is the form for columns with very many distinct values.  Distinct counts run as
-    their own two-step aggregation over (column, value), which spreads them over all tasks.
+    Exact medians and distinct counts run over (column, value) rows, which spreads them over all tasks.
+    ``exact=False`` takes everything from one pass with sketches of fixed size.
     """
     columns = numeric_columns(df)
 
     def metrics(c):
         v = F.col(c).cast("double")
-        middle = F.median(v) if exact else F.percentile_approx(v, 0.5, accuracy)
-        out = {"n": F.count(c), "min": F.min(v), "max": F.max(v), "mean": F.avg(v), "median": middle,
-               "std": F.coalesce(F.stddev_samp(v), F.lit(0.0))}
+        out = {"n": F.count(c), "min": F.min(v), "max": F.max(v), "mean": F.avg(v), "std": F.coalesce(F.stddev_samp(v), F.lit(0.0))}
         if not exact:
-            out["unique_count"] = F.approx_count_distinct(c)
+            out |= {"median": F.percentile_approx(v, 0.5, accuracy), "unique_count": F.approx_count_distinct(c)}
         return out
 
-    stats = per_column(df, columns, metrics)
+    stats = per_column(df, columns, metrics).filter("n > 0")
     if exact:
-        counts = as_double_rows(df, columns).distinct().groupBy("column").agg(F.count("value").alias("unique_count"))
-        stats = stats.join(counts, "column")
-    return stats.filter("n > 0")
+        long = as_double_rows(df, columns)
+        counts = long.distinct().groupBy("column").agg(F.count("value").alias("unique_count"))
+        medians = quantiles(long, ["column"], [0.5]).select("column", F.col("quantile").alias("median"))
+        stats = stats.join(counts, "column").join(medians, "column")
+    return stats
 
 
 def as_double_rows(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:

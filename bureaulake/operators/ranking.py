@@ -58,3 +58,33 @@ def hash_sample(df: DataFrame, digest: Column, size: int, total: int) -> DataFra
     keep = min(1.0, (size + 10.0 * size ** 0.5 + 100.0) / max(total, 1))
     position = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(16 ** 8))
     return df.withColumn("_digest", digest).filter(position <= keep).orderBy("_digest").limit(size).drop("_digest")
+
+
+def quantiles(df: DataFrame, keys: list[str], shares: list[float], buckets: int = 4096) -> DataFrame:
+    """Exact interpolated quantiles of ``value`` per ``keys``: one row per key and ``share``.
+
+    No task holds all values.  Equal values collapse map-side, even value ranges give the rows before each bucket, and
+    only the buckets that hold a wanted rank are ordered.
+    """
+    counts = df.filter("value is not null").groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+    span = counts.groupBy(*keys).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.sum("_n").alias("_total"))
+    width = F.col("_hi") - F.col("_lo")
+    place = F.floor((F.col("value") - F.col("_lo")) / F.when(width > 0, width) * buckets)
+    spread = counts.join(span.select(*keys, "_lo", "_hi"), keys).withColumn("_b", F.coalesce(place, F.lit(0))).drop("_lo", "_hi")
+
+    # Bucket totals: at most ``buckets + 1`` rows per key.
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = spread.groupBy(*keys, "_b").agg(F.sum("_n").alias("_m")).withColumn("_start", F.coalesce(F.sum("_m").over(before), F.lit(0)))
+    position = (F.col("_total") - 1) * F.col("share")
+    ranks = span.select(*keys, "_total", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share")).select(
+        *keys, "share", position.alias("_h"), F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))).alias("_rank"))
+    wanted = ranks.join(starts, keys).filter(F.col("_rank").between(F.col("_start"), F.col("_start") + F.col("_m") - 1))
+
+    inside = Window.partitionBy(*keys, "_b").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = spread.join(wanted.select(*keys, "_b").distinct(), [*keys, "_b"], "left_semi").withColumn(
+        "_below", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    inner = F.col("_rank") - F.col("_start")
+    found = wanted.join(ordered, [*keys, "_b"]).filter(inner.between(F.col("_below"), F.col("_below") + F.col("_n") - 1))
+    part = F.max("_h") - F.floor(F.max("_h"))
+    return found.groupBy(*keys, "share").agg(
+        (F.min("value") + (F.max("value") - F.min("value")) * part).alias("quantile"))

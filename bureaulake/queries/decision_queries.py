@@ -563,27 +563,35 @@ def platt_scale(spark, d):
     return views.predictions(spark, d).select("request_id", F.round(p, 6).alias("calibrated"), F.round(dec.confidence(p), 6).alias("confidence"))
 
 
-@query("fraud_flags", sql("""SELECT request_id, round(1 - (anomaly_raw - lo) / (hi - lo), 6) AS fraud_anomaly_score,
-  CASE WHEN anomaly_raw < p1 THEN 'HIGH' WHEN anomaly_raw < p5 THEN 'MEDIUM' ELSE 'LOW' END AS fraud_risk_flag
-FROM prediction, (SELECT quantile_cont(anomaly_raw, 0.01) AS p1, quantile_cont(anomaly_raw, 0.05) AS p5, min(anomaly_raw) AS lo, max(anomaly_raw) AS hi FROM prediction)"""))
-def fraud_flags(spark, d):
-    p, raw = views.predictions(spark, d), F.col("anomaly_raw")
-    limits = F.broadcast(p.agg(*_fraud_limits(raw)))  # one row
-    return p.crossJoin(limits).select(
+def fraud_limits(scores):
+    """One row with the 1st and 5th percentile, minimum and maximum of ``anomaly_raw``."""
+    values = scores.select(F.lit("anomaly").alias("key"), F.col("anomaly_raw").alias("value"))
+    cuts = ranking.quantiles(values, ["key"], [0.01, 0.05])
+    ends = scores.agg(F.min("anomaly_raw").alias("min_score"), F.max("anomaly_raw").alias("max_score"))
+    return cuts.agg(F.max(F.when(F.col("share") == 0.01, F.col("quantile"))).alias("p1"),
+                    F.max(F.when(F.col("share") == 0.05, F.col("quantile"))).alias("p5")).crossJoin(F.broadcast(ends))  # one row each
+
+
+def flagged(scores):
+    """Normalised score and flag per request."""
+    raw = F.col("anomaly_raw")
+    return scores.crossJoin(F.broadcast(fraud_limits(scores))).select(  # one row of limits
         "request_id", F.round(dec.anomaly_score(raw, F.col("min_score"), F.col("max_score")), 6).alias("fraud_anomaly_score"),
         dec.fraud_flag(raw, F.col("p1"), F.col("p5")).alias("fraud_risk_flag"))
 
 
-def _fraud_limits(raw):
-    cuts = F.percentile(raw, F.array(F.lit(0.01), F.lit(0.05)))
-    return [cuts[0].alias("p1"), cuts[1].alias("p5"), F.min(raw).alias("min_score"), F.max(raw).alias("max_score")]
+@query("fraud_flags", sql("""SELECT request_id, round(1 - (anomaly_raw - lo) / (hi - lo), 6) AS fraud_anomaly_score,
+  CASE WHEN anomaly_raw < p1 THEN 'HIGH' WHEN anomaly_raw < p5 THEN 'MEDIUM' ELSE 'LOW' END AS fraud_risk_flag
+FROM prediction, (SELECT quantile_cont(anomaly_raw, 0.01) AS p1, quantile_cont(anomaly_raw, 0.05) AS p5, min(anomaly_raw) AS lo, max(anomaly_raw) AS hi FROM prediction)"""))
+def fraud_flags(spark, d):
+    return flagged(views.predictions(spark, d))
 
 
 @query("fraud_thresholds", sql("""SELECT round(quantile_cont(anomaly_raw, 0.01), 6) AS p1, round(quantile_cont(anomaly_raw, 0.05), 6) AS p5,
   min(anomaly_raw) AS min_score, max(anomaly_raw) AS max_score FROM prediction"""))
 def fraud_thresholds(spark, d):
-    p = views.predictions(spark, d).agg(*_fraud_limits(F.col("anomaly_raw")))
-    return p.select(F.round("p1", 6).alias("p1"), F.round("p5", 6).alias("p5"), "min_score", "max_score")
+    limits = fraud_limits(views.predictions(spark, d))
+    return limits.select(F.round("p1", 6).alias("p1"), F.round("p5", 6).alias("p5"), "min_score", "max_score")
 
 
 @query("fraud_distribution", sql("""SELECT round(avg(CASE WHEN f = 'LOW' THEN 1e0 ELSE 0e0 END), 4) AS low_pct, round(avg(CASE WHEN f = 'MEDIUM' THEN 1e0 ELSE 0e0 END), 4) AS medium_pct,

@@ -10,7 +10,7 @@ from bureaulake.functions import decision as dec
 from bureaulake.ml import forest, models
 from bureaulake.operators import metrics, registry
 from bureaulake.plans import facts
-from bureaulake.queries.decision_queries import _fraud_limits, reason_codes, top_five
+from bureaulake.queries.decision_queries import flagged, reason_codes, top_five
 from bureaulake.queries.scoring_queries import training_rows
 from bureaulake.sources import scratch
 
@@ -124,12 +124,7 @@ def fraud_train(spark, d):
 def fraud_score(spark, d):
     """Anomaly score and flag of every applicant with thresholds at the 1st and 5th percentile."""
     vectors, nodes = _forest(spark, d)
-    scored = _stored(forest.score(vectors, nodes), "anomaly")
-    raw = F.col("anomaly_raw")
-    limits = F.broadcast(scored.agg(*_fraud_limits(F.round(raw, 6))))  # one row; rounding bounds the percentile state
-    return scored.crossJoin(limits).select(
-        "request_id", F.round(dec.anomaly_score(raw, F.col("min_score"), F.col("max_score")), 6).alias("fraud_anomaly_score"),
-        dec.fraud_flag(raw, F.col("p1"), F.col("p5")).alias("fraud_risk_flag"))
+    return flagged(_stored(forest.score(vectors, nodes), "anomaly"))
 
 
 def _loan(spark, d):

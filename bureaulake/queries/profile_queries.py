@@ -148,8 +148,10 @@ def _samples(spark, d, size=200):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-_SAMPLES = """SELECT *, 1 AS sample_id FROM (SELECT * FROM up ORDER BY md5(customer_id || '-1') LIMIT 200)
-UNION ALL SELECT *, 2 FROM (SELECT * FROM up ORDER BY md5(customer_id || '-2') LIMIT 200) UNION ALL SELECT *, 3 FROM (SELECT * FROM up ORDER BY md5(customer_id || '-3') LIMIT 200)"""
+_SAMPLES = """SELECT *, 0 AS sample_id FROM up WHERE (SELECT count(*) FROM up) <= 200
+UNION ALL SELECT *, 1 FROM (SELECT * FROM up WHERE (SELECT count(*) FROM up) > 200 ORDER BY md5(customer_id || '-1') LIMIT 200)
+UNION ALL SELECT *, 2 FROM (SELECT * FROM up WHERE (SELECT count(*) FROM up) > 200 ORDER BY md5(customer_id || '-2') LIMIT 200)
+UNION ALL SELECT *, 3 FROM (SELECT * FROM up WHERE (SELECT count(*) FROM up) > 200 ORDER BY md5(customer_id || '-3') LIMIT 200)"""
 
 
 @query("resamples", sql("SELECT sample_id, customer_id, email, balance FROM samples", samples=_SAMPLES, up=_UP))

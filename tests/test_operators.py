@@ -261,3 +261,13 @@ def test_csv_keeps_short_lines_and_drops_long_ones(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a,b,c\n1,2,3\n4,5\n6,7,8,9\n")
     got = files.read_delimited(spark, str(tmp_path), ["a", "b", "c"]).collect()
     assert [tuple(r) for r in got] == [("1", "2", "3"), ("4", "5", None)]
+
+
+def test_quantiles_match_interpolation(spark):
+    rng = np.random.default_rng(2)
+    data = {"flat": np.full(50, 3.0), "skewed": np.concatenate([np.full(400, 1.0), rng.exponential(50.0, 333)]), "one": np.array([7.5])}
+    rows = [(k, float(v)) for k, vs in data.items() for v in vs] + [("flat", None)]
+    got = ranking.quantiles(spark.createDataFrame(rows, "k string, value double"), ["k"], [0.01, 0.5, 0.95], buckets=16).collect()
+    assert len(got) == 9
+    for r in got:
+        assert r["quantile"] == pytest.approx(np.percentile(data[r["k"]], r["share"] * 100))
