@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,17 +81,22 @@ def deduplicate(stream: DataFrame, keys: list[str], event_time: str = "ts", dela
 
 
 def audit_sink(keys: list[str], partition: str) -> Callable[[DataFrame, int, str], None]:
-    """Batch writer that stores each key once, also when a batch is replayed."""
+    """Batch writer that stores each key once, also when a batch is replayed; ``partition`` is one of ``keys``."""
+    if partition not in keys:
+        raise ValueError("the partition column must be part of the key")
+
     def write(batch: DataFrame, batch_id: int, folder: str) -> None:
         spark = batch.sparkSession
         fresh = batch.dropDuplicates(keys)
-        if batch_id > 0:
-            try:
-                stored = spark.read.parquet(folder)
-                fresh = registry.not_yet_stored(batch, stored, keys)
-            except Exception as error:  # nothing stored so far
-                if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                    raise
+        span = batch.agg(F.min(partition).alias("low"), F.max(partition).alias("high")).first()
+        if span["low"] is None:
+            return
+        try:
+            stored = spark.read.parquet(folder).filter(F.col(partition).between(span["low"], span["high"]))  # prunes partitions
+            fresh = registry.not_yet_stored(batch, stored, keys)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing stored so far
+                raise
         fresh.write.mode("append").partitionBy(partition).parquet(folder)
 
     return write
