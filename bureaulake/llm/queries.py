@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureaulake.llm import langid, quality
+from bureaulake.llm import langid, minhash, quality, toxicity
 from bureaulake.llm.common import fold, table
 
 
@@ -20,5 +20,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_language_id)}
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, threshold=0.8)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, share = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    scored = toxicity.score(docs, model, share)
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity)}
 ORACLE: dict[str, str] = {}
