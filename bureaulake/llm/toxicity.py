@@ -20,7 +20,7 @@ from bureaulake.llm import tokens
 from bureaulake.llm.common import prepare
 
 CHAR_ROWS, WIDTH, HIDDEN = 1 << 15, 8, 8
-#: Training texts that a word must be in to have an embedding of its own.
+#: Training texts that a word must be in to have an embedding of its own; fewer if there are few toxic ones.
 WORD_TEXTS = 20
 #: Words of a window, and from one window's begin to the next.
 WINDOW, STRIDE = 32, 24
@@ -221,8 +221,8 @@ def backward(p: dict[str, np.ndarray], words: Words, x: np.ndarray, spelled: np.
     return g
 
 
-def train(texts: list[str | None], toxic: np.ndarray, share: float = 0.1, epochs: int = 4, batch: int = 256, rate: float = 0.01, seed: int = 11) -> dict[str, np.ndarray]:
-    """Adam on windows. In the first epoch every window of a toxic text counts as toxic, later its worst one alone.
+def train(texts: list[str | None], toxic: np.ndarray, share: float = 0.1, epochs: int = 4, steps: int = 300, batch: int = 256, rate: float = 0.01, seed: int = 11) -> dict[str, np.ndarray]:
+    """Adam on windows, for at least so many epochs and steps. In the first quarter every window of a toxic text counts as toxic, later its worst one alone.
 
     An embedding table has one second moment for all its rows: with one for each, n-grams seen once would learn as fast as
     those seen often. In the end the scale of the texts' worst windows is fitted to their labels, at the ``share`` of toxic texts.
@@ -231,7 +231,7 @@ def train(texts: list[str | None], toxic: np.ndarray, share: float = 0.1, epochs
     data, offsets = tokens.text_bytes(pa.array(texts, pa.string()))
     words = Words(data, offsets)
     seen = np.unique(tokens.owners(words.first) * np.int64(len(words.keys) + 1) + words.spelling)
-    often = np.bincount(seen % (len(words.keys) + 1), minlength=len(words.keys) + 1)[1:] >= WORD_TEXTS
+    often = np.bincount(seen % (len(words.keys) + 1), minlength=len(words.keys) + 1)[1:] >= min(WORD_TEXTS, 2 + toxic.sum() // 10)
     p = initial(words.keys[often])
     # of long texts, windows at even distances
     ahead = np.flatnonzero(np.append(True, words.text[1:] != words.text[:-1]))
@@ -241,10 +241,11 @@ def train(texts: list[str | None], toxic: np.ndarray, share: float = 0.1, epochs
     spelled = words.windows(chosen)
     m = {k: np.zeros_like(v) for k, v in p.items() if k != "vocabulary"}
     s = {k: np.zeros(1, np.float32) if k in TABLES else np.zeros_like(v) for k, v in m.items()}
+    epochs = max(epochs, -(-steps * batch // max(1, len(chosen))))
     step = 0
     for epoch in range(epochs):
         use = np.arange(len(chosen))
-        if epoch:
+        if 4 * epoch >= epochs:
             logits = score_windows(p, inputs(p, words), spelled)
             order = np.lexsort((logits, words.text[chosen]))
             last = np.append(words.text[chosen][order][1:] != words.text[chosen][order][:-1], True)
@@ -264,7 +265,7 @@ def train(texts: list[str | None], toxic: np.ndarray, share: float = 0.1, epochs
             logit = forward(p, x, at, keep)
             d = (sigmoid(logit) - label[pick]) * weigh[pick] / len(pick)
             step += 1
-            lr = rate * min(1.0, step / 20) * 0.5 ** max(0, epoch - 1)
+            lr = rate * min(1.0, step / 20) * 0.5 ** max(0, 4 * epoch // epochs - 1)
             for k, g in backward(p, some, x, at, keep, d.astype(np.float32)).items():
                 m[k] = 0.9 * m[k] + 0.1 * g
                 s[k] = 0.99 * s[k] + 0.01 * ((g * g).sum() / max(1, np.count_nonzero(g)) if k in TABLES else g * g)
