@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureaulake.llm import bpe, langid, minhash, quality, toxicity
+from bureaulake.llm import bpe, langid, lattice, minhash, quality, toxicity
 from bureaulake.llm.common import fold, table
 
 
@@ -37,5 +37,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity)}
+def op8_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = lattice.read(public_tokenizers.path("piece_bpe_32k.model"))
+    scored = lattice.score(table(spark, sf_dir, "documents"), fold("doc_id", 10) != 0, vocabulary)
+    return scored.select("doc_id", (fold("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity, op8_subword_lattice)}
 ORACLE: dict[str, str] = {}
