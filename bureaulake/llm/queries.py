@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureaulake.llm import bpe, huffman, langid, lattice, minhash, quality, toxicity
+from bureaulake.llm import binarycodes, bpe, huffman, langid, lattice, minhash, quality, toxicity
 from bureaulake.llm.common import fold, table
 
 
@@ -43,9 +43,13 @@ def op8_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op9_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binarycodes.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.archive(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity, op8_subword_lattice, op10_huffman_ids)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity, op8_subword_lattice, op9_binary_codes, op10_huffman_ids)}
 ORACLE: dict[str, str] = {}
