@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bureaulake.llm.common import components, prepare, stored
+from bureaulake.llm.common import components, prepare, runs, stored
 
 #: Probability that a pair just at the threshold shares no table, and standard errors that an estimate may be off.
 MISS, SLACK = 0.003, 5.0
@@ -133,40 +133,18 @@ def _links(rows: dict[str, list], table: int, pair: tuple[int, int] | None, dtyp
 def _tiles(dtype: type, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows sorted by tile to (id, links, root): what each tile adds to a vector's links, and where it connects it."""
 
-    def done(rows: dict[str, list], tile: tuple) -> pa.RecordBatch | None:
-        if len(rows["id"]) < 2:
-            return None
-        table, _, _, first, second = tile
-        a, b = _links(rows, table, None if first == second else (first, second), dtype, threshold)
-        if len(a) == 0:
-            return None
-        ids, size = np.array(rows["id"]), np.array(rows["size"])
-        count = np.bincount(a, size[b], len(ids)) + np.bincount(b, size[a], len(ids))
-        some = np.flatnonzero(count)
-        root = ids[roots(len(ids), a, b)]
-        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(count[some].astype(np.int64)), pa.array(root[some])], names=["id", "links", "root"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "size", "vector", "code", "factor", "keys", "half"]
-        held: dict[str, list] = {n: [] for n in names}
-        current = None
-        for batch in batches:
-            tiles = list(zip(*(batch.column(c).to_pylist() for c in ("table", "dim", "key", "first", "second")), strict=True))
-            columns = [batch.column(n).to_pylist() for n in names]
-            i = 0
-            while i < len(tiles):
-                j = i
-                while j < len(tiles) and tiles[j] == tiles[i]:
-                    j += 1
-                if tiles[i] != current:
-                    if current is not None and (found := done(held, current)) is not None:
-                        yield found
-                    held, current = {n: [] for n in names}, tiles[i]
-                for n, column in zip(names, columns, strict=True):
-                    held[n] += column[i:j]
-                i = j
-        if current is not None and (found := done(held, current)) is not None:
-            yield found
+        for (table, _, _, first, second), rows in runs(batches, ["table", "dim", "key", "first", "second"], ["id", "size", "vector", "code", "factor", "keys", "half"]):
+            if len(rows["id"]) < 2:
+                continue
+            a, b = _links(rows, table, None if first == second else (first, second), dtype, threshold)
+            if len(a) == 0:
+                continue
+            ids, size = np.array(rows["id"]), np.array(rows["size"])
+            count = np.bincount(a, size[b], len(ids)) + np.bincount(b, size[a], len(ids))
+            some = np.flatnonzero(count)
+            root = ids[roots(len(ids), a, b)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(count[some].astype(np.int64)), pa.array(root[some])], names=["id", "links", "root"])
 
     return run
 

@@ -78,6 +78,29 @@ def groups_of(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Ite
         yield pa.Table.from_batches(held)
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: list[str], columns: list[str]) -> Iterator[tuple[tuple, dict[str, list]]]:
+    """(key, columns as lists) of each run of rows with equal keys, also across batches; the rows are sorted by key."""
+    held: dict[str, list] = {}
+    current = None
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in key), strict=True))
+        values = [batch.column(c).to_pylist() for c in columns]
+        i = 0
+        while i < len(keys):
+            j = i
+            while j < len(keys) and keys[j] == keys[i]:
+                j += 1
+            if keys[i] != current:
+                if current is not None:
+                    yield current, held
+                held, current = {c: [] for c in columns}, keys[i]
+            for c, v in zip(columns, values, strict=True):
+                held[c] += v[i:j]
+            i = j
+    if current is not None:
+        yield current, held
+
+
 def components(edges: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:
     """(node, component): the smallest node reachable, for every node with an edge.
 

@@ -4,10 +4,11 @@ Texts are sets of word shingles. Texts with the same set are one class, of which
 that share a band of minima are candidates; the packed low bits of all minima estimate their similarity, corrected for chance
 collisions; pairs whose estimate could still reach the threshold are confirmed on the full sets.
 
-Within a bucket every class is first compared only with the bucket's smallest class. Components of the confirmed links are
-formed, and only members of a bucket that are still in different components are compared with each other: first each with the
-one of each other component it looks closest to, then all that is left. A group of copies of any size thus costs a few pairs
-per member, and no candidate is dropped unseen.
+Within a bucket every class is first compared only with the bucket's centre, the class that shares most buckets with others.
+Components of the confirmed links are formed, and only members of a bucket that are still in different components are compared
+with each other, inside tiles of bounded size: first each is confirmed against those of each other component that it looks
+closest to, then against all that are left. So a group of copies of any size costs few pairs, all pairs of a group never leave
+a task, and no candidate is dropped unseen.
 
 Null texts and texts without words have the empty set: n_shingles 0, in a component of their own. Texts with fewer words than
 a shingle have the whole sequence as one. Rows with the same doc_id and text get the same result. Null ids stay null.
@@ -24,13 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bureaulake.llm import tokens
-from bureaulake.llm.common import components, prepare, stored
+from bureaulake.llm.common import components, prepare, runs, stored
 
 #: Bands, minima per band, low bits kept of each minimum. At similarity 0.8 a pair shares no band with probability 1.3e-7.
 BANDS, ROWS, BITS = 40, 5, 4
 LANES = 64 // BITS
 #: Standard errors by which an estimate may miss the threshold before a candidate is let go.
-SLACK = 5.0
+SLACK = 4.0
+#: Classes of a bucket on one side of a tile, and partners in another component that are confirmed before all others.
+TILE, CLOSEST = 4096, 2
 
 _rng = np.random.default_rng(90210)
 _A = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -130,6 +133,58 @@ def lowest_estimate(threshold: float) -> float:
     return threshold - SLACK * (p * (1 - p) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
 
 
+ONES = np.uint64(sum(1 << (BITS * k) for k in range(LANES)))
+
+
+def _alike(bits: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = bits[a] ^ bits[b]
+    for k in (1, 2):
+        x |= x >> np.uint64(k)
+    unlike = np.bitwise_count(x & ONES).sum(1)
+    chance = 2.0**-BITS
+    return (1 - unlike / (BANDS * ROWS) - chance) / (1 - chance)
+
+
+def _apart(least: float, closest: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs of a tile that are in different components, agree on no earlier band and may be similar enough.
+
+    With ``closest``, of each member and each other component only so many of the likeliest.
+    """
+
+    def found(rows: dict[str, list], tile: tuple) -> np.ndarray:
+        band, _, first, second = tile
+        ids, half = np.array(rows["id"]), np.array(rows["half"])
+        _, root = np.unique(np.array(rows["root"]), return_inverse=True)
+        main = np.bincount(root).argmax()
+        bits = np.array(rows["bits"], np.int64).view(np.uint64)
+        bands = np.array(rows["bands"], np.int64)
+        kept = []
+        for i in np.flatnonzero(root != main):
+            other = root != root[i]
+            if first != second:
+                other &= half != half[i]
+            other &= (root == main) | (ids < ids[i])
+            j = np.flatnonzero(other)
+            if band:
+                j = j[~(bands[j, :band] == bands[i, :band]).any(1)]
+            like = _alike(bits, np.full(len(j), i), j)
+            j, like = j[like >= least], like[like >= least]
+            if closest is not None and len(j):
+                order = np.lexsort((-like, root[j]))
+                place = np.arange(len(j)) - np.searchsorted(root[j][order], root[j][order], "left")
+                j = j[order[place < closest]]
+            kept.append(np.stack([np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])]))
+        return np.concatenate(kept, axis=1) if kept else np.zeros((2, 0), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile, rows in runs(batches, ["band", "key", "first", "second"], ["id", "root", "half", "bits", "bands"]):
+            pairs = found(rows, tile)
+            if pairs.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of (doc_id, text)."""
     prepare(docs.sparkSession)
@@ -140,9 +195,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
     classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("id"))
     heads = stored(signed.join(classes.select("id"), F.col("doc_id") == F.col("id"), "left_semi").select(
         F.col("doc_id").alias("id"), "n_shingles", "bits", "bands").dropDuplicates(["id"]), "classes")
-    buckets = heads.select("id", F.posexplode("bands").alias("band", "key")).select("id", F.xxhash64("band", "key").alias("bucket"))
-    tops = buckets.groupBy("bucket").agg(F.min("id").alias("top"), F.count("*").alias("n")).where("n > 1").select("bucket", "top")
-    shared = stored(buckets.join(tops, "bucket"), "buckets")  # (bucket, id, top) of buckets with company
+    buckets = heads.select("id", F.posexplode("bands").alias("band", "key"))
+    sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(buckets.join(sizes, ["band", "key"]), "buckets")  # (band, key, id, n) of buckets with company
+    company = shared.groupBy("id").agg(F.sum("n").alias("company"))
+    centres = shared.join(company, "id").groupBy("band", "key").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("top")).select(
+        "band", "key", (-F.col("top.minus")).alias("top"))
     least = lowest_estimate(threshold)
     bits = heads.select("id", "bits")
 
@@ -160,10 +218,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
         common = F.size(F.array_intersect("set_a", "set_b"))
         return both.where(100 * common >= round(100 * threshold) * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
 
-    stars = shared.where("id != top").select(F.col("id").alias("a"), F.col("top").alias("b")).distinct()
-    pairs = stored(likely(stars).select("a", "b", "like"), "stars")
+    stars = shared.join(centres, ["band", "key"]).where("id != top").select(F.greatest("id", "top").alias("a"), F.least("id", "top").alias("b"), "id").distinct()
+    pairs = stored(likely(stars).select("a", "b", "id", "like"), "stars")
     # of a class's stars the likeliest goes first; most others then lie within a component already
-    first = pairs.groupBy("a").agg(F.max(F.struct("like", "b")).alias("best")).select("a", "best.b")
+    first = stored(pairs.groupBy("id").agg(F.max(F.struct("like", "a", "b")).alias("best")).select("best.a", "best.b").distinct(), "first")
     links = stored(confirmed(first), "links")
     tested = first
 
@@ -174,28 +232,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
             both = both.join(roots.withColumnsRenamed({"node": c, "component": f"root_{c}"}), c, "left")
         return both.withColumns({"root_a": own("a"), "root_b": own("b")}).where("root_a != root_b")
 
-    rest = stored(apart(pairs.join(tested, ["a", "b"], "left_anti"), components(links, "a", "b")).select("a", "b"), "rest")
+    rest = stored(apart(pairs.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), components(links, "a", "b")).select("a", "b"), "rest")
     links = stored(links.unionAll(confirmed(rest)), "links")
     tested = stored(tested.unionAll(rest), "tested")
-    for last in (False, True):
-        roots = components(links, "a", "b")
-        placed = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("root"))
-        mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.mode("root", True).alias("main")).where("low != high")
-        members = placed.join(mixed.select("bucket", "main"), "bucket")
-        few = members.where("root != main")
-        cross = few.select("bucket", F.col("id").alias("a"), F.col("root").alias("root_a"), "main").join(
-            members.select("bucket", F.col("id").alias("b"), F.col("root").alias("root_b")), "bucket").where(
-            "root_a != root_b and (root_b = main or a < b)")
-        cross = cross.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.least("root_a", "root_b").alias("r"), F.greatest("root_a", "root_b").alias("s")).distinct()
-        known = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        open_pairs = likely(cross.join(known, ["a", "b"], "left_anti"))
-        if not last:
-            open_pairs = open_pairs.groupBy("r", "s", "a").agg(F.max(F.struct("like", "b")).alias("best")).select("a", "best.b")
-        new = stored(open_pairs.select("a", "b"), "cross")
-        if new.isEmpty():
-            break
-        links = stored(links.unionAll(confirmed(new)), "links")
-        tested = stored(tested.unionAll(new), "tested")
+    tile = ["band", "key", "first", "second"]
+    cut = F.ceil(F.col("n") / TILE).cast("int")
+    for closest in (CLOSEST, None):
+        roots = components(links, "a", "b").withColumnRenamed("node", "id")
+        placed = shared.join(roots, "id", "left").withColumn("root", F.coalesce("component", "id")).drop("component")
+        mixed = placed.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+        members = placed.join(mixed.select("band", "key"), ["band", "key"], "left_semi").join(heads.select("id", "bits", "bands"), "id")
+        tiled = members.withColumns({"half": F.pmod(F.xxhash64("id"), cut).cast("int"), "other": F.explode(F.sequence(F.lit(0), cut - 1))}).select(
+            "band", "key", F.least("half", "other").alias("first"), F.greatest("half", "other").alias("second"), "half", "id", "root", "bits", "bands")
+        new = tiled.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(_apart(least, closest), "a long, b long").distinct()
+        new = stored(new.join(tested, ["a", "b"], "left_anti"), "apart")
+        if not new.isEmpty():
+            links = stored(links.unionAll(confirmed(new)), "links")
+            tested = stored(tested.unionAll(new), "tested")
     roots = components(links, "a", "b").withColumnRenamed("node", "id")
     placed = classes.join(roots, "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left")

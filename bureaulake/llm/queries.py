@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureaulake.llm import binarycodes, bpe, huffman, langid, lattice, minhash, quality, toxicity
+from bureaulake.llm import binarycodes, bpe, huffman, langid, lattice, minhash, mixing, quality, toxicity
 from bureaulake.llm.common import fold, table
 
 
@@ -37,6 +37,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+#: Shares that the languages shall have of the tokens; sources and topics are tempered.
+MIX: dict[str, dict[str, float] | None] = {"source": None, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}, "topic": None}
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mixed(table(spark, sf_dir, "documents"), MIX)
+    return out.withColumns({c: F.round(c, 6) for c in ("weight", "probability")})
+
+
 def op8_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = lattice.read(public_tokenizers.path("piece_bpe_32k.model"))
     scored = lattice.score(table(spark, sf_dir, "documents"), fold("doc_id", 10) != 0, vocabulary)
@@ -51,5 +60,5 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.archive(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity, op8_subword_lattice, op9_binary_codes, op10_huffman_ids)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity, op7_mixing, op8_subword_lattice, op9_binary_codes, op10_huffman_ids)}
+ORACLE: dict[str, str] = {"op7_mixing": mixing.oracle(MIX)}
