@@ -40,6 +40,25 @@ def unpack(payload: bytes) -> tuple:
     return pickle.loads(zstandard.decompress(payload))
 
 
+def spread(numbers: np.ndarray) -> list[np.ndarray]:
+    """Numbers as byte streams that pack well when small ones are frequent: the first byte of each, and what follows it by kind."""
+    top, low = numbers >> 20, numbers & 0xFFFFF
+    two, three = (low >= 192) & (low < 12480), low >= 12480
+    second, third = low[two] - 192, low[three] - 12480
+    first = np.where(two, 192 + ((low - 192) >> 8), np.where(three, 240 + ((low - 12480) >> 16), low))
+    return [x.astype(np.uint8) for x in (first, second & 255, (third >> 8) & 255, third & 255)] + [top.astype(np.uint16) if top.any() else None]
+
+
+def gathered(streams: list[np.ndarray]) -> np.ndarray:
+    """What ``spread`` was given."""
+    first, second, middle, last, top = streams
+    out = first.astype(np.int64)
+    two, three = (first >= 192) & (first < 240), first >= 240
+    out[two] = ((out[two] - 192) << 8) + second + 192
+    out[three] = ((out[three] - 240) << 16) + (middle.astype(np.int64) << 8) + last + 12480
+    return out if top is None else out + (top.astype(np.int64) << 20)
+
+
 def slices(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The given slices one after the other."""
     ends = np.cumsum(sizes)
@@ -94,13 +113,12 @@ def _block(table: pa.Table, cutter: Cutter, buckets: int, seed: int) -> tuple[li
     size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
     text = np.concatenate(where) if where else np.zeros(0, np.uint8)
     at = np.concatenate([[0], np.cumsum(size)])
-    bucket = ((keys >> np.uint64(40)) % np.uint64(buckets)).astype(np.uint16)
-    seq = rank[codes].astype(np.uint32)
+    bucket = ((keys >> np.uint64(40)) % np.uint64(buckets)).astype(np.uint8 if buckets <= 256 else np.uint16)
+    seq = rank[codes].astype(np.int64)
     training = table.column("training").to_pylist() if "training" in table.schema.names else None
     if training is not None:  # how often each word occurs in training texts
         seen = np.bincount(seq[np.repeat(np.array(training, bool), n)], minlength=len(keys))
-    docs = pack(table.column("doc_id").to_pylist(), training, n.astype(np.uint32), (seq & 255).astype(np.uint8),
-                ((seq >> 8) & 255).astype(np.uint8), (seq >> 16).astype(np.uint16), bucket)
+    docs = pack(table.column("doc_id").to_pylist(), training, n.astype(np.uint32), spread(seq), bucket)
     block = int(np.int64(xxhash.xxh3_64_intdigest(docs, seed).__rshift__(1)))
     out = ([block], [block % buckets], [False], [docs])
     sorted_words = np.argsort(bucket, kind="stable")
@@ -131,8 +149,8 @@ class Block:
     """The documents of one block and, by ``answers``, what has been found out about its words."""
 
     def __init__(self, payload: bytes):
-        self.doc_ids, self.training, self.n, low, middle, high, self.bucket = unpack(payload)
-        self.words = low.astype(np.int32) | (middle.astype(np.int32) << 8) | (high.astype(np.int32) << 16)
+        self.doc_ids, self.training, self.n, streams, self.bucket = unpack(payload)
+        self.words = gathered(streams)
         self.first = np.concatenate([[0], np.cumsum(self.n, dtype=np.int64)])
 
     def place(self) -> np.ndarray:
