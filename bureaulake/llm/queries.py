@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureaulake.llm import binarycodes, bpe, huffman, langid, lattice, minhash, mixing, quality, toxicity
+from bureaulake.llm import binarycodes, bpe, huffman, langid, lattice, minhash, mixing, quality, toxicity, warc
 from bureaulake.llm.common import fold, table
 
 
@@ -37,6 +37,26 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "position", "intact")
+
+
+WARC_SQL = f"""
+WITH payloads AS (
+  SELECT page_id, url, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+stands AS (SELECT payload, max(page_id) AS stands FROM payloads WHERE payload_bytes >= {warc.LEAST} GROUP BY payload),
+keyed AS (
+  SELECT p.*, CASE WHEN p.page_id < s.stands THEN s.stands END AS refers_to,
+    CASE WHEN url IS NULL THEN '' WHEN NOT contains(url, '://') THEN url ELSE
+      array_to_string(list_reverse(string_split(lower(regexp_extract(url, '://([^/?#:]*)', 1)), '.')), ',') || ')' ||
+      regexp_extract(url, '://[^/?#]*(.*)$', 1, 's') END AS url_key
+  FROM payloads p LEFT JOIN stands s ON p.payload = s.payload AND p.payload_bytes >= {warc.LEAST})
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, sha1(payload) AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  refers_to, url_key, row_number() OVER (ORDER BY url_key, page_id) - 1 AS position, true AS intact
+FROM keyed
+"""
+
 #: Shares that the languages shall have of the tokens; sources and topics are tempered.
 MIX: dict[str, dict[str, float] | None] = {"source": None, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}, "topic": None}
 
@@ -60,5 +80,5 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.archive(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity, op7_mixing, op8_subword_lattice, op9_binary_codes, op10_huffman_ids)}
-ORACLE: dict[str, str] = {"op7_mixing": mixing.oracle(MIX)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity, op6_warc, op7_mixing, op8_subword_lattice, op9_binary_codes, op10_huffman_ids)}
+ORACLE: dict[str, str] = {"op6_warc": WARC_SQL, "op7_mixing": mixing.oracle(MIX)}
