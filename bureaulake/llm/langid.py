@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bureaulake.llm import tokens
-from bureaulake.llm.common import prepare
+from bureaulake.llm.common import prepare, rows_where
 
 #: Hashed trigrams.
 BINS = 4096
@@ -159,27 +159,29 @@ def fit(docs: DataFrame, training: Column, clusters: int = 4, sample: int = SAMP
     return Model(langs, idf, centroids, owner, least)
 
 
+def classify(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and rejection of each text."""
+    names = np.array([*model.langs, "und"], dtype=object)
+    langs, scores, rejected = [np.zeros(0, object)], [np.zeros(0)], [np.zeros(0, bool)]
+    for _, _, data, offsets in tokens.chunks(texts, rows=ROWS):
+        cosine = weigh(counts(data, offsets), model.idf) @ model.centroids.T
+        best = np.stack([cosine[:, model.owner == i].max(1) for i in range(len(model.langs))], axis=1)
+        row, top = np.arange(len(best)), best.argmax(1)
+        shares = np.exp((best - best.max(1, keepdims=True)) / TEMPERATURE)
+        size = np.searchsorted([2 * c for c in CUTS], np.diff(offsets), "right")
+        none = ~lettered(data, offsets)
+        langs.append(names[np.where(none, len(model.langs), top)])
+        scores.append(np.where(none, 0.0, shares[row, top] / shares.sum(1)).astype(float))
+        rejected.append((best[row, top] < model.least[top, size]) | none)
+    return np.concatenate(langs), np.concatenate(scores), np.concatenate(rejected)
+
+
 def _predict(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array([*model.langs, "und"], dtype=object)
         for batch in batches:
-            langs, scores, rejected = [], [], []
-            for _, _, data, offsets in tokens.chunks(batch.column("text"), rows=ROWS):
-                cosine = weigh(counts(data, offsets), model.idf) @ model.centroids.T
-                best = np.stack([cosine[:, model.owner == i].max(1) for i in range(len(model.langs))], axis=1)
-                top = best.argmax(1)
-                shares = np.exp((best - best.max(1, keepdims=True)) / TEMPERATURE)
-                score = shares[np.arange(len(top)), top] / shares.sum(1)
-                size = np.searchsorted([2 * c for c in CUTS], np.diff(offsets), "right")
-                far = best[np.arange(len(top)), top] < model.least[top, size]
-                none = ~lettered(data, offsets)
-                langs.append(names[np.where(none, len(model.langs), top)])
-                scores.append(np.where(none, 0.0, score).astype(float))
-                rejected.append(far | none)
-            if langs:
-                arrays = [pa.array(np.concatenate(x)) for x in (langs, scores, rejected)]
-                keep = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != "text"]
-                yield pa.RecordBatch.from_arrays([*keep, *arrays], names=[*(n for n in batch.schema.names if n != "text"), "lang_pred", "score", "rejected"])
+            langs, scores, rejected = classify(model, batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores), pa.array(rejected)],
+                                             names=["doc_id", "lang_pred", "score", "rejected"])
 
     return run
 
@@ -191,3 +193,11 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
     prepare(docs.sparkSession)
     return rows.mapInArrow(_predict(model), "doc_id long, lang_pred string, score double, rejected boolean")
+
+
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows in one of the learned languages, with all their columns. Without a model nothing can be rejected."""
+    if model is None:
+        return docs
+    prepare(docs.sparkSession)
+    return rows_where(docs, lambda texts: ~classify(model, texts)[2])

@@ -254,3 +254,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
     out = signed.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns; rows without doc_id stay."""
+    kept = near_duplicates(docs, size, threshold).where("kept").select(F.col("doc_id").alias("kept_id"))
+    known = docs.where("doc_id is not null")
+    return known.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"]).unionAll(docs.where("doc_id is null"))

@@ -38,9 +38,9 @@ def topic(text: str = "text") -> Column:
             .when(t.contains("@") | t.contains("://"), "contacts").otherwise("prose"))
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """doc_id, the three categories and n_tokens of each row."""
-    return docs.select("doc_id", F.coalesce("source", F.lit(NULL)).alias("source"), F.coalesce("lang", F.lit(NULL)).alias("lang"), topic().alias("topic"),
+def described(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, the three categories and n_tokens of each row, and more columns."""
+    return docs.select(*more, "doc_id", F.coalesce("source", F.lit(NULL)).alias("source"), F.coalesce("lang", F.lit(NULL)).alias("lang"), topic().alias("topic"),
                        n_tokens().alias("n_tokens"))
 
 
@@ -91,11 +91,9 @@ def draw(seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(16**13))
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float] | None], keep: float = KEEP, seed: str = "mix") -> DataFrame:
-    """doc_id, the categories, n_tokens, weight of a token, probability and selected, for each row of documents."""
-    documents = described(docs)
-    cells = rake(documents, targets)
-    cells = cells.withColumn("each", F.col("weight") / F.col("tokens"))
+def weighed(documents: DataFrame, targets: dict[str, dict[str, float] | None], keep: float, seed: str) -> DataFrame:
+    """Described documents with weight, probability and selected."""
+    cells = rake(documents, targets).withColumn("each", F.col("weight") / F.col("tokens"))
     total = cells.agg(F.sum("tokens").alias("tokens")).first()["tokens"]
     if not total:
         return documents.select("*", F.lit(0.0).alias("weight"), F.lit(0.0).alias("probability"), F.lit(False).alias("selected"))
@@ -105,7 +103,18 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float] | None], keep: fl
     out = documents.join(known, list(MARGINALS), "left")
     worded = F.col("n_tokens") > 0
     out = out.withColumns({c: F.when(worded, F.coalesce(c, F.lit(0.0))).otherwise(0.0) for c in ("weight", "probability")})
-    return out.withColumn("selected", draw(seed) < F.col("probability")).select("doc_id", *MARGINALS, "n_tokens", "weight", "probability", "selected")
+    return out.withColumn("selected", draw(seed) < F.col("probability"))
+
+
+def mixed(docs: DataFrame, targets: dict[str, dict[str, float] | None], keep: float = KEEP, seed: str = "mix") -> DataFrame:
+    """doc_id, the categories, n_tokens, weight of a token, probability and selected, for each row of documents."""
+    return weighed(described(docs), targets, keep, seed).select("doc_id", *MARGINALS, "n_tokens", "weight", "probability", "selected")
+
+
+def sample(docs: DataFrame, targets: dict[str, dict[str, float] | None], keep: float = KEEP, seed: str = "mix") -> DataFrame:
+    """The selected rows with all their columns."""
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    return weighed(described(docs, row), targets, keep, seed).where("selected").select("row.*")
 
 
 def oracle(targets: dict[str, dict[str, float] | None], keep: float = KEEP, seed: str = "mix", rounds: int = ROUNDS) -> str:

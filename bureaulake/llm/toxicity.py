@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bureaulake.llm import tokens
-from bureaulake.llm.common import prepare
+from bureaulake.llm.common import prepare, rows_where
 
 CHAR_ROWS, WIDTH, HIDDEN = 1 << 15, 8, 8
 #: Training texts that a word must be in to have an embedding of its own; fewer if there are few toxic ones.
@@ -333,19 +333,24 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMP
     return train([r["text"] for r in rows], toxic, share), share
 
 
+def grade(p: dict[str, np.ndarray], texts: pa.Array) -> np.ndarray:
+    """Score of each text, by its worst window."""
+    scores = [np.zeros(0)]
+    for i, j, data, offsets in tokens.chunks(texts):
+        words = Words(data, offsets)
+        x = inputs(p, words)
+        worst = np.full(j - i, -np.inf)
+        for k in range(0, len(words.text), 8192):
+            pick = np.arange(k, min(k + 8192, len(words.text)))
+            np.maximum.at(worst, words.text[pick], score_windows(p, x, words.windows(pick)))
+        scores.append(sigmoid(p["scale"][0] * worst + p["scale"][1]))
+    return np.concatenate(scores)
+
+
 def _score(p: dict[str, np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [np.zeros(0)]
-            for i, j, data, offsets in tokens.chunks(batch.column("text")):
-                words = Words(data, offsets)
-                x = inputs(p, words)
-                worst = np.full(j - i, -np.inf)
-                for k in range(0, len(words.text), 8192):
-                    pick = np.arange(k, min(k + 8192, len(words.text)))
-                    np.maximum.at(worst, words.text[pick], score_windows(p, x, words.windows(pick)))
-                scores.append(sigmoid(p["scale"][0] * worst + p["scale"][1]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(scores), pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(grade(p, batch.column("text")), pa.float64())], names=["doc_id", "score"])
 
     return run
 
@@ -359,3 +364,11 @@ def score(docs: DataFrame, model: dict[str, np.ndarray] | None, share: float = 0
         prepare(docs.sparkSession)
         scored = rows.mapInArrow(_score(model), "doc_id long, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def clean(docs: DataFrame, model: dict[str, np.ndarray] | None, share: float = 0.0, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that aren't predicted toxic, with all their columns. Without a model the share decides for all."""
+    if model is None:
+        return docs.where(F.lit(share < threshold))
+    prepare(docs.sparkSession)
+    return rows_where(docs, lambda texts: grade(model, texts) < threshold)
