@@ -31,8 +31,8 @@ BLOCK_IDS = 1 << 20
 CHECKPOINT = 64
 #: Longest code in bits; more only if there are more ids than that tells apart.
 LIMIT = 16
-#: Distinct pre-tokens a worker remembers before it starts anew, and words encoded in one go.
-REMEMBER, AT_ONCE = 1_500_000, 2000
+#: Distinct pre-tokens a worker remembers before it starts anew, words encoded in one go, and bytes of text handled at once.
+REMEMBER, AT_ONCE, TEXT = 400_000, 1000, 4 << 20
 FILE = "part int, block long, n long, bits binary, checkpoints binary, documents binary"
 
 
@@ -71,7 +71,7 @@ def _learn(path: str, keys: list[int], words: list[bytes]) -> None:
 def encode(column: pa.Array | pa.ChunkedArray, path: str, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, ids, offsets) of runs of texts; each text's ids are followed by ``end``."""
     _, _, known = tokenizer(path)
-    for i, j, data, offsets in tokens.chunks(column, blocks.BLOCK // 2):
+    for i, j, data, offsets in tokens.chunks(column, TEXT):
         n, parts = j - i, []
         for a, b, some, where in tokens.chunks(pa.chunked_array([column.slice(i, n)]) if isinstance(column, pa.Array) else column.slice(i, n)):
             some, starts, ends, first = pretokens.pretokens(some, where)

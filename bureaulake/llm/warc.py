@@ -34,8 +34,8 @@ from bureaulake.sources import scratch
 LEAST = 1000
 RECORDS_PER_FILE = 1000
 END = "\r\n\r\n"
-#: Time of capture of page 0; page n was captured n seconds later.
-FIRST_CAPTURE = datetime(2024, 1, 1, tzinfo=UTC)
+#: The table has no times: page n counts as captured n seconds after the first, within these bounds.
+FIRST_CAPTURE, LAST_SECOND = datetime(2024, 1, 1, tzinfo=UTC), 200_000_000_000
 NO_ID = (1 << 128) - 1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ENTRY = "url_key string, time long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, intact boolean"
@@ -71,7 +71,7 @@ def url_key(url: str | None) -> str:
 def record(page_id: int | None, url: str | None, payload: str, refers_to: int | None) -> str:
     raw = payload.encode()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(raw)}{END}"
-    time = FIRST_CAPTURE + timedelta(seconds=page_id or 0)
+    time = FIRST_CAPTURE + timedelta(seconds=min(max(page_id or 0, 0), LAST_SECOND))
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id)}",
             f"WARC-Date: {time.isoformat().replace('+00:00', 'Z')}", "Content-Type: application/http; msgtype=response",
             f"WARC-Payload-Digest: sha1:{base64.b32encode(hashlib.sha1(raw).digest()).decode()}"]
