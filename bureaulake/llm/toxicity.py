@@ -30,6 +30,8 @@ SAMPLE, TEXT_WINDOWS = 1200, 20
 LONGEST = 100_000
 THRESHOLD = 0.3
 GRAMS = (3, 4, 5)
+#: Spellings whose n-grams are held at once.
+AT_ONCE = 1 << 14
 TABLES = ("word", "char")
 #: Part of the embeddings that fades with each step, by the learning rate.
 DECAY = 0.2
@@ -40,6 +42,11 @@ DECAY = 0.2
 
 def spell(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of character n-grams of each word, begin and end marked, as (rows, offsets per word)."""
+    parts = [_spell(data, starts[i : i + AT_ONCE], ends[i : i + AT_ONCE]) for i in range(0, max(1, len(starts)), AT_ONCE)]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p[1]) for p in parts]))])
+
+
+def _spell(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = ends - starts
     padded_at = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(size + 2, out=padded_at[1:])
@@ -68,9 +75,12 @@ def spell(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
 def mean_rows(table: np.ndarray, rows: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = np.diff(offsets)
     out = np.zeros((len(n), table.shape[1]), np.float32)
-    full = n > 0
-    if full.any():
-        out[full] = np.add.reduceat(table[rows], offsets[:-1][full], axis=0) / n[full, None]
+    for i in range(0, len(n), AT_ONCE):
+        own, some = n[i : i + AT_ONCE], offsets[i : i + AT_ONCE + 1]
+        full = own > 0
+        if full.any():
+            sums = np.add.reduceat(table[rows[some[0] : some[-1]]], some[:-1][full] - some[0], axis=0)
+            out[i : i + AT_ONCE][full] = sums / own[full, None]
     return out
 
 
@@ -238,7 +248,7 @@ def train(texts: list[str | None], toxic: np.ndarray, share: float = 0.1, epochs
     total = np.diff(np.append(ahead, len(words.text)))
     chosen = np.concatenate([a + np.unique(np.linspace(0, n - 1, min(n, TEXT_WINDOWS)).astype(int)) for a, n in zip(ahead, total, strict=True)])
     label = toxic[words.text[chosen]].astype(np.float32)
-    spelled = words.windows(chosen)
+    spelled = words.windows(chosen).astype(np.int32)
     m = {k: np.zeros_like(v) for k, v in p.items() if k != "vocabulary"}
     s = {k: np.zeros(1, np.float32) if k in TABLES else np.zeros_like(v) for k, v in m.items()}
     epochs = max(epochs, -(-steps * batch // max(1, len(chosen))))
