@@ -47,7 +47,6 @@ def _binner(feature: str):
 
 # One function per binned feature: bin_utilisation_ratio(col), bin_num_dependants(col), ...
 BINNERS = {f"bin_{feature}": _binner(feature) for feature in catalog.LADDERS}
-globals().update(BINNERS)
 
 
 def employer_weight(has_employer: Column) -> Column:

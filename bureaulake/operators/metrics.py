@@ -6,19 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bureaulake.functions.bins import case
-
-SCORE_BUCKETS = 4096
+from bureaulake.operators.ranking import with_value_bucket
 
 
 def auc(df: DataFrame, keys: list[str]) -> DataFrame:
     """Exact rank AUC per ``keys`` from ``label`` (0/1) and ``score`` in [0, 1], ties counted half.
 
-    Rows collapse to one per distinct score map-side.  The running count of negatives is taken inside score
-    buckets plus a per-bucket start, so no task sorts all scores.
+    Rows collapse to one per distinct score map-side.  The running count of negatives is taken inside buckets between
+    split points of the scores plus a per-bucket start, so no task sorts all scores, also when they lie close together.
     """
-    counts = df.groupBy(*keys, "score").agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"),
-    ).withColumn("_b", F.floor(F.col("score") * SCORE_BUCKETS))
+    counts = with_value_bucket(df.groupBy(*keys, "score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")), keys, "score")
     keyed = [F.col(k) for k in keys] + [F.lit(0)]
     before = Window.partitionBy(*keyed).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.groupBy(*keys, "_b").agg(F.sum("neg").alias("_n")).select(

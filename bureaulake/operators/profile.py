@@ -70,12 +70,8 @@ def as_double_rows(df: DataFrame, columns: list[str], keep: list[str] = ()) -> D
     return cast.unpivot(list(keep), columns, "column", "value")
 
 
-def outliers(df: DataFrame, key: str, limit: int = 100, exact_stats: DataFrame | None = None) -> DataFrame:
-    """Values more than 1.96 standard deviations from the mean, the ``limit`` lowest keys per column.
-
-    The limit belongs to the report.  It is applied with a top-k aggregate per column and task first, so the
-    final ranking sees ``limit`` rows per task instead of all outliers.
-    """
+def outliers(df: DataFrame, key: str, exact_stats: DataFrame | None = None) -> DataFrame:
+    """All values more than 1.96 standard deviations from the mean of their column."""
     columns = [c for c in numeric_columns(df) if c != key]
 
     def metrics(c):
@@ -84,12 +80,11 @@ def outliers(df: DataFrame, key: str, limit: int = 100, exact_stats: DataFrame |
 
     stats = per_column(df, columns, metrics) if exact_stats is None else exact_stats
     rows = as_double_rows(df, columns, [key]).join(F.broadcast(stats.filter("std > 0")), "column")  # one row per column
-    far = rows.filter(F.abs((F.col("value") - F.col("mean")) / F.col("std")) > Z_LIMIT).select("column", key, "value")
-    return smallest_per_group(far, ["column"], key, ["value"], limit)
+    return rows.filter(F.abs((F.col("value") - F.col("mean")) / F.col("std")) > Z_LIMIT).select("column", key, "value")
 
 
 def smallest_per_group(df: DataFrame, keys: list[str], order: str, values: list[str], limit: int, salt: int = 256) -> DataFrame:
-    """``limit`` rows with the smallest ``order`` per group, ranked in salted sub-groups first."""
+    """``limit`` rows with the smallest ``order`` per group, for reports of the top rows; ranked in salted sub-groups first."""
     from pyspark.sql import Window
 
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(salt)))
@@ -221,6 +216,25 @@ def majority_types(df: DataFrame) -> DataFrame:
         F.min_by("type", F.struct((-F.col("n")).alias("n"), "type")).alias("type"), F.sum("n").alias("n"), F.max("n").alias("votes"))
 
 
+def column_sets(presence: DataFrame) -> DataFrame:
+    """One row: how many columns any sample has and how many all have, from ``sample_id, column`` of columns with values."""
+    samples = presence.agg(F.count_distinct("sample_id").alias("samples"))
+    each = presence.groupBy("column").agg(F.count_distinct("sample_id").alias("n")).crossJoin(F.broadcast(samples))  # one row
+    return each.agg(F.count(F.lit(1)).alias("all_columns"), F.count_if(F.col("n") == F.col("samples")).alias("common_columns"))
+
+
+def examples(df: DataFrame, columns: list[str], size: int = 3) -> DataFrame:
+    """Up to ``size`` different values of each column, the smallest by hash, as text.
+
+    The size belongs to the report.  Values are taken per task first: the aggregate state is ``size`` values.
+    """
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "value").filter("value is not null")
+    digest = F.md5(F.col("value").cast("binary"))
+    firsts = long.groupBy("column", F.substring(digest, 1, 2).alias("part")).agg(F.min(F.struct(digest.alias("d"), "value")).alias("top"))
+    ordered = F.slice(F.array_sort(F.collect_list("top")), 1, size)  # at most 256 values per column
+    return firsts.groupBy("column").agg(F.transform(ordered, lambda t: t["value"]).alias("examples"))
+
+
 def merged(profiles: DataFrame) -> DataFrame:
     """Profiles of several samples to one: numbers averaged, the most frequent type, patterns united."""
     types = profiles.groupBy("column", "type").agg(F.count(F.lit(1)).alias("votes")).groupBy("column").agg(

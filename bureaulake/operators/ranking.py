@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH_PREFIX = 4  # 65 536 buckets for an evenly spread hash
+BUCKETS = 256
 
 
 def row_number_in_buckets(df: DataFrame, keys: list[str], bucket: Column, order: list[Column],
@@ -49,30 +50,34 @@ def split_labels(df: DataFrame, stratum: list[str], digest: Column, train: float
                              ).drop("_digest", "_rank", "_size")
 
 
-def hash_sample(df: DataFrame, digest: Column, size: int, total: int) -> DataFrame:
-    """The ``size`` rows with the smallest digests.
+def hash_sample(df: DataFrame, digest: Column, size: int) -> DataFrame:
+    """The ``size`` rows with the smallest digests, or all rows if there are fewer; every task keeps at most ``size``."""
+    return df.withColumn("_digest", digest).orderBy("_digest").limit(size).drop("_digest")
 
-    Rows far above the expected cut are dropped before the ordering, with a margin of ten standard deviations,
-    so the final top-k sees about ``size`` rows instead of ``size`` per partition.
+
+def with_value_bucket(df: DataFrame, keys: list[str], value: str, name: str = "_b", buckets: int = BUCKETS) -> DataFrame:
+    """Adds a bucket number that doesn't decrease along ``value``.
+
+    Split points are approximate quantiles of the rows at hand, so that buckets have about as many rows each, however
+    values are spread; equal values share a bucket. There is one row of split points per key.
     """
-    keep = min(1.0, (size + 10.0 * size ** 0.5 + 100.0) / max(total, 1))
-    position = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(16 ** 8))
-    return df.withColumn("_digest", digest).filter(position <= keep).orderBy("_digest").limit(size).drop("_digest")
+    shares = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
+    splits = df.groupBy(*keys).agg(F.percentile_approx(value, shares, 20 * buckets).alias("_splits"))
+    joined = df.join(splits, keys) if keys else df.crossJoin(F.broadcast(splits))  # one row
+    return joined.withColumn(name, F.size(F.filter("_splits", lambda s: s < F.col(value)))).drop("_splits")
 
 
-def quantiles(df: DataFrame, keys: list[str], shares: list[float], buckets: int = 4096) -> DataFrame:
+def quantiles(df: DataFrame, keys: list[str], shares: list[float], buckets: int = BUCKETS) -> DataFrame:
     """Exact interpolated quantiles of ``value`` per ``keys``: one row per key and ``share``.
 
-    No task holds all values.  Equal values collapse map-side, even value ranges give the rows before each bucket, and
-    only the buckets that hold a wanted rank are ordered.
+    No task holds all values.  Equal values collapse map-side, buckets between split points of the values give the rows
+    before each bucket, and only the buckets that hold a wanted rank are ordered.
     """
     counts = df.filter("value is not null").groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
-    span = counts.groupBy(*keys).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.sum("_n").alias("_total"))
-    width = F.col("_hi") - F.col("_lo")
-    place = F.floor((F.col("value") - F.col("_lo")) / F.when(width > 0, width) * buckets)
-    spread = counts.join(span.select(*keys, "_lo", "_hi"), keys).withColumn("_b", F.coalesce(place, F.lit(0))).drop("_lo", "_hi")
+    span = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    spread = with_value_bucket(counts, keys, "value", "_b", buckets)
 
-    # Bucket totals: at most ``buckets + 1`` rows per key.
+    # Bucket totals: at most ``buckets`` rows per key.
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = spread.groupBy(*keys, "_b").agg(F.sum("_n").alias("_m")).withColumn("_start", F.coalesce(F.sum("_m").over(before), F.lit(0)))
     position = (F.col("_total") - 1) * F.col("share")

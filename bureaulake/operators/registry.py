@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bureaulake import catalog
-from bureaulake.operators.ranking import row_number_in_buckets
+from bureaulake.operators.ranking import row_number_in_buckets, with_value_bucket
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column], values: list[str]) -> DataFrame:
@@ -21,10 +21,10 @@ def first(df: DataFrame, keys: list[str], order: list[Column], values: list[str]
     return df.groupBy(*keys).agg(F.min(ranked).alias("_top")).select(*keys, *[F.col(f"_top.{v}").alias(v) for v in values])
 
 
-def version_numbers(df: DataFrame, keys: list[str], order: str, width: int = 1_000_000) -> DataFrame:
-    """Adds ``mini_version`` 0, 1, 2.. per key along an integer column, also for a key with very many rows."""
-    numbered = row_number_in_buckets(df, keys, F.floor(F.col(order) / width), [F.col(order)], "_n")
-    return numbered.withColumn("mini_version", F.col("_n") - 1).drop("_n")
+def version_numbers(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Adds ``mini_version`` 0, 1, 2.. per key along a numeric column, also for a key with very many rows."""
+    numbered = row_number_in_buckets(with_value_bucket(df, keys, order, "_part"), keys, F.col("_part"), [F.col(order)], "_n")
+    return numbered.withColumn("mini_version", F.col("_n") - 1).drop("_n", "_part")
 
 
 def reuse(requests: DataFrame, artefacts: DataFrame, keys: list[str]) -> DataFrame:

@@ -62,8 +62,7 @@ def feature_histograms(spark, d):
 
 
 def _psi(spark, d):
-    both = monitoring.histograms(cohorts(spark, d), ["cohort"])
-    return monitoring.psi(both.filter("cohort = 'baseline'").drop("cohort"), both.filter("cohort = 'recent'").drop("cohort"))
+    return monitoring.cohort_psi(monitoring.histograms(cohorts(spark, d), ["cohort"]), "baseline", "recent")
 
 
 @query("psi", sql("SELECT feature, round(raw_psi, 4) AS psi, severity FROM sev", **_DRIFT))
@@ -319,7 +318,7 @@ _LATEST_MAP = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY bank_id,
 
 
 def _numbered_mappings(spark, d):
-    return registry.version_numbers(mappings(spark, d), ["bank_id", "schema_hash", "version"], "event_id", width=2000)
+    return registry.version_numbers(mappings(spark, d), ["bank_id", "schema_hash", "version"], "event_id")
 
 
 @query("mapping_versions", sql("SELECT bank_id, schema_hash, version, event_id, mini_version FROM mini", map=_MAP, mini=_MINI))

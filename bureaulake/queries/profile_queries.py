@@ -70,13 +70,21 @@ def profile_distribution(spark, d):
         "column", "min", "max", F.round("mean", 6).alias("mean"), F.round("median", 6).alias("median"), F.round("std", 4).alias("std"), "unique_count")
 
 
-@query("zscore_outliers", """SELECT "column", event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY event_id) AS rn FROM (
-  SELECT 'value' AS "column", event_id, value FROM events, (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events) WHERE abs((value - m) / s) > 1.96
-  UNION ALL SELECT 'user_id', event_id, CAST(user_id AS DOUBLE) FROM events, (SELECT avg(user_id) AS m, stddev_samp(user_id) AS s FROM events) WHERE abs((user_id - m) / s) > 1.96)) WHERE rn <= 100""")
+@query("zscore_outliers", """SELECT 'value' AS "column", event_id, value FROM events, (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events) WHERE abs((value - m) / s) > 1.96
+  UNION ALL SELECT 'user_id', event_id, CAST(user_id AS DOUBLE) FROM events, (SELECT avg(user_id) AS m, stddev_samp(user_id) AS s FROM events) WHERE abs((user_id - m) / s) > 1.96""")
 def zscore_outliers(spark, d):
     return profile.outliers(table(spark, d, "events").select("event_id", "user_id", "value"), "event_id")
 
 
+@query("profile_examples", sql("""SELECT "column", array_to_string(list(value ORDER BY d)[1:3], '|') AS examples FROM (
+  SELECT "column", min(d) AS d, arg_min(value, d) AS value FROM (SELECT "column", value, md5(value) AS d FROM ("""
+    + _each("SELECT '{c}' AS \"column\", {c} AS value FROM up WHERE {c} IS NOT NULL", ["full_name", "email", "phone_number", "amount_text", "signup_date", "segment"])
+    + """)) GROUP BY "column", substr(d, 1, 2)) GROUP BY 1""", up=_UP))
+def profile_examples(spark, d):
+    """Three different values of each text column."""
+    return profile.examples(upload(spark, d), _TEXTS).select("column", F.array_join("examples", "|").alias("examples"))
+
+
 @query("profile_types", sql(_each(
     "SELECT '{c}' AS \"column\", CASE WHEN bool_and(regexp_matches(trim(CAST({c} AS VARCHAR)), '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$')) "
     "THEN 'string_numeric' ELSE 'string' END AS type FROM up", _TEXTS) + " UNION ALL VALUES ('customer_id', 'integer'), ('nation', 'integer'), ('balance', 'float')", up=_UP))
@@ -128,30 +136,24 @@ def date_formats(spark, d):
 
 @query("schema_detect", sql(_each("""SELECT '{c}' AS "column", arg_min(kind, struct_pack(a := -n, b := kind)) AS type, CAST(sum(n) AS BIGINT) AS n, max(n) AS votes FROM (
   SELECT CASE WHEN regexp_matches({c}, '^[+-]?\\d+$') THEN 'integer' WHEN regexp_matches(replace({c}, ',', ''), '^[+-]?\\d*\\.?\\d+$') AND NOT contains({c}, ',') THEN 'float'
-    WHEN regexp_matches({c}, '^(\\d{4}-\\d{2}-\\d{2}|\\d{2}/\\d{2}/\\d{4})$') THEN 'date' ELSE 'string' END AS kind, count(*) AS n FROM up WHERE {c} IS NOT NULL GROUP BY 1)""", _TEXTS), up=_UP))
+    WHEN regexp_matches({c}, '^(\\d{4}-\\d{2}-\\d{2}|\\d{2}/\\d{2}/\\d{4})$') THEN 'date' ELSE 'string' END AS kind, count(*) AS n FROM (SELECT CAST({c} AS VARCHAR) AS {c} FROM up) WHERE {c} IS NOT NULL GROUP BY 1)"""), up=_UP))
 def schema_detect(spark, d):
-    """Majority type of every text column, from values only."""
-    return profile.majority_types(upload(spark, d).select(*_TEXTS))
+    """Majority type of every column, from values only."""
+    return profile.majority_types(upload(spark, d).select(*[F.col(c).cast("string").alias(c) for c in _COLUMNS]))
 
 
 # --- samples -------------------------------------------------------------------------------------------------
 
 
-def _samples(spark, d, size=200):
-    """Three samples without replacement by seeded hash, one table with ``sample_id``."""
+def _samples(spark, d, size=10_000):
+    """Three samples without replacement by seeded hash, one table with ``sample_id``; a smaller table is in each as a whole."""
     df = upload(spark, d)
-    total = df.count()  # one number decides between the full table and samples
-    if total <= size:
-        return df.withColumn("sample_id", F.lit(0))
-    parts = [ranking.hash_sample(df, F.md5(F.concat(F.col("customer_id").cast("string"), F.lit(f"-{seed}"))), size, total)
+    parts = [ranking.hash_sample(df, F.md5(F.concat(F.col("customer_id").cast("string"), F.lit(f"-{seed}"))), size)
              .withColumn("sample_id", F.lit(seed)) for seed in (1, 2, 3)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-_SAMPLES = """SELECT *, 0 AS sample_id FROM up WHERE (SELECT count(*) FROM up) <= 200
-UNION ALL SELECT *, 1 FROM (SELECT * FROM up WHERE (SELECT count(*) FROM up) > 200 ORDER BY md5(customer_id || '-1') LIMIT 200)
-UNION ALL SELECT *, 2 FROM (SELECT * FROM up WHERE (SELECT count(*) FROM up) > 200 ORDER BY md5(customer_id || '-2') LIMIT 200)
-UNION ALL SELECT *, 3 FROM (SELECT * FROM up WHERE (SELECT count(*) FROM up) > 200 ORDER BY md5(customer_id || '-3') LIMIT 200)"""
+_SAMPLES = " UNION ALL ".join(f"SELECT *, {i} AS sample_id FROM (SELECT * FROM up ORDER BY md5(customer_id || '-{i}') LIMIT 10000)" for i in (1, 2, 3))
 
 
 @query("resamples", sql("SELECT sample_id, customer_id, email, balance FROM samples", samples=_SAMPLES, up=_UP))
@@ -159,29 +161,50 @@ def resamples(spark, d):
     return _samples(spark, d).select("sample_id", "customer_id", "email", "balance")
 
 
+def _parts(spark, d, parts=3):
+    """The whole table in three groups by hash, as ``sample_id``: together they hold every row once."""
+    digest = F.conv(F.substring(F.md5(F.col("customer_id").cast("string")), 1, 6), 16, 10).cast("long")
+    return upload(spark, d).withColumn("sample_id", (digest % parts).cast("int"))
+
+
+_PARTS = "SELECT *, CAST(('0x' || substr(md5(CAST(customer_id AS VARCHAR)), 1, 6))::BIGINT % 3 AS INTEGER) AS sample_id FROM up"
+
+
 @query("sample_stats", sql("""SELECT sample_id, count(*) AS n, count(balance) AS filled, round(avg(balance), 4) AS mean, min(balance) AS min, max(balance) AS max,
-  9 AS all_columns, 9 - CAST(count(email) = 0 AS INTEGER) AS common_columns FROM samples GROUP BY 1""", samples=_SAMPLES, up=_UP))
+  (SELECT count(*) FROM shared) AS all_columns, (SELECT count(*) FROM shared WHERE n = (SELECT count(DISTINCT sample_id) FROM parts)) AS common_columns FROM parts GROUP BY 1""",
+    shared='SELECT "column", count(*) AS n FROM (' + _each("SELECT '{c}' AS \"column\", sample_id FROM parts GROUP BY sample_id HAVING count({c}) > 0") + ') GROUP BY 1', parts=_PARTS, up=_UP))
 def sample_stats(spark, d):
-    present = F.array(*[F.when(F.count(c) > 0, F.lit(c)) for c in _COLUMNS])
-    return _samples(spark, d).groupBy("sample_id").agg(
+    rows = _parts(spark, d)
+    present = rows.groupBy("sample_id").agg(F.array_compact(F.array(*[F.when(F.count(c) > 0, F.lit(c)) for c in _COLUMNS])).alias("present"))
+    sets = profile.column_sets(present.select("sample_id", F.explode("present").alias("column")))
+    stats = rows.groupBy("sample_id").agg(
         F.count(F.lit(1)).alias("n"), F.count("balance").alias("filled"), F.round(F.avg("balance"), 4).alias("mean"),
-        F.min("balance").alias("min"), F.max("balance").alias("max"), F.lit(len(_COLUMNS)).alias("all_columns"),
-        F.size(F.array_compact(present)).alias("common_columns"))
+        F.min("balance").alias("min"), F.max("balance").alias("max"))
+    return stats.crossJoin(F.broadcast(sets))  # one row
 
 
-@query("profile_merged", sql("""SELECT 'balance' AS "column", 'float' AS type, round(avg(c), 4) AS completeness_pct, round(avg(m), 4) AS mean, round(avg(lo), 4) AS min, round(avg(hi), 4) AS max, count(*) AS samples
-  FROM (SELECT sample_id, round(count(balance) * 100e0 / count(*), 2) AS c, avg(balance) AS m, min(balance) AS lo, max(balance) AS hi FROM samples GROUP BY 1)
-UNION ALL SELECT 'nation', 'integer', round(avg(c), 4), round(avg(m), 4), round(avg(lo), 4), round(avg(hi), 4), count(*)
-  FROM (SELECT sample_id, round(count(nation) * 100e0 / count(*), 2) AS c, avg(nation) AS m, min(nation) AS lo, max(nation) AS hi FROM samples GROUP BY 1)""", samples=_SAMPLES, up=_UP))
+_NAMED_PARTS = _each("SELECT '{c}' AS \"column\", sample_id, count({c}) AS n, count(DISTINCT {c}) AS d, count(*) FILTER (regexp_matches(trim({c}), '^[A-Za-z0-9_-]+$')) AS sep, " + _SHARES + " FROM parts GROUP BY sample_id", _TEXTS)
+_PART_NUMBERS = _each("SELECT '{c}' AS \"column\", sample_id, round(count({c}) * 100e0 / count(*), 2) AS c, CAST(NULL AS DOUBLE) AS m, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi FROM parts GROUP BY sample_id", _TEXTS) + " UNION ALL " + _each(
+    "SELECT '{c}', sample_id, round(count({c}) * 100e0 / count(*), 2), avg({c}), min({c}), max({c}) FROM parts GROUP BY sample_id", ["customer_id", "balance", "nation"])
+
+
+@query("profile_merged", sql("""SELECT "column", t AS type, round(avg(c), 4) AS completeness_pct, round(avg(m), 4) AS mean, round(avg(lo), 4) AS min, round(avg(hi), 4) AS max, count(*) AS samples, coalesce(any_value(patterns), '') AS patterns
+  FROM numbers JOIN (""" + _TYPES.replace("VALUES", "SELECT * FROM (VALUES", 1) + """) v(c0, t)) ON c0 = "column" LEFT JOIN united USING ("column") GROUP BY 1, 2""",
+    numbers=_PART_NUMBERS, united="""SELECT "column", array_to_string(list_sort(list_distinct(flatten(list(string_split(p, ','))))), ',') AS patterns FROM (
+  SELECT "column", CASE WHEN named <> '' THEN named WHEN sep >= n * 0.5 THEN 'ALPHANUMERIC_WITH_SEPARATORS' WHEN d / n > 0.9 THEN 'UNIQUE_TEXT' ELSE 'TEXT' END AS p
+  FROM (SELECT *, """ + _NAMED + """ AS named FROM named_parts) WHERE n > 0) GROUP BY 1""", named_parts=_NAMED_PARTS, parts=_PARTS, up=_UP))
 def profile_merged(spark, d):
-    """Per-sample profiles of two columns united into one row per column."""
-    long = _samples(spark, d).select("sample_id", F.col("balance"), F.col("nation").cast("double").alias("nation")).unpivot(
-        ["sample_id"], ["balance", "nation"], "column", "value")
-    each = long.groupBy("sample_id", "column").agg(
-        F.round(F.count("value") * 100.0 / F.count(F.lit(1)), 2).alias("completeness_pct"), F.avg("value").alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.max(F.when(F.col("column") == "balance", F.lit("float")).otherwise("integer")).alias("type"))
-    return profile.merged(each).select("column", "type", *[F.round(n, 4).alias(n) for n in ("completeness_pct", "mean", "min", "max")], "samples")
+    """Profiles of the table's three parts united into one row per column: types, numbers and the union of text patterns."""
+    rows = _parts(spark, d)
+    each, patterns = [], []
+    for part in range(3):
+        own = rows.filter(F.col("sample_id") == part).drop("sample_id")
+        gaps = profile.missing(own).select("column", "completeness_pct")
+        each.append(gaps.join(profile.logical_types(own), "column").join(profile.distribution(own, exact=False).select("column", "mean", "min", "max"), "column", "left"))
+        patterns.append(profile.text_patterns(own).select("column", F.explode("patterns").alias("pattern")))
+    united = patterns[0].unionByName(patterns[1]).unionByName(patterns[2]).groupBy("column").agg(F.array_join(F.array_sort(F.collect_set("pattern")), ",").alias("patterns"))
+    merged = profile.merged(each[0].unionByName(each[1]).unionByName(each[2])).join(united, "column", "left")
+    return merged.select("column", "type", *[F.round(n, 4).alias(n) for n in ("completeness_pct", "mean", "min", "max")], "samples", F.coalesce("patterns", F.lit("")).alias("patterns"))
 
 
 @query("split_stratified", """SELECT segment, split, count(*) AS n, min(key) AS first_key, max(key) AS last_key FROM (SELECT *, CASE WHEN rn <= floor(size * 0.70e0) THEN 'train'
@@ -206,13 +229,20 @@ def completeness_scores(spark, d):
     return profile.completeness(profile_missing(spark, d), ["email", "balance"])
 
 
-@query("quality_report", sql("SELECT 3 AS parts, round((0.9e0 * 0.2e0 + weighted * 0.5e0 + 0.1e0) / (0.2e0 + 0.5e0 + 0.1e0), 4) AS quality_score FROM complete", complete=_COMPLETE, miss=_MISSING, up=_UP)
-       .replace("SELECT 3 AS parts", "SELECT CAST(3 AS BIGINT) AS parts"))
+_MAILS = "SELECT count(*) FILTER (regexp_matches(trim(email), '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$')) / count(email)::DOUBLE AS pii, CAST(count(*) > 0 AS INTEGER) AS readable FROM up"
+_VOTES = ORACLE["schema_detect"]
+
+
+@query("quality_report", sql("""SELECT CAST(4 AS BIGINT) AS parts, round((schema * 0.2e0 + weighted * 0.5e0 + pii * 0.2e0 + readable * 0.1e0) / (0.2e0 + 0.5e0 + 0.2e0 + 0.1e0), 4) AS quality_score
+  FROM complete, mails, (SELECT avg(votes / n::DOUBLE) AS schema FROM (""" + _VOTES + "))", mails=_MAILS, complete=_COMPLETE, miss=_MISSING, up=_UP))
 def quality_report(spark, d):
-    """Format confidence 0.9, measured completeness, no PII confidence (left out), readable file."""
-    parts = completeness_scores(spark, d).select(F.inline(profile.quality_parts(
-        F.lit(0.9), F.col("weighted"), F.lit(0.0), F.lit(1.0))))
-    return profile.quality_score(parts)
+    """Four measured parts: agreement of the values with their column's type, completeness, mail addresses that are some, rows read."""
+    df = upload(spark, d)
+    agreement = schema_detect(spark, d).agg(F.avg(F.col("votes") / F.col("n")).alias("schema"))
+    mail = F.trim("email").rlike(profile.TEXT_PATTERNS["EMAIL"])
+    found = df.agg((F.count_if(mail) / F.count("email")).alias("pii"), (F.count(F.lit(1)) > 0).cast("int").alias("readable"))
+    one = completeness_scores(spark, d).crossJoin(F.broadcast(agreement)).crossJoin(F.broadcast(found))  # one row each
+    return profile.quality_score(one.select(F.inline(profile.quality_parts(F.col("schema"), F.col("weighted"), F.col("pii"), F.col("readable")))))
 
 
 @query("pipeline_summary", sql("""SELECT CAST(count(*) AS BIGINT) AS columns, count(*) FILTER (null_count > 0) AS columns_with_nulls, CAST(3 AS BIGINT) AS numeric_columns,

@@ -263,11 +263,12 @@ def batch_guard(spark, d, limit: int = 100):
         F.count(F.lit(1)).alias("lines"), (F.count(F.lit(1)) <= limit).alias("accepted"))
 
 
-@query("feature_key_diff", sql("""SELECT k + 1 AS line_no, CASE WHEN k % 13 = 0 THEN 'highest_delinquency_rating' ELSE '' END AS missing,
-  CASE WHEN k % 17 = 0 THEN 'bonus' ELSE '' END AS extra FROM keys WHERE k % 37 <> 3""", **_CTE))
+@query("feature_key_diff", sql("SELECT k + 1 AS line_no, CASE WHEN k % 37 = 3 THEN '" + ",".join(sorted(FEATURE_NAMES)) + """' WHEN k % 13 = 0 THEN 'highest_delinquency_rating' ELSE '' END AS missing,
+  CASE WHEN k % 17 = 0 AND k % 37 <> 3 THEN 'bonus' ELSE '' END AS extra FROM keys""", **_CTE))
 def feature_key_diff(spark, d):
-    missing, extra = batches.key_difference(F.col("features"))
-    return applicant_lines(spark, d).filter("features is not null").select(
+    """A line without features misses all of them."""
+    missing, extra = batches.key_difference(F.coalesce("features", F.create_map().cast("map<string,double>")))
+    return applicant_lines(spark, d).select(
         "line_no", F.array_join(missing, ",").alias("missing"), F.array_join(extra, ",").alias("extra"))
 
 
@@ -275,17 +276,18 @@ _REQ = [n for n in FEATURE_NAMES if n in catalog.REQUIRED_FEATURES]
 
 
 @query("validate_inference", sql("""SELECT k + 1 AS line_no, concat_ws('; ',
-  CASE WHEN k % 13 = 0 THEN 'missing highest_delinquency_rating' END,
-  CASE WHEN k % 19 = 0 THEN 'null applicant_age' END) AS errors FROM keys WHERE k % 37 <> 3""", **_CTE))
+  CASE WHEN k % 37 = 3 THEN 'features missing' WHEN k % 13 = 0 THEN 'missing highest_delinquency_rating' END,
+  CASE WHEN k % 19 = 0 AND k % 37 <> 3 THEN 'null applicant_age' END) AS errors FROM keys""", **_CTE))
 def validate_inference(spark, d):
-    """Every name must be there; only imputable ones may be null or NaN."""
+    """Every name must be there; only imputable ones may be null or NaN. Lines without features are reported as such."""
     values = F.col("features")
     missing, _ = batches.key_difference(values)
     null = F.array_compact(F.array(*[
         F.when(F.map_contains_key(values, n) & (values[n].isNull() | F.isnan(values[n])), F.lit(n)) for n in _REQ]))
     parts = F.concat(F.transform(missing, lambda m: F.concat(F.lit("missing "), m)),
                      F.transform(null, lambda m: F.concat(F.lit("null "), m)))
-    return applicant_lines(spark, d).filter("features is not null").select("line_no", F.array_join(parts, "; ").alias("errors"))
+    errors = F.when(values.isNull(), F.lit("features missing")).otherwise(F.array_join(parts, "; "))
+    return applicant_lines(spark, d).select("line_no", errors.alias("errors"))
 
 
 @query("model_subset", sql("""SELECT k AS key, CASE k % 6 WHEN 0 THEN 'credit_risk,fraud_detection,loan_amount,income_verification'
@@ -363,12 +365,12 @@ def path_metadata(spark, d):
     return aligned.select("event_id", "path", *[c.alias(n) for n, c in batches.path_parts(F.col("path")).items()])
 
 
-@query("error_codes", sql("""SELECT e AS event_id, CASE e % 8
+@query("error_codes", sql("SELECT event_id, error_code, CASE error_code " + " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in batches.ERROR_TEXT.items()) + """ END AS user_text FROM (SELECT e AS event_id, CASE e % 8
   WHEN 0 THEN CASE WHEN e % 3 = 0 THEN 'SCHEMA_DETECTION_FAILED' ELSE 'INTROSPECTION_FAILED' END
   WHEN 1 THEN 'SCHEMA_DETECTION_FAILED' WHEN 2 THEN 'DATA_SAMPLING_FAILED' WHEN 3 THEN 'DATA_ANALYSIS_FAILED'
   WHEN 4 THEN CASE WHEN e % 3 = 2 THEN 'PII_DETECTION_FAILED' ELSE 'ANONYMIZATION_FAILED' END WHEN 5 THEN 'SCHEMA_MAPPING_FAILED'
   ELSE CASE WHEN e % 2 = 0 THEN 'CONNECTION_ERROR' WHEN e % 3 = 1 THEN 'STORAGE_ERROR' WHEN e % 5 = 0 THEN 'VALIDATION_ERROR' ELSE 'UNKNOWN_ERROR' END END AS error_code
-FROM msg""", msg=_MSG))
+FROM msg)""", msg=_MSG))
 def error_codes(spark, d):
     ev = F.col("event_id")
     # Systems and messages by event id.
@@ -378,4 +380,4 @@ def error_codes(spark, d):
     message = F.element_at(F.array(F.lit("Bad file format"), F.lit("Blob not found"), F.lit("Detection stopped")), (ev % 3 + 1).cast("int"))
     kind = F.when(ev % 2 == 0, F.lit("ConnectionError")).when(ev % 5 == 0, F.lit("KeyError")).otherwise("RuntimeError")
     code = batches.error_code(kind, message, system)
-    return table(spark, d, "events").select("event_id", code.alias("error_code"))
+    return table(spark, d, "events").select("event_id", code.alias("error_code"), batches.error_text(code).alias("user_text"))

@@ -38,7 +38,7 @@ def test_split_is_exact_and_reproducible(spark):
 def test_hash_sample_takes_the_smallest_digests(spark):
     df = spark.range(5000).withColumn("h", F.md5(F.col("id").cast("string")))
     want = {r["id"] for r in df.orderBy("h").limit(100).collect()}
-    assert {r["id"] for r in ranking.hash_sample(df, F.col("h"), 100, 5000).collect()} == want
+    assert {r["id"] for r in ranking.hash_sample(df, F.col("h"), 100).collect()} == want
 
 
 def test_smallest_per_group(spark):
