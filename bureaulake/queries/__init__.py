@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import wraps
 from importlib import import_module
 
+from bureaulake.shipping import ship
+
 MODULES = ["scoring_queries", "report_queries", "decision_queries", "profile_queries", "monitoring_queries", "file_queries", "streaming_queries", "model_queries"]
 
 
@@ -18,8 +21,17 @@ def _merged(attribute: str) -> dict:
     return merged
 
 
+def _shipped(fn):
+    @wraps(fn)
+    def run(spark, sf_dir):
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict:
-    return _merged("QUERIES")
+    return {name: _shipped(fn) for name, fn in _merged("QUERIES").items()}
 
 
 def oracle_sql() -> dict:

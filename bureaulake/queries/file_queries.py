@@ -207,13 +207,15 @@ def bronze_verify(spark, d):
     return verified(inventory(source), inventory(bronze), "upload")
 
 
-@query("jsonl_lines", sql("SELECT row_number() OVER (ORDER BY customer_id) AS line_no, customer_id FROM up WHERE customer_id % 25 <> 4", up=_UP))
+@query("jsonl_lines", sql("SELECT row_number() OVER (PARTITION BY customer_id % 8 ORDER BY customer_id) AS line_no, customer_id FROM up WHERE customer_id % 25 <> 4", up=_UP))
 def jsonl_lines(spark, d):
-    """Line numbers of one file read in many splits; blank lines do not count."""
+    """Line numbers of files, each read in many splits if it is large; blank lines do not count."""
     path = scratch.folder(spark, "lines")
     line = F.when(F.col("customer_id") % 25 == 4, F.lit("   ")).otherwise(F.to_json(F.struct("customer_id")))
-    upload(spark, d).select("customer_id", line.alias("value")).coalesce(1).sortWithinPartitions("customer_id").select("value").write.text(path)
-    numbered = batches.number_lines(files.read_lines(spark, path))
+    part = (F.col("customer_id") % 8).alias("part")
+    upload(spark, d).select(part, "customer_id", line.alias("value")).repartition("part").sortWithinPartitions("part", "customer_id").select(
+        "part", "value").write.partitionBy("part").text(path)
+    numbered = batches.number_lines(files.read_lines(spark, f"{path}/part=*"))
     return numbered.select("line_no", F.get_json_object("line", "$.customer_id").cast("long").alias("customer_id"))
 
 

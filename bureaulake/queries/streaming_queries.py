@@ -42,6 +42,18 @@ def stream_dedup(spark, d):
     return jobs.rows(jobs.deduplicate(stream, ["message_id", "event_type"]), "dedup").select("message_id", "event_type")
 
 
+@query("stream_late", """SELECT CASE WHEN event_id % 3 = 2 AND ts < (SELECT max(ts) FROM events WHERE event_id % 3 < 2) - INTERVAL 10 DAY THEN 'late' ELSE 'rows' END AS kind, count(*) AS n,
+  sum(event_id)::BIGINT AS ids FROM events GROUP BY 1""")
+def stream_late(spark, d):
+    """Events whose third share is delivered last: what is more than ten days late goes to a side table."""
+    ev = F.col("event_id")
+    events = table(spark, d, "events").select("event_id", jobs.utc(F.col("ts")).alias("at"))
+    stream = jobs.staged(events, F.when(ev % 3 == 2, 1).otherwise(0), 2, "late-events")
+    out = jobs.run(stream, jobs.late_sink(["event_id"], "at", 10 * 86_400_000), "append", "late")
+    kept = [spark.read.schema(stream.schema).parquet(f"{out}/{kind}").withColumn("kind", F.lit(kind)) for kind in ("rows", "late")]
+    return kept[0].unionByName(kept[1]).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
 @query("stream_fanout", """SELECT 'job-' || event_id || '-' || lpad(CAST(i AS VARCHAR), 5, '0') AS request_id, event_id FROM events, range(0, 3) r(i) WHERE i <= event_id % 3""")
 def stream_fanout(spark, d):
     """A job message becomes one message per applicant."""
@@ -69,7 +81,7 @@ def stream_collect(spark, d):
     """Two-phase collection over four micro-batches; ends where the batch collector ends."""
     messages = _messages(spark, d)
     stream = jobs.staged(messages, F.pmod(F.xxhash64("request_id", "model_type"), F.lit(4)), 4, "messages")
-    reached = jobs.final_states(jobs.rows(jobs.collect(stream), "collect"))
+    reached = jobs.final_states(jobs.rows(jobs.collect(stream, delay="400 days"), "collect"))
     asked = dq.contexts(spark, d).select("request_id")
     return asked.join(reached, "request_id", "left").select("request_id", F.coalesce("state", F.lit("waiting")).alias("state"))
 
@@ -119,14 +131,14 @@ _SB = "CASE " + " ".join(f"WHEN v >= {i} * 0.1e0 THEN {i}" for i in range(9, 0,
 
 @query("stream_drift", sql("""SELECT day, feature, round(sum((a - e) * ln(a / e)), 4) AS psi FROM (
   SELECT g.day, g.feature, g.bin, coalesce(bb.n, 0) / bt.total::DOUBLE + 1e-6 AS e, coalesce(w.n, 0) / g.total::DOUBLE + 1e-6 AS a
-  FROM (SELECT t.day, t.feature, t.total, unnest(range(0, 10)) AS bin FROM (SELECT day, feature, sum(n) AS total FROM win GROUP BY 1, 2 HAVING sum(n) >= 50) t) g
+  FROM (SELECT t.day, t.feature, t.total, unnest(range(0, 10)) AS bin FROM (SELECT day, feature, sum(n) AS total FROM win GROUP BY 1, 2 HAVING sum(n) >= 10) t WHERE day IN (SELECT day FROM win GROUP BY 1 HAVING sum(n) >= 50)) g
   JOIN (SELECT feature, sum(n) AS total FROM base GROUP BY 1) bt USING (feature)
   LEFT JOIN win w ON w.day = g.day AND w.feature = g.feature AND w.bin = g.bin LEFT JOIN base bb ON bb.feature = g.feature AND bb.bin = g.bin) GROUP BY 1, 2""",
     ev=f"SELECT CAST(ts AS DATE) AS d, event_type AS feature, {_V} AS v FROM events",
     base=f"SELECT feature, {_SB} AS bin, count(*) AS n FROM ev WHERE d < DATE '2024-01-08' GROUP BY 1, 2",
     win=f"SELECT strftime(d - CAST(o AS INTEGER), '%Y-%m-%d') AS day, feature, {_SB} AS bin, count(*) AS n FROM ev, range(0, 7) r(o) GROUP BY 1, 2, 3"))
 def stream_drift(spark, d):
-    """Seven-day histograms sliding by a day against the first week; windows with 50 or more rows."""
+    """Seven-day histograms sliding by a day against the first week; windows with 50 or more rows, features with ten or more."""
     def values(df):
         return df.select("ts", F.col("event_type").alias("feature"), (F.from_json("props", "k long")["k"] / 100.0).alias("value"))
 
@@ -138,9 +150,10 @@ def stream_drift(spark, d):
     first_week = values(table(spark, d, "events").filter("ts < timestamp_ntz'2024-01-08'"))
     base = first_week.groupBy("feature", monitoring.histogram_bin(F.col("value")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     # One "feature" per window and event type lets the batch operator score all windows in one plan.
-    tagged = recent.withColumn("tag", F.concat_ws("|", "day", "feature"))
+    enough = recent.groupBy("day").agg(F.sum("n").alias("rows")).filter("rows >= 50").select("day")
+    tagged = recent.join(enough, "day", "left_semi").withColumn("tag", F.concat_ws("|", "day", "feature"))
     expected = tagged.select("tag", "feature").distinct().join(base, "feature").select(F.col("tag").alias("feature"), "bin", "n")
-    scores = monitoring.psi(expected, tagged.select(F.col("tag").alias("feature"), "bin", "n"), minimum=50)
+    scores = monitoring.psi(expected, tagged.select(F.col("tag").alias("feature"), "bin", "n"), minimum=10)
     parts = F.split("feature", r"\|")
     return scores.select(parts[0].alias("day"), parts[1].alias("feature"), "psi")
 

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bureaulake.operators import registry
 from bureaulake.sources import scratch
@@ -31,19 +32,32 @@ def utc_day(instant: Column) -> Column:
     return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), days), "yyyy-MM-dd")
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether the path is a folder, in whatever store the session reads it from."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
+
+
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table as a file stream."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    """One table as a file stream: a folder of parts, or a single file, which only a filter on its folder can stream."""
+    path = f"{sf_dir}/{name}.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    return stream.parquet(path) if is_folder(spark, path) else stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
 
+def staged(df: DataFrame, bucket: Column, buckets: int, name: str, files: int = 4) -> DataFrame:
+    """A table replayed as a stream: bucket 0 arrives first, one bucket per micro-batch.
 
-def staged(df: DataFrame, bucket: Column, buckets: int, name: str) -> DataFrame:
-    """A table replayed as a stream: bucket 0 arrives first, one bucket per micro-batch."""
+    The table is evaluated once, into a folder per bucket; each bucket is then dealt evenly to ``files`` files, which
+    make up one micro-batch.
+    """
     spark = df.sparkSession
-    path = scratch.folder(spark, name)
+    parts, path = scratch.folder(spark, f"{name}-parts"), scratch.folder(spark, name)
+    df.withColumn("_bucket", bucket.cast("int")).write.partitionBy("_bucket").parquet(parts)
+    stored = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(parts)
     for i in range(buckets):
-        df.filter(bucket == i).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        stored.filter(F.col("_bucket") == i).drop("_bucket").repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def run(stream: DataFrame, write: Callable[[DataFrame, int, str], None], mode: str, name: str) -> str:
@@ -65,12 +79,24 @@ def append(batch: DataFrame, batch_id: int, folder: str) -> None:
 
 def rows(stream: DataFrame, name: str) -> DataFrame:
     """Stateless or append-mode stream to a table."""
-    return stream.sparkSession.read.parquet(run(stream, append, "append", name)).drop("batch_id")
+    return written(stream, run(stream, append, "append", name)).drop("batch_id")
+
+
+def written(stream: DataFrame, folder: str) -> DataFrame:
+    """What a run has written, with its batch; an empty table if nothing came."""
+    spark = stream.sparkSession
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def newest(stream: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Update-mode aggregation to its current value per key."""
-    table = stream.sparkSession.read.parquet(run(stream, append, "update", name))
+    table = written(stream, run(stream, append, "update", name))
     values = [c for c in table.columns if c not in (*keys, "batch_id")]
     return registry.latest(table, keys, [F.col("batch_id")], values)
 
@@ -80,6 +106,30 @@ def deduplicate(stream: DataFrame, keys: list[str], event_time: str = "ts", dela
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def late_sink(keys: list[str], event_time: str, delay_ms: int) -> Callable[[DataFrame, int, str], None]:
+    """Batch writer with a side table: rows later than the watermark go to ``late``, all others once per key to ``rows``.
+
+    The watermark of a batch is the latest event time of the batches before it, less the delay; it is stored with each batch,
+    so a replayed batch is split as before.
+    """
+    def write(batch: DataFrame, batch_id: int, folder: str) -> None:
+        spark = batch.sparkSession
+        known = T.StructType([T.StructField("at_ms", T.LongType()), T.StructField("batch_id", T.LongType())])
+        try:
+            before = spark.read.schema(known).parquet(f"{folder}/seen").filter(F.col("batch_id") < batch_id).agg(F.max("at_ms").alias("m")).first()["m"]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            before = None
+        at = F.unix_millis(event_time)
+        late = F.lit(False) if before is None else at < before - delay_ms
+        batch.filter(late).write.mode("overwrite").parquet(f"{folder}/late/batch_id={batch_id}")
+        batch.filter(~late).dropDuplicates(keys).write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch_id}")
+        batch.agg(F.max(at).alias("at_ms")).write.mode("overwrite").parquet(f"{folder}/seen/batch_id={batch_id}")
+
+    return write
+
+
 def audit_sink(keys: list[str], partition: str) -> Callable[[DataFrame, int, str], None]:
     """Batch writer that stores each key once, also when a batch is replayed; ``partition`` is one of ``keys``."""
     if partition not in keys:
@@ -135,8 +185,12 @@ def _next_state(memory: dict) -> str | None:
     return "decide" if held or PHASE_2 <= present else "trigger_phase_2"
 
 
-def collector(timeout_ms: int | None = None):
-    """State function of the collector; emits each transition once and forgets decided requests' content."""
+#: How long a request's state is kept after its last message when no time-out is asked for.
+RETENTION_MS = 366 * 86_400_000
+
+
+def collector(timeout_ms: int = RETENTION_MS):
+    """State function of the collector; emits each transition once. Every state expires, decided ones too."""
     names = [part.split()[0] for part in STATE.split(", ")]
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -164,21 +218,21 @@ def collector(timeout_ms: int | None = None):
                 out.append((key[0], now, ""))
                 memory["triggered"] = True
             state.update(tuple(memory[n] for n in names))
-            if timeout_ms is not None and latest is not None:
+            if latest is not None:
                 state.setTimeoutTimestamp(int(max(latest + timeout_ms, state.getCurrentWatermarkMs() + 1)))
         yield pd.DataFrame(out, columns=["request_id", "state", "missing"])
 
     return step
 
 
-def collect(messages: DataFrame, timeout_ms: int | None = None, delay: str = "10 minutes") -> DataFrame:
+def collect(messages: DataFrame, timeout_ms: int = RETENTION_MS, delay: str = "10 minutes") -> DataFrame:
     """Transitions of requests from context and result messages.
 
-    Columns of ``messages``: request_id, kind, models, selective, label, model_type, flag, ts, at_ms.
+    ``delay`` must cover the disorder of the messages: what is later than that is dropped. Columns of ``messages``: request_id, kind, models, selective, label, model_type, flag, ts, at_ms.
     """
     keyed = messages.withWatermark("ts", delay).groupBy("request_id")
     return keyed.applyInPandasWithState(
-        collector(timeout_ms), EVENTS, STATE, "append", "EventTimeTimeout" if timeout_ms else "NoTimeout")
+        collector(timeout_ms), EVENTS, STATE, "append", "EventTimeTimeout")
 
 
 def final_states(transitions: DataFrame) -> DataFrame:
