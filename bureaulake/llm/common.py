@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,30 +9,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import bureaulake
+from bureaulake.shipping import ship
 from bureaulake.sources import scratch
 
 #: Bytes of text that Spark hands to a Python worker at once.
 BATCH_BYTES = 16 << 20
-_shipped: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Ships the package to the executors once and bounds Arrow batches by bytes, so that very long texts don't pile up."""
-    if spark.sparkContext.applicationId not in _shipped:
-        _shipped.add(spark.sparkContext.applicationId)
-        root = os.path.dirname(bureaulake.__file__)
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
-            for folder, _, names in os.walk(root):
-                for name in sorted(names):
-                    if name.endswith(".py"):
-                        path = os.path.join(folder, name)
-                        z.write(path, os.path.join("bureaulake", os.path.relpath(path, root)))
-        path = os.path.join(tempfile.mkdtemp(prefix="ship-"), "bureaulake.zip")  # Spark serves it from the driver
-        with open(path, "wb") as out:
-            out.write(packed.getvalue())
-        spark.sparkContext.addPyFile(path)
+    """Ships the package to the executors and bounds Arrow batches by bytes, so that very long texts don't pile up."""
+    ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", str((1 << 31) - 1))) > BATCH_BYTES:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
