@@ -9,7 +9,7 @@ from bureaulake.functions import parse
 from bureaulake.operators import batches, privacy, profile
 from bureaulake.queries.ctes import sql
 from bureaulake.queries.monitoring_queries import verified
-from bureaulake.queries.profile_queries import _COLUMNS, _UP, upload
+from bureaulake.queries.profile_queries import _COLUMNS, _MISSING, _UP, upload
 from bureaulake.sources import files, reports, scratch
 from bureaulake.sources.views import table
 
@@ -152,7 +152,7 @@ def row_count_estimate(spark, d):
         F.sum("estimated_rows").alias("estimated_rows"), F.count(F.lit(1)).alias("files"))
 
 
-@query("scan_dispatch")
+@query("scan_dispatch", sql("SELECT folder, count(*) AS n, count(DISTINCT segment) AS segments FROM up, (VALUES ('a'), ('b'), ('c'), ('e'), ('f'), ('g')) v(folder) GROUP BY 1", up=_UP))
 def scan_dispatch(spark, d):
     """Each folder by its detected format and delimiter; compressed text falls back to delimited text."""
     path = _drop_folder(spark, d)
@@ -190,7 +190,8 @@ def schema_nesting(spark, d):
     return filled.select(F.inline(entries))
 
 
-@query("bronze_verify")
+@query("bronze_verify", sql("""SELECT 'upload=' || (customer_id % 4) AS upload, CASE customer_id % 4 WHEN 1 THEN 'verification_failed' WHEN 2 THEN 'copy_failed' ELSE 'success' END AS outcome
+  FROM up GROUP BY customer_id % 4""", up=_UP))
 def bronze_verify(spark, d):
     """Source and bronze folders compared by SHA-256 and size; one copy is missing a folder's files."""
     source, bronze = scratch.folder(spark, "source"), scratch.folder(spark, "copy")
@@ -233,7 +234,9 @@ def sink_silver(spark, d):
         F.count(F.lit(1)).alias("n"), F.count_distinct("email").alias("emails"), F.count_if(F.col("email").isNull()).alias("gaps"))
 
 
-@query("sink_context")
+@query("sink_context", sql("""SELECT category, "column", completeness_pct, null_count, type FROM miss JOIN (VALUES ('amount_text', NULL, 'string'), ('balance', NULL, 'float'),
+  ('customer_id', 'ids', 'integer'), ('email', 'emails', 'string'), ('full_name', 'names', 'string'), ('nation', NULL, 'integer'), ('phone_number', 'phones', 'string_numeric'),
+  ('segment', NULL, 'string'), ('signup_date', NULL, 'string')) v(c, category, type) ON c = "column" """, miss=_MISSING, up=_UP))
 def sink_context(spark, d):
     """Side-car with schema, gaps and masked columns as one JSON record."""
     path = scratch.folder(spark, "context")

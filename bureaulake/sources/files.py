@@ -100,7 +100,7 @@ def introspect(probed: DataFrame) -> DataFrame:
 
     def consistent(token):
         total = F.aggregate(F.slice(rows, 1, 5), F.lit(0), lambda a, s: a + count_of(s, token))
-        return F.when((F.size(rows) >= 2) & (total > 0) & (total >= F.size(rows) * 0.8), F.struct((-total).alias("n"), F.lit(token).alias("d")))
+        return F.when((F.size(rows) >= 2) & (total > 0) & (total >= F.least(F.size(rows), F.lit(5)) * 0.8), F.struct((-total).alias("n"), F.lit(token).alias("d")))
 
     lengths = F.transform(rows, lambda s: F.length(s))
     mean = F.aggregate(lengths, F.lit(0.0), lambda a, n: a + n) / F.greatest(F.size(lengths), F.lit(1))
@@ -172,15 +172,16 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str], sep: str
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_bad"]])
     rows = spark.read.csv(path, schema=schema, sep=sep, header=header, mode="PERMISSIVE",
                           columnNameOfCorruptRecord="_bad", enforceSchema=True)
-    too_many = F.col("_bad").isNotNull() & (count_of(F.col("_bad"), sep) >= len(columns))
+    unquoted = F.regexp_replace("_bad", r'"(?:\\.|""|[^"\\])*"', "")  # separators inside quotes don't count
+    too_many = F.col("_bad").isNotNull() & (count_of(unquoted, sep) >= len(columns))
     return rows.filter(~too_many).drop("_bad")
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType, array: bool = False) -> DataFrame:
-    """JSON lines, or one JSON document per file with ``array``; broken records are skipped."""
+    """JSON lines, or one JSON document per file with ``array``; what is no JSON is skipped, a field of another type is null."""
     wide = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
     rows = spark.read.json(path, schema=wide, multiLine=array, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
-    return rows.filter("_bad is null").drop("_bad")
+    return rows.filter(F.col("_bad").isNull() | F.try_parse_json("_bad").isNotNull()).drop("_bad")
 
 
 def flatten_structs(df: DataFrame) -> DataFrame:

@@ -65,6 +65,19 @@ def test_ranks_of_clustered_scores(spark):
     assert metrics.auc(rows, []).first()["auc"] == pytest.approx(expected)
 
 
+def test_short_quoted_lines_and_mistyped_fields_stay(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from bureaulake.sources import files
+
+    (tmp_path / "a.csv").write_text('a,b,c\n"p,q,r",8\n1,2,3\n1,2,3,4\n')
+    rows = files.read_delimited(spark, str(tmp_path / "a.csv"), ["a", "b", "c"]).collect()
+    assert [tuple(r)[1:] for r in rows] == [("8", None), ("2", "3")] and rows[0]["a"] == "p,q,r"
+    (tmp_path / "b.jsonl").write_text('{"id": "seven", "n": "y"}\n{"id": 3, "n": "z"}\n{"id": 4, "n"\nnothing\n')
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.StringType())])
+    assert [tuple(r) for r in files.read_json(spark, str(tmp_path / "b.jsonl"), schema).collect()] == [(None, "y"), (3, "z")]
+
+
 def test_lines_of_many_blocks(spark):
     lines = spark.range(0, 50_000, 1, 4).select(F.lit("f").alias("file"), (F.col("id") * 10).alias("block"), F.lit("x").alias("value"))
     found = batches.number_lines(lines).agg(F.min("line_no"), F.max("line_no"), F.count_distinct("line_no")).first()
