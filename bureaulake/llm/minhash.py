@@ -27,17 +27,17 @@ from pyspark.sql import functions as F
 from bureaulake.llm import tokens
 from bureaulake.llm.common import components, prepare, runs, stored
 
-#: Bands, minima per band, low bits kept of each minimum. At similarity 0.8 a pair shares no band with probability 1.3e-7.
-BANDS, ROWS, BITS = 40, 5, 4
+#: Bands, minima per band, all minima, low bits kept of each. At similarity 0.8 a pair shares no band with probability 1.3e-7.
+BANDS, ROWS, HASHES, BITS = 40, 5, 640, 4
 LANES = 64 // BITS
 #: Standard errors by which an estimate may miss the threshold before a candidate is let go.
-SLACK = 4.0
+SLACK = 3.5
 #: Classes of a bucket on one side of a tile, and partners in another component that are confirmed before all others.
-TILE, CLOSEST = 4096, 2
+TILE, CLOSEST = 4096, 4
 
 _rng = np.random.default_rng(90210)
-_A = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
-_B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+_A = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
+_B = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -62,7 +62,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.nd
     return out
 
 
-def minima(hashes: np.ndarray, step: int = 4096) -> np.ndarray:
+def minima(hashes: np.ndarray, step: int = 512) -> np.ndarray:
     low = (hashes >> np.uint64(32)).astype(np.uint32) ^ hashes.astype(np.uint32)
     best = np.full(len(_A), 0xFFFFFFFF, np.uint32)
     for i in range(0, len(low), step):
@@ -87,7 +87,7 @@ def _sign(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                     n.append(len(found))
                     if len(found):
                         best = minima(found)
-                        band = tokens.windows(best.astype(np.uint64), np.arange(0, len(best) + 1, ROWS), ROWS)[0]
+                        band = tokens.windows(best[: BANDS * ROWS].astype(np.uint64), np.arange(0, BANDS * ROWS + 1, ROWS), ROWS)[0]
                         keys.append(xxhash.xxh3_128_digest(found.tobytes()))
                         bits.append(packed(best))
                         bands.append(band.view(np.int64))
@@ -113,7 +113,7 @@ def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
 
 def estimate(a: str, b: str) -> Column:
     """Similarity from two packed signatures: equal lanes are counted by bits, and chance agreement is taken off."""
-    words = -(-BANDS * ROWS // LANES)
+    words = -(-HASHES // LANES)
     ones = int.from_bytes(bytes([0x11] * 8), "big") if BITS == 4 else sum(1 << (BITS * k) for k in range(LANES))
     ones = ones - (1 << 64) if ones >= 1 << 63 else ones
     unlike = F.lit(0)
@@ -122,7 +122,7 @@ def estimate(a: str, b: str) -> Column:
         for k in (1, 2):  # folds each lane of four bits onto its lowest
             x = x.bitwiseOR(F.shiftrightunsigned(x, k))
         unlike = unlike + F.bit_count(x.bitwiseAND(F.lit(ones)))
-    like = 1 - unlike / F.lit(BANDS * ROWS)
+    like = 1 - unlike / F.lit(HASHES)
     chance = 2.0**-BITS
     return (like - chance) / (1 - chance)
 
@@ -130,7 +130,7 @@ def estimate(a: str, b: str) -> Column:
 def lowest_estimate(threshold: float) -> float:
     chance = 2.0**-BITS
     p = threshold + (1 - threshold) * chance
-    return threshold - SLACK * (p * (1 - p) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
+    return threshold - SLACK * (p * (1 - p) / HASHES) ** 0.5 / (1 - chance)
 
 
 ONES = np.uint64(sum(1 << (BITS * k) for k in range(LANES)))
@@ -142,10 +142,10 @@ def _alike(bits: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         x |= x >> np.uint64(k)
     unlike = np.bitwise_count(x & ONES).sum(1)
     chance = 2.0**-BITS
-    return (1 - unlike / (BANDS * ROWS) - chance) / (1 - chance)
+    return (1 - unlike / HASHES - chance) / (1 - chance)
 
 
-def _apart(least: float, closest: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _apart(least: float, threshold: float, closest: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Pairs of a tile that are in different components, agree on no earlier band and may be similar enough.
 
     With ``closest``, of each member and each other component only so many of the likeliest.
@@ -158,6 +158,7 @@ def _apart(least: float, closest: int | None) -> Callable[[Iterator[pa.RecordBat
         main = np.bincount(root).argmax()
         bits = np.array(rows["bits"], np.int64).view(np.uint64)
         bands = np.array(rows["bands"], np.int64)
+        n = np.array(rows["n_shingles"])
         kept = []
         for i in np.flatnonzero(root != main):
             other = root != root[i]
@@ -165,6 +166,7 @@ def _apart(least: float, closest: int | None) -> Callable[[Iterator[pa.RecordBat
                 other &= half != half[i]
             other &= (root == main) | (ids < ids[i])
             j = np.flatnonzero(other)
+            j = j[np.minimum(n[j], n[i]) >= threshold * np.maximum(n[j], n[i])]  # no set that is much smaller can be similar
             if band:
                 j = j[~(bands[j, :band] == bands[i, :band]).any(1)]
             like = _alike(bits, np.full(len(j), i), j)
@@ -177,7 +179,7 @@ def _apart(least: float, closest: int | None) -> Callable[[Iterator[pa.RecordBat
         return np.concatenate(kept, axis=1) if kept else np.zeros((2, 0), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile, rows in runs(batches, ["band", "key", "first", "second"], ["id", "root", "half", "bits", "bands"]):
+        for tile, rows in runs(batches, ["band", "key", "first", "second"], ["id", "root", "half", "n_shingles", "bits", "bands"]):
             pairs = found(rows, tile)
             if pairs.shape[1]:
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
@@ -202,18 +204,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
     centres = shared.join(company, "id").groupBy("band", "key").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("top")).select(
         "band", "key", (-F.col("top.minus")).alias("top"))
     least = lowest_estimate(threshold)
-    bits = heads.select("id", "bits")
+    bits = heads.select("id", "bits", F.col("n_shingles").alias("n"))
+    sets = stored(texts.withColumnRenamed("doc_id", "id").join(company.select("id"), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(
+        _sets(size), "id long, shingles array<long>"), "sets")
 
     def likely(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with their estimate, where it can still reach the threshold."""
-        both = pairs.join(bits.withColumnsRenamed({"id": "a", "bits": "bits_a"}), "a").join(bits.withColumnsRenamed({"id": "b", "bits": "bits_b"}), "b")
+        both = pairs
+        for c in "ab":
+            both = both.join(bits.withColumnsRenamed({"id": c, "bits": f"bits_{c}", "n": f"n_{c}"}), c)
+        both = both.where(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))  # no set that is much smaller can be similar
         return both.withColumn("like", estimate("bits_a", "bits_b")).where(F.col("like") >= least).drop("bits_a", "bits_b")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links among the pairs (a, b), on the full sets."""
-        asked = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-        wanted = texts.withColumnRenamed("doc_id", "id").join(asked, "id", "left_semi").dropDuplicates(["id"])
-        sets = wanted.mapInArrow(_sets(size), "id long, shingles array<long>")
         both = pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "set_a"}), "a").join(sets.withColumnsRenamed({"id": "b", "shingles": "set_b"}), "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
         return both.where(100 * common >= round(100 * threshold) * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
@@ -241,10 +245,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
         roots = components(links, "a", "b").withColumnRenamed("node", "id")
         placed = shared.join(roots, "id", "left").withColumn("root", F.coalesce("component", "id")).drop("component")
         mixed = placed.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-        members = placed.join(mixed.select("band", "key"), ["band", "key"], "left_semi").join(heads.select("id", "bits", "bands"), "id")
+        members = placed.join(mixed.select("band", "key"), ["band", "key"], "left_semi").join(heads.select("id", "n_shingles", "bits", "bands"), "id")
         tiled = members.withColumns({"half": F.pmod(F.xxhash64("id"), cut).cast("int"), "other": F.explode(F.sequence(F.lit(0), cut - 1))}).select(
-            "band", "key", F.least("half", "other").alias("first"), F.greatest("half", "other").alias("second"), "half", "id", "root", "bits", "bands")
-        new = tiled.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(_apart(least, closest), "a long, b long").distinct()
+            "band", "key", F.least("half", "other").alias("first"), F.greatest("half", "other").alias("second"), "half", "id", "root", "n_shingles", "bits", "bands")
+        new = tiled.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(_apart(least, threshold, closest), "a long, b long").distinct()
         new = stored(new.join(tested, ["a", "b"], "left_anti"), "apart")
         if not new.isEmpty():
             links = stored(links.unionAll(confirmed(new)), "links")

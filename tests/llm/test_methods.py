@@ -155,7 +155,7 @@ def test_signatures_estimate_similarity():
             bits = np.stack([minhash.packed(minima) for minima in (minhash.minima(pool[:1000]), minhash.minima(pool[1000 - n :]))]).view(np.uint64)
             errors.append(minhash._alike(bits, np.array([0]), np.array([1]))[0] - n / (2000 - n))
         assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
-    assert minhash.lowest_estimate(0.8) < 0.72
+    assert minhash.lowest_estimate(0.8) < 0.8 - 3 * 0.016  # three standard errors of 640 minima
 
 
 def test_gradients():
