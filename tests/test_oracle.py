@@ -18,6 +18,7 @@ audit_lookup fraud_flags top_contributions profile_missing profile_distribution
 split_stratified quality_report pii_columns pii_tokenize pii_text_scan internal_schema_check psi drift_verdict trailing_7d
 fairness_report binary_metrics multiclass_auc metric_gate champion_snapshot latest_mapping artifact_reuse checksum_compare
 training_completion ops_rollup scan_csv scan_jsonl jsonl_lines sink_silver stream_dedup stream_collect stream_daily stream_audit
+zscore_outliers profile_examples sample_stats profile_merged error_codes validate_training validate_inference scan_dispatch stream_late stream_drift
 """.split()
 KEYS = sorted(registry.oracle_sql()) if os.environ.get("TEST_ALL") else DEFAULT
 
