@@ -9,6 +9,7 @@ of toxic labels (0 without any). Repeated rows give repeated results; other colu
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -335,12 +336,17 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMP
         marks.where(training & (F.col("toxic") == 0)).orderBy(draw, "doc_id").limit(2 * sample))
     ids = {r["doc_id"]: r["toxic"] for r in drawn.collect()}
     short = F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST
-    rows = docs.where(F.col("doc_id").isin(list(ids)) & short).select("doc_id", "text").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))
-    toxic = np.array([ids[r["doc_id"]] for r in rows])
-    if not 0 < toxic.sum() < len(toxic):
-        return None, share
-    return train([r["text"] for r in rows], toxic, share), share
+    rows = docs.where(F.col("doc_id").isin(list(ids)) & short).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = sorted(((i, t or "") for batch in batches for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)))
+        toxic = np.array([ids[i] for i, _ in some], int)
+        if 0 < toxic.sum() < len(toxic):
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train([t for _, t in some], toxic, share))], pa.binary())], names=["model"])
+
+    # the sample is bounded, so one task can hold it; the driver gets the finished weights alone
+    found = rows.repartition(1).mapInArrow(run, "model binary").collect()
+    return (pickle.loads(bytes(found[0]["model"])) if found else None), share
 
 
 def grade(p: dict[str, np.ndarray], texts: pa.Array) -> np.ndarray:
