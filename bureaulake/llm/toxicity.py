@@ -265,8 +265,8 @@ def train(texts: list[str | None], toxic: np.ndarray, share: float = 0.1, epochs
             clean = label == 0  # of clean windows the half that looks more toxic
             clean &= logits >= np.median(logits[clean])
             use = np.flatnonzero(clean | (worst & (label == 1)))
-        share = max(label[use].mean(), 1e-3)
-        weigh = np.where(label == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
+        part = max(label[use].mean(), 1e-3)  # of the windows in use, not of the texts
+        weigh = np.where(label == 1, 0.5 / part, 0.5 / (1 - part)).astype(np.float32)
         rng.shuffle(use)
         for i in range(0, len(use), batch):
             pick = use[i : i + batch]

@@ -202,6 +202,17 @@ def test_training_finds_the_words():
     assert len(toxicity.grade(p, pa.array([None, "", " "]))) == 3 and toxicity.grade(p, pa.array([], pa.string())).shape == (0,)
 
 
+def test_calibration_is_to_the_share_of_texts(monkeypatch):
+    """Long texts have many clean windows for each toxic one; that must not lower the share."""
+    rng = random.Random(4)
+    toxic = np.array([int(i % 4 == 0) for i in range(80)])
+    texts = [" ".join([*(rng.choice(["ab", "cd", "ef", "gh"]) for _ in range(200)), *["slur"] * t]) for t in toxic]
+    shares, own = [], toxicity.scale
+    monkeypatch.setattr(toxicity, "scale", lambda worst, labels, share: shares.append(share) or own(worst, labels, share))
+    toxicity.train(texts, toxic, 0.25, epochs=4, steps=1)
+    assert shares == [0.25]
+
+
 def brute_probability(v: lattice.Vocabulary, p: np.ndarray, begin: dict[bytes, int], inner: dict[bytes, int], word: bytes) -> float:
     ways = [0.0] * (len(word) + 1)
     ways[0] = p[v.mark]
