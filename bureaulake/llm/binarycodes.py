@@ -80,7 +80,7 @@ def _codes(dtype: type, bits: int, tables: int) -> Callable[[Iterator[pa.RecordB
                 code.append(np.packbits(turned > 0).tobytes())
                 factor.append(float(np.abs(turned).sum() / np.sqrt(len(x))))
                 side = (x @ planes(len(x), bits, tables) > 0).reshape(tables, bits)
-                keys.append((side @ (1 << np.arange(bits, dtype=np.int64))).astype(np.int32).tobytes())
+                keys.append((side @ (1 << np.arange(bits, dtype=np.int64))).astype(">i4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("size"), batch.column("vector"), pa.array(code, pa.binary()), pa.array(factor, pa.float64()),
                                               pa.array(keys, pa.binary())], names=["id", "size", "vector", "code", "factor", "keys"])
 
@@ -111,7 +111,7 @@ def _links(rows: dict[str, list], table: int, pair: tuple[int, int] | None, dtyp
     factor = np.array(rows["factor"])
     spread = np.sqrt(np.maximum(0.0, 1 - factor**2) / factor**2 / max(1, dim - 1)) * np.sqrt(1 - threshold**2)
     needed = ((threshold - SLACK * spread) * factor * np.sqrt(dim)).astype(np.float32)
-    keys = np.stack([np.frombuffer(k, np.int32) for k in rows["keys"]])
+    keys = np.stack([np.frombuffer(k, ">i4") for k in rows["keys"]])
     half = np.array(rows["half"])
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in range(0, len(x), 512):
@@ -159,7 +159,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     classes = usable.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("size"))
     bits, tables = plan(classes.count(), threshold)
     coded = stored(classes.select("id", "size", "vector").mapInArrow(_codes(dtype, bits, tables), KEYS), "codes")
-    key = F.conv(F.hex(F.reverse(F.expr("substring(keys, 4 * table + 1, 4)"))), 16, 10).cast("long")
+    # keys are big-endian, so that their hex digits are the number; Spark reverses binary values by characters
+    key = F.conv(F.hex(F.expr("substring(keys, 4 * table + 1, 4)")), 16, 10).cast("long")
     buckets = coded.withColumn("table", F.explode(F.sequence(F.lit(0), F.lit(tables - 1)))).withColumns({"key": key, "dim": F.octet_length("vector")})
     sizes = buckets.groupBy("table", "dim", "key").agg(F.count("*").alias("n")).where("n > 1")
     cut = F.ceil(F.col("n") / TILE).cast("int")

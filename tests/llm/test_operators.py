@@ -175,6 +175,16 @@ def test_vectors_in_tiles(spark, monkeypatch):
     assert {(r["n_links"], r["component_id"], r["kept"]) for r in found} == {(49, 0, True), (49, 0, False)}
 
 
+def test_vectors_with_long_keys(spark, monkeypatch):
+    """Keys of 17 bits: vectors that differ in a key's low byte aren't in one bucket, so no pair counts in two tables."""
+    monkeypatch.setattr(binarycodes, "plan", lambda n, threshold: (17, 60))
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((400, 64))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, base + 0.2 * rng.standard_normal((400, 64))]))]
+    found = binarycodes.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r["n_links"] for r in found} == {1} and all(r["component_id"] == r["vec_id"] % 400 for r in found)
+
+
 def test_huffman(spark, corpus, tmp_path):
     docs, path = corpus[0], public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
