@@ -25,7 +25,7 @@ CHAR_ROWS, WIDTH, HIDDEN = 1 << 15, 8, 8
 WORD_TEXTS = 20
 #: Words of a window, and from one window's begin to the next.
 WINDOW, STRIDE = 32, 24
-#: Labelled texts of each kind that the network is trained on, and windows of each text.
+#: Toxic texts that the network is trained on, of others twice as many, and windows of each text; the calibration sees all windows.
 SAMPLE, TEXT_WINDOWS = 1200, 20
 #: Bytes of the longest text that may be in the training sample, so that the sample is bounded.
 LONGEST = 100_000
@@ -236,7 +236,7 @@ def train(texts: list[str | None], toxic: np.ndarray, share: float = 0.1, epochs
     """Adam on windows, for at least so many epochs and steps. In the first quarter every window of a toxic text counts as toxic, later its worst one alone.
 
     An embedding table has one second moment for all its rows: with one for each, n-grams seen once would learn as fast as
-    those seen often. In the end the scale of the texts' worst windows is fitted to their labels, at the ``share`` of toxic texts.
+    those seen often. In the end the scale of the texts' worst windows, of all they have, is fitted to their labels, at the ``share`` of toxic texts.
     """
     rng = np.random.default_rng(seed)
     data, offsets = tokens.text_bytes(pa.array(texts, pa.string()))
@@ -283,12 +283,20 @@ def train(texts: list[str | None], toxic: np.ndarray, share: float = 0.1, epochs
                 if k in TABLES:
                     p[k] *= 1 - 5 * lr * DECAY
                 p[k] = p[k] - (lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-    worst = np.full(len(texts), -np.inf)
-    np.maximum.at(worst, words.text[chosen], score_windows(p, inputs(p, words), spelled))
-    p["scale"] = scale(worst, toxic, share)
+    p["scale"] = scale(worst_windows(p, words, len(texts)), toxic, share)
     return p
 
 
+def worst_windows(p: dict[str, np.ndarray], words: Words, n: int) -> np.ndarray:
+    """The largest logit of all windows of each of n texts."""
+    x = inputs(p, words)
+    worst = np.full(n, -np.inf)
+    for k in range(0, len(words.text), 8192):
+        pick = np.arange(k, min(k + 8192, len(words.text)))
+        np.maximum.at(worst, words.text[pick], score_windows(p, x, words.windows(pick)))
+    return worst
+
+
 def scale(worst: np.ndarray, toxic: np.ndarray, share: float, rounds: int = 200) -> np.ndarray:
     """Slope and shift of the worst windows' logits, by regularised logistic regression; the slope isn't negative."""
     a, b = 1.0, 0.0
@@ -323,7 +331,8 @@ def score_windows(p: dict[str, np.ndarray], x: np.ndarray, spelled: np.ndarray,
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMPLE) -> tuple[dict[str, np.ndarray] | None, float]:
-    """The network, and the share of toxic labels; trained on at most ``sample`` toxic and twice as many other texts, drawn by a hash of the id."""
+    """The network, and the share of toxic labels; trained on at most ``sample`` toxic and twice as many other texts
+    of at most LONGEST bytes, drawn by a hash of the id."""
     prepare(docs.sparkSession)
     marks = labels.select(F.col("doc_id").alias("doc_id"), "toxic").where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in marks.where(training).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -331,11 +340,11 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMP
     if len(sizes) < 2:
         return None, share
     draw = F.xxhash64("doc_id", F.lit("toxicity"))
-    # the draw is made on ids alone, so that only the drawn texts are gathered
-    drawn = marks.where(training & (F.col("toxic") == 1)).orderBy(draw, "doc_id").limit(sample).unionAll(
-        marks.where(training & (F.col("toxic") == 0)).orderBy(draw, "doc_id").limit(2 * sample))
-    ids = {r["doc_id"]: r["toxic"] for r in drawn.collect()}
     short = F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST
+    # the draw is made on ids alone, of texts that can be used, so that only the drawn texts are gathered
+    usable = marks.where(training).join(docs.where(short).select("doc_id"), "doc_id", "left_semi")
+    drawn = usable.where("toxic = 1").orderBy(draw, "doc_id").limit(sample).unionAll(usable.where("toxic = 0").orderBy(draw, "doc_id").limit(2 * sample))
+    ids = {r["doc_id"]: r["toxic"] for r in drawn.collect()}
     rows = docs.where(F.col("doc_id").isin(list(ids)) & short).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,12 +362,7 @@ def grade(p: dict[str, np.ndarray], texts: pa.Array) -> np.ndarray:
     """Score of each text, by its worst window."""
     scores = [np.zeros(0)]
     for i, j, data, offsets in tokens.chunks(texts):
-        words = Words(data, offsets)
-        x = inputs(p, words)
-        worst = np.full(j - i, -np.inf)
-        for k in range(0, len(words.text), 8192):
-            pick = np.arange(k, min(k + 8192, len(words.text)))
-            np.maximum.at(worst, words.text[pick], score_windows(p, x, words.windows(pick)))
+        worst = worst_windows(p, Words(data, offsets), j - i)
         scores.append(sigmoid(p["scale"][0] * worst + p["scale"][1]))
     return np.concatenate(scores)
 

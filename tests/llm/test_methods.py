@@ -213,6 +213,18 @@ def test_calibration_is_to_the_share_of_texts(monkeypatch):
     assert shares == [0.25]
 
 
+def test_calibration_sees_all_windows(monkeypatch):
+    rng = random.Random(6)
+    toxic = np.array([int(i % 2 == 0) for i in range(40)])
+    texts = [" ".join(["slur"] * t + [rng.choice(["ab", "cd", "ef", "gh"]) + rng.choice("xyz") for _ in range(rng.randint(1000, 3000))]) for t in toxic]
+    seen, own = [], toxicity.scale
+    monkeypatch.setattr(toxicity, "scale", lambda worst, labels, share: seen.append(worst) or own(worst, labels, share))
+    p = toxicity.train(texts, toxic, 0.5, epochs=1, steps=1)
+    words = toxicity.Words(*tokens.text_bytes(pa.array(texts)))
+    logits = toxicity.score_windows(p, toxicity.inputs(p, words), words.windows(np.arange(len(words.text))))
+    assert seen[0] == pytest.approx([logits[words.text == i].max() for i in range(len(texts))], abs=1e-5)
+
+
 def brute_probability(v: lattice.Vocabulary, p: np.ndarray, begin: dict[bytes, int], inner: dict[bytes, int], word: bytes) -> float:
     ways = [0.0] * (len(word) + 1)
     ways[0] = p[v.mark]

@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -129,6 +130,17 @@ def test_toxicity(corpus):
     assert toxicity.clean(docs, model, share).columns == docs.columns
 
 
+def test_long_texts_are_replaced_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LONGEST", 100)
+    rows = [(i, f"slur{i} some words" if i % 2 else f"plain{i} some words", i % 2) for i in range(60)]
+    drawn = {k: [r[0] for r in spark.createDataFrame(rows, "doc_id long, text string, toxic int").where(f"toxic = {k}").selectExpr("doc_id", "xxhash64(doc_id, 'toxicity') AS h").orderBy("h").collect()] for k in (0, 1)}
+    long = {*drawn[1][:3], *drawn[0][:4]}
+    docs = spark.createDataFrame([(i, t * 10 if i in long else t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, toxic) for i, _, toxic in rows], "doc_id long, toxic int")
+    model, share = toxicity.fit(docs, labels, F.lit(True), sample=3)
+    assert model is not None and share == 0.5  # all three of the first toxic texts are too long
+
+
 def test_lattice(corpus):
     docs = corpus[0]
     vocabulary = lattice.read(public_tokenizers.path("piece_bpe_32k.model"))
