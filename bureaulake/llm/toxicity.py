@@ -387,8 +387,8 @@ def score(docs: DataFrame, model: dict[str, np.ndarray] | None, share: float = 0
 
 
 def clean(docs: DataFrame, model: dict[str, np.ndarray] | None, share: float = 0.0, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows that aren't predicted toxic, with all their columns. Without a model the share decides for all."""
+    """The rows that aren't predicted toxic, with all their columns. Without a model nothing is known against any row, so all stay."""
     if model is None:
-        return docs.where(F.lit(share < threshold))
+        return docs
     prepare(docs.sparkSession)
     return rows_where(docs, lambda texts: grade(model, texts) < threshold)

@@ -310,6 +310,12 @@ def test_without_labels(corpus, nothing):
     assert model is None and share == 0 and {r["score"] for r in toxicity.score(docs, model, share).collect()} == {0.0}
 
 
+def test_all_rows_stay_without_a_model(spark, corpus):
+    docs = corpus[0]
+    model, share = toxicity.fit(docs, docs.where("doc_id < 20").selectExpr("doc_id", "1 AS toxic"), F.lit(True))
+    assert model is None and share == 1 and toxicity.clean(docs, model, share).count() == docs.count()
+
+
 def test_pipeline(spark, corpus, tmp_path):
     """Each stage against its operator's verdicts and, for near-duplicates and ids, against brute force."""
     docs, labels = corpus
