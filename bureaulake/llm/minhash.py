@@ -31,7 +31,7 @@ from bureaulake.llm.common import components, prepare, runs, stored
 BANDS, ROWS, HASHES, BITS = 40, 5, 640, 4
 LANES = 64 // BITS
 #: Standard errors by which an estimate may miss the threshold before a candidate is let go.
-SLACK = 3.5
+SLACK = 5.0
 #: Classes of a bucket on one side of a tile, and partners in another component that are confirmed before all others.
 TILE, CLOSEST = 4096, 4
 

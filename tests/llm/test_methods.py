@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -158,6 +159,13 @@ def test_signatures_estimate_similarity():
     assert minhash.lowest_estimate(0.8) < 0.8 - 3 * 0.016  # three standard errors of 640 minima
 
 
+def test_estimate_loses_no_more_than_the_bands():
+    chance = 2.0**-minhash.BITS
+    p = 0.8 + 0.2 * chance  # of equal low bits in a pair at 0.8
+    spread = (p * (1 - p) / minhash.HASHES) ** 0.5 / (1 - chance)
+    assert math.erfc((0.8 - minhash.lowest_estimate(0.8)) / spread / 2**0.5) / 2 < 1e-6
+
+
 def test_gradients():
     words = toxicity.Words(*tokens.text_bytes(pa.array(["you are a bad bad dog", "nice day"])))
     p = {k: v.astype(np.float64) if v.dtype == np.float32 else v for k, v in toxicity.initial(words.keys[:3]).items()}
