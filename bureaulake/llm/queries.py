@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureaulake.llm import binarycodes, bpe, huffman, langid, lattice, minhash, mixing, quality, toxicity, warc
+from bureaulake.llm import binarycodes, bpe, huffman, langid, lattice, minhash, mixing, quality, tokencount, toxicity, warc
 from bureaulake.llm.common import fold, table
 
 
@@ -80,5 +80,10 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.archive(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity, op6_warc, op7_mixing, op8_subword_lattice, op9_binary_codes, op10_huffman_ids)}
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity, op6_warc, op7_mixing, op8_subword_lattice, op9_binary_codes, op10_huffman_ids,
+                                   op12_token_counts)}
 ORACLE: dict[str, str] = {"op6_warc": WARC_SQL, "op7_mixing": mixing.oracle(MIX)}
