@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureaulake.llm import binarycodes, bpe, huffman, langid, lattice, minhash, mixing, quality, tokencount, toxicity, warc
+from bureaulake.llm import binarycodes, bpe, huffman, langid, lattice, minhash, mixing, phrases, quality, spelling, tokencount, toxicity, warc
 from bureaulake.llm.common import fold, table
 
 
@@ -80,10 +80,18 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.archive(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), threshold=10, longest=3, top=2000, inside=50)
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), least=7, often=2, every=31), factor=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_language_id, op4_minhash_dedup, op5_toxicity, op6_warc, op7_mixing, op8_subword_lattice, op9_binary_codes, op10_huffman_ids,
-                                   op12_token_counts)}
-ORACLE: dict[str, str] = {"op6_warc": WARC_SQL, "op7_mixing": mixing.oracle(MIX)}
+                                   op11_phrase_mining, op12_token_counts, op13_spelling_variants)}
+ORACLE: dict[str, str] = {"op6_warc": WARC_SQL, "op7_mixing": mixing.oracle(MIX), "op11_phrase_mining": phrases.oracle(10, 2000, 50)}
