@@ -33,7 +33,7 @@ from bureaulake.llm.blocks import gathered, pack, spread, unpack
 from bureaulake.llm.common import groups_of, partitions, prepare, stored
 
 #: Bits of a phrase's number within its partition. Bytes of text of a run of documents, of a piece of it, and of all texts for each partition.
-BITS, RUN, PIECE, PART = 36, 32 << 20, 4 << 20, 64 << 20
+BITS, RUN, PIECE, PART = 36, 16 << 20, 1 << 20, 64 << 20
 NO_LANGUAGE = "und"
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?"] + [*range(10, 14)]] = True
@@ -143,9 +143,9 @@ def _cut(longest: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
             langs = table.column("lang").to_pylist()
             for i, j, data, offsets in tokens.chunks(table.column("text"), PIECE):
                 texts.append(pack(data, offsets, langs[i:j]))
-                found += [places(h, buckets) for _, _, h in Phrases(data, offsets, langs[i:j]).each_size(longest)]
+                found.append(np.unique(np.concatenate([places(h, buckets) for _, _, h in Phrases(data, offsets, langs[i:j]).each_size(longest)]), return_counts=True))
             ours = (part << 24) + number
-            place, often = np.unique(np.concatenate(found), return_counts=True)
+            place, often = summed(found)
             del found
             bounds = np.searchsorted(place, np.arange(buckets + 1, dtype=np.int64) << BITS)
             rows: tuple[list, ...] = ([ours] * len(texts), [-1] * len(texts), [0] * len(texts), texts)
@@ -166,6 +166,15 @@ def _batches(rows: tuple[list, ...], size: int = 64) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(c[i : i + size], t) for c, t in zip(rows, kinds, strict=True)], names=["run", "bucket", "mass", "payload"])
 
 
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted numbers and the sums of their counts."""
+    numbers, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    by = np.argsort(numbers, kind="stable")
+    numbers, counts = numbers[by], counts[by]
+    first = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]])[: len(numbers)])
+    return numbers[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
 class Summary:
     """A Misra-Gries summary of sorted numbers: counts, and by how much they have been lowered."""
 
@@ -175,12 +184,7 @@ class Summary:
 
     def merge(self, others: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """Takes in the numbers and counts of other summaries that were never lowered."""
-        numbers = np.concatenate([self.numbers, *(n for n, _ in others)])
-        counts = np.concatenate([self.counts, *(c for _, c in others)])
-        by = np.argsort(numbers, kind="stable")
-        numbers, counts = numbers[by], counts[by]
-        first = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]])[: len(numbers)])
-        self.numbers, self.counts = numbers[first], np.add.reduceat(counts, first) if len(first) else counts
+        self.numbers, self.counts = summed([(self.numbers, self.counts), *others])
         if len(self.numbers) > self.capacity:
             low = np.partition(self.counts, len(self.counts) - self.capacity - 1)[len(self.counts) - self.capacity - 1]
             stay = self.counts > low
