@@ -14,8 +14,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from bureaulake.operators import registry
+from bureaulake.shipping import ship
 from bureaulake.sources import scratch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -45,19 +47,21 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return stream.parquet(path) if is_folder(spark, path) else stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def staged(df: DataFrame, bucket: Column, buckets: int, name: str, files: int = 4) -> DataFrame:
-    """A table replayed as a stream: bucket 0 arrives first, one bucket per micro-batch.
+def staged(df: DataFrame, bucket: Column, buckets: int, name: str) -> DataFrame:
+    """A table replayed as a stream: bucket 0 arrives first, exactly one bucket per micro-batch.
 
-    The table is evaluated once, into a folder per bucket; each bucket is then dealt evenly to ``files`` files, which
-    make up one micro-batch.
+    The table is evaluated once, into a folder per bucket. What streams is a table of turns, one row in one file per bucket; each
+    turn is joined to the stored rows of its bucket, which all tasks read. So neither the number of files nor of rows of a bucket
+    decides what a micro-batch holds.
     """
     spark = df.sparkSession
-    parts, path = scratch.folder(spark, f"{name}-parts"), scratch.folder(spark, name)
+    parts, turns = scratch.folder(spark, f"{name}-parts"), scratch.folder(spark, name)
     df.withColumn("_bucket", bucket.cast("int")).write.partitionBy("_bucket").parquet(parts)
-    stored = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(parts)
     for i in range(buckets):
-        stored.filter(F.col("_bucket") == i).drop("_bucket").repartition(files).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+        spark.range(i, i + 1, 1, 1).select(F.col("id").cast("int").alias("_turn")).write.mode("append").parquet(turns)
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(parts)
+    turn = spark.readStream.schema("_turn int").option("maxFilesPerTrigger", 1).parquet(turns).where("_turn >= 0")
+    return rows.join(F.broadcast(turn), F.col("_bucket") == F.col("_turn")).select(*df.columns)  # one row
 
 
 def run(stream: DataFrame, write: Callable[[DataFrame, int, str], None], mode: str, name: str) -> str:
@@ -102,30 +106,46 @@ def newest(stream: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def deduplicate(stream: DataFrame, keys: list[str], event_time: str = "ts", delay: str = "1 day") -> DataFrame:
-    """First delivery per key within the watermark delay; state older than that is dropped."""
+    """First delivery per key within the watermark delay; state older than that is dropped, and so are later rows.
+
+    :func:`late_sink` does the same and keeps the later rows.
+    """
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def stored_before(batch: DataFrame, schema: T.StructType, folder: str, batch_id: int) -> DataFrame:
+    """What earlier micro-batches stored below a folder; an empty table if nothing."""
+    spark = batch.sparkSession
+    wanted = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    try:
+        return spark.read.schema(wanted).parquet(folder).filter(F.col("batch_id") < batch_id)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], wanted)
+
+
 def late_sink(keys: list[str], event_time: str, delay_ms: int) -> Callable[[DataFrame, int, str], None]:
     """Batch writer with a side table: rows later than the watermark go to ``late``, all others once per key to ``rows``.
 
     The watermark of a batch is the latest event time of the batches before it, less the delay; it is stored with each batch,
-    so a replayed batch is split as before.
+    so a replayed batch is split as before. A key counts as delivered while its stored row is no older than the watermark,
+    so only the recent part of ``rows`` is looked at. Of equal keys in one batch the earliest row stays.
     """
     def write(batch: DataFrame, batch_id: int, folder: str) -> None:
-        spark = batch.sparkSession
-        known = T.StructType([T.StructField("at_ms", T.LongType()), T.StructField("batch_id", T.LongType())])
-        try:
-            before = spark.read.schema(known).parquet(f"{folder}/seen").filter(F.col("batch_id") < batch_id).agg(F.max("at_ms").alias("m")).first()["m"]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            before = None
-        at = F.unix_millis(event_time)
-        late = F.lit(False) if before is None else at < before - delay_ms
+        known = T.StructType([T.StructField("at_ms", T.LongType())])
+        before = stored_before(batch, known, f"{folder}/seen", batch_id).agg(F.max("at_ms").alias("m")).first()["m"]
+        at, at_ms = F.col(event_time), F.unix_millis(event_time)
+        late = F.lit(False) if before is None else F.coalesce(at_ms < before - delay_ms, F.lit(False))
         batch.filter(late).write.mode("overwrite").parquet(f"{folder}/late/batch_id={batch_id}")
-        batch.filter(~late).dropDuplicates(keys).write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch_id}")
-        batch.agg(F.max(at).alias("at_ms")).write.mode("overwrite").parquet(f"{folder}/seen/batch_id={batch_id}")
+        values = [c for c in batch.columns if c not in keys]
+        fresh = registry.first(batch.filter(~late), keys, [at, *[F.col(c) for c in values if c != event_time]], values).select(*batch.columns)
+        if before is not None:
+            recent = stored_before(batch, batch.schema, f"{folder}/rows", batch_id).filter(at >= F.timestamp_millis(F.lit(before - delay_ms)))
+            same = [F.col(f"f.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+            fresh = fresh.alias("f").join(recent.select(*keys).alias("r"), same, "left_anti").select("f.*")
+        fresh.write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch_id}")
+        batch.agg(F.max(at_ms).alias("at_ms")).write.mode("overwrite").parquet(f"{folder}/seen/batch_id={batch_id}")
 
     return write
 
@@ -154,75 +174,81 @@ def audit_sink(keys: list[str], partition: str) -> Callable[[DataFrame, int, str
 
 # --- two-phase collector -----------------------------------------------------------------------------------
 
-STATE = "models string, selective boolean, label string, present string, flag string, triggered boolean, done boolean"
 EVENTS = "request_id string, state string, missing string"
 PHASE_2 = {"loan_amount", "income_verification"}
 PHASE_1 = {"credit_risk", "fraud_detection"}
+#: How long a request's state is kept after its last message when no time-out is asked for.
+RETENTION_MS = 366 * 86_400_000
 
 
-def _advance(memory: dict, message: dict) -> None:
-    """Take one message into the memory of a request."""
-    if message["kind"] == "context":
-        memory.update(models=message["models"], selective=bool(message["selective"]), label=message["label"])
-    else:
-        seen = set(filter(None, memory["present"].split(",")))
-        seen.add(message["model_type"])
-        memory["present"] = ",".join(sorted(seen))
-        if message["model_type"] == "fraud_detection":
-            memory["flag"] = message["flag"]
-
-
-def _next_state(memory: dict) -> str | None:
-    """What a request does now: decide, trigger_phase_2, or nothing yet."""
-    if memory["models"] is None:
+def next_step(models: str, selective: bool, label: str | None, flags: dict[str, str | None]) -> str | None:
+    """What a request does once these results are there: decide, trigger_phase_2, or nothing yet."""
+    if selective:
+        return "decide" if set(models.split(",")) <= flags.keys() else None
+    if not PHASE_1 <= flags.keys():
         return None
-    present = set(filter(None, memory["present"].split(",")))
-    if memory["selective"]:
-        return "decide" if set(memory["models"].split(",")) <= present else None
-    if not PHASE_1 <= present:
-        return None
-    held = memory["flag"] == "HIGH" or memory["label"] in ("DECLINE", "REFER")
-    return "decide" if held or PHASE_2 <= present else "trigger_phase_2"
+    held = flags["fraud_detection"] == "HIGH" or label in ("DECLINE", "REFER")
+    return "decide" if held or PHASE_2 <= flags.keys() else "trigger_phase_2"
 
 
-#: How long a request's state is kept after its last message when no time-out is asked for.
-RETENTION_MS = 366 * 86_400_000
+class Collector(StatefulProcessor):
+    """One request: its context, the newest flag of each model that has answered, and how far it has got.
 
+    Each transition is emitted once. A timer per request, moved by every message, ends its state: as a time-out, as results that
+    never had a request, or quietly when it was decided.
+    """
 
-def collector(timeout_ms: int = RETENTION_MS):
-    """State function of the collector; emits each transition once. Every state expires, decided ones too."""
-    names = [part.split()[0] for part in STATE.split(", ")]
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        blank = dict(models=None, selective=False, label=None, present="", flag=None, triggered=False, done=False)
-        memory = dict(zip(names, state.get)) if state.exists else blank
+    def __init__(self, timeout_ms: int):
+        self.timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.context = handle.getValueState("context", "models string, selective boolean, label string")
+        self.flags = handle.getMapState("flags", "model_type string", "flag string")
+        self.reached = handle.getValueState("reached", "triggered boolean, done boolean")
+        self.deadline = handle.getValueState("deadline", "at_ms long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        latest = None
+        for frame in rows:
+            newest = int(frame["at_ms"].max())
+            latest = newest if latest is None else max(latest, newest)
+            asked = frame[frame["kind"] == "context"].tail(1)
+            for models, selective, label in asked[["models", "selective", "label"]].itertuples(index=False):
+                self.context.update((models, bool(selective), label))
+            answers = frame[frame["kind"] == "result"].drop_duplicates("model_type", keep="last")  # at most one per model
+            for model, flag in answers[["model_type", "flag"]].itertuples(index=False):
+                self.flags.updateValue((model,), (flag,))
+        triggered, done = self.reached.get() if self.reached.exists() else (False, False)
+        found = None
+        if self.context.exists() and not done:
+            found = next_step(*self.context.get(), {k[0]: v[0] for k, v in self.flags.iterator()})
+            if found == "trigger_phase_2" and triggered:
+                found = None
+        if found:
+            self.reached.update((triggered or found == "trigger_phase_2", found == "decide"))
+        if latest is not None:
+            if self.deadline.exists():
+                latest = max(latest, self.deadline.get()[0] - self.timeout_ms)
+                self.handle.deleteTimer(self.deadline.get()[0])
+            at = max(latest + self.timeout_ms, timerValues.getCurrentWatermarkInMs() + 1)
+            self.deadline.update((at,))
+            self.handle.registerTimer(at)
+        yield pd.DataFrame([(key[0], found, "")] if found else [], columns=["request_id", "state", "missing"])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         out = []
-        if state.hasTimedOut:
-            if memory["models"] is None:  # results after their request had timed out, or without a request
-                out.append((key[0], "orphan_results", ""))
-            elif not memory["done"]:
-                wanted = set((memory["models"] or "").split(",")) - set(memory["present"].split(",")) - {""}
-                out.append((key[0], "timeout", ",".join(sorted(wanted))))
-            state.remove()
-        else:
-            latest = None
-            for frame in frames:
-                for message in frame.to_dict("records"):
-                    _advance(memory, message)
-                    latest = message["at_ms"] if latest is None else max(latest, message["at_ms"])
-            now = None if memory["done"] else _next_state(memory)
-            if now == "decide":
-                out.append((key[0], "decide", ""))
-                memory["done"] = True
-            elif now == "trigger_phase_2" and not memory["triggered"]:
-                out.append((key[0], now, ""))
-                memory["triggered"] = True
-            state.update(tuple(memory[n] for n in names))
-            if latest is not None:
-                state.setTimeoutTimestamp(int(max(latest + timeout_ms, state.getCurrentWatermarkMs() + 1)))
+        if not self.context.exists():  # results after their request had timed out, or without a request
+            out.append((key[0], "orphan_results", ""))
+        elif not (self.reached.exists() and self.reached.get()[1]):
+            answered = {k[0] for k, _ in self.flags.iterator()}
+            out.append((key[0], "timeout", ",".join(sorted(set(self.context.get()[0].split(",")) - answered))))
+        for state in (self.context, self.flags, self.reached, self.deadline):
+            state.clear()
         yield pd.DataFrame(out, columns=["request_id", "state", "missing"])
 
-    return step
+    def close(self) -> None:
+        pass
 
 
 def collect(messages: DataFrame, timeout_ms: int = RETENTION_MS, delay: str = "10 minutes") -> DataFrame:
@@ -230,9 +256,9 @@ def collect(messages: DataFrame, timeout_ms: int = RETENTION_MS, delay: str = "1
 
     ``delay`` must cover the disorder of the messages: what is later than that is dropped. Columns of ``messages``: request_id, kind, models, selective, label, model_type, flag, ts, at_ms.
     """
+    ship(messages.sparkSession)  # the processor's class travels by name
     keyed = messages.withWatermark("ts", delay).groupBy("request_id")
-    return keyed.applyInPandasWithState(
-        collector(timeout_ms), EVENTS, STATE, "append", "EventTimeTimeout")
+    return keyed.transformWithStateInPandas(Collector(timeout_ms), EVENTS, "append", "EventTime")
 
 
 def final_states(transitions: DataFrame) -> DataFrame:

@@ -82,3 +82,41 @@ def test_lines_of_many_blocks(spark):
     lines = spark.range(0, 50_000, 1, 4).select(F.lit("f").alias("file"), (F.col("id") * 10).alias("block"), F.lit("x").alias("value"))
     found = batches.number_lines(lines).agg(F.min("line_no"), F.max("line_no"), F.count_distinct("line_no")).first()
     assert tuple(found) == (1, 50_000, 50_000)
+
+
+def test_one_bucket_per_micro_batch(spark):
+    """Buckets of one row, of many rows and of none: a micro-batch holds one, in their order."""
+    table = spark.range(1000).select("id", F.when(F.col("id") == 0, 0).when(F.col("id") < 4, 1).otherwise(3).alias("b"))
+    out = jobs.run(jobs.staged(table, F.col("b"), 4, "turns"), jobs.append, "append", "turns-out")
+    found = spark.read.schema("id long, b int, batch_id long").parquet(out).groupBy("batch_id").agg(F.min("b"), F.max("b"), F.count("b")).collect()
+    assert sorted(map(tuple, found)) == [(0, 0, 0, 1), (1, 1, 1, 3), (3, 3, 3, 996)]
+
+
+def test_keys_are_delivered_once_across_batches(spark):
+    rows = [(1, 0, "2024-01-05"), (1, 1, "2024-01-06"), (2, 0, "2024-01-06"), (2, 1, "2024-01-06"), (None, 0, "2024-01-06"), (None, 1, "2024-01-06"), (3, 1, None)]
+    table = spark.createDataFrame(rows, "id long, batch int, day string").withColumn("at", F.col("day").cast("timestamp")).drop("day")
+    out = jobs.run(jobs.staged(table, F.col("batch"), 2, "t"), jobs.late_sink(["id"], "at", 2 * 86_400_000), "append", "once")
+    kept = sorted((str(r["id"]), r["batch"]) for r in spark.read.parquet(f"{out}/rows").select("id", "batch").collect())
+    assert kept == [("1", 0), ("2", 0), ("3", 1), ("None", 0)]
+
+
+def test_collector_moves_and_times_out(spark):
+    """A time-out, results without a request, a decision in two steps; the same transitions in two runs."""
+    def message(request, batch, minute, kind, model=None, flag=None, selective=False, models="credit_risk,fraud_detection,loan_amount,income_verification"):
+        context = kind == "context"
+        return (request, batch, kind, models if context else None, selective if context else None, None, model, flag, (minute + 28_401_120) * 60_000)
+
+    rows = [message("a", 0, 0, "context"), message("a", 0, 1, "result", "credit_risk"), message("a", 1, 2, "result", "fraud_detection", "LOW"),
+            message("a", 2, 3, "result", "loan_amount"), message("a", 2, 3, "result", "income_verification"),
+            message("b", 0, 0, "context"), message("b", 1, 2, "result", "loan_amount"), message("c", 0, 0, "result", "credit_risk"),
+            message("d", 0, 0, "context", selective=True, models="credit_risk"), message("d", 0, 0, "result", "credit_risk"),
+            message("z", 3, 60, "context"), message("z", 4, 61, "result", "credit_risk")]
+    schema = "request_id string, batch int, kind string, models string, selective boolean, label string, model_type string, flag string, at_ms long"
+    table = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_millis("at_ms"))
+
+    def once():
+        stream = jobs.staged(table, F.col("batch"), 5, "m").drop("batch")
+        return sorted(map(tuple, jobs.rows(jobs.collect(stream, timeout_ms=600_000, delay="1 minute"), "c").collect()))
+
+    expected = [("a", "decide", ""), ("a", "trigger_phase_2", ""), ("b", "timeout", "credit_risk,fraud_detection,income_verification"), ("c", "orphan_results", ""), ("d", "decide", "")]
+    assert once() == expected and once() == expected
