@@ -143,17 +143,15 @@ def _cut(longest: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
             langs = table.column("lang").to_pylist()
             for i, j, data, offsets in tokens.chunks(table.column("text"), PIECE):
                 texts.append(pack(data, offsets, langs[i:j]))
-                found.append(np.unique(np.concatenate([places(h, buckets) for _, _, h in Phrases(data, offsets, langs[i:j]).each_size(longest)]), return_counts=True))
+                place, often = np.unique(np.concatenate([places(h, buckets) for _, _, h in Phrases(data, offsets, langs[i:j]).each_size(longest)]), return_counts=True)
+                found.append((place, often.astype(np.int32), np.searchsorted(place, np.arange(buckets + 1, dtype=np.int64) << BITS)))
             ours = (part << 24) + number
-            place, often = summed(found)
-            del found
-            bounds = np.searchsorted(place, np.arange(buckets + 1, dtype=np.int64) << BITS)
             rows: tuple[list, ...] = ([ours] * len(texts), [-1] * len(texts), [0] * len(texts), texts)
-            for b in np.flatnonzero(np.diff(bounds)).tolist():
-                mine = slice(bounds[b], bounds[b + 1])
-                numbers = place[mine] & ((1 << BITS) - 1)
-                for column, value in zip(rows, (ours, b, int(often[mine].sum()), packed(numbers, often[mine])), strict=True):
-                    column.append(value)
+            for b in range(buckets):
+                place, often = summed([(p[at[b] : at[b + 1]], n[at[b] : at[b + 1]]) for p, n, at in found])
+                if len(place):
+                    for column, value in zip(rows, (ours, b, int(often.sum()), packed(place & ((1 << BITS) - 1), often)), strict=True):
+                        column.append(value)
             yield from _batches(rows)
             number += 1
 
@@ -168,7 +166,7 @@ def _batches(rows: tuple[list, ...], size: int = 64) -> Iterator[pa.RecordBatch]
 
 def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted numbers and the sums of their counts."""
-    numbers, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    numbers, counts = (np.concatenate(x).astype(np.int64, copy=False) for x in zip(*parts, strict=True))
     by = np.argsort(numbers, kind="stable")
     numbers, counts = numbers[by], counts[by]
     first = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]])[: len(numbers)])
