@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bureaulake.functions.bins import case
+from bureaulake.shipping import ship
+from bureaulake.sources import decode
 
 HEAD_BYTES = 8192
 SAMPLE_BYTES = 65536
@@ -29,18 +31,19 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 def _probe(frames: Iterator[pd.DataFrame], checksum: bool) -> Iterator[pd.DataFrame]:
     import hashlib
 
-    from pyarrow import fs
-
     for frame in frames:
         rows = []
         for path, length in zip(frame["path"], frame["length"]):
-            system, name = fs.FileSystem.from_uri(path)
-            with system.open_input_file(name) as handle:
+            with decode.opened(path) as handle:
                 def part(offset, size):
                     handle.seek(max(0, offset))
                     return handle.read(size)
 
                 head = part(0, SAMPLE_BYTES)
+                compression = decode.compression_of(head)
+                handle.seek(0)
+                inner = decode.head_of(handle, compression, SAMPLE_BYTES) if compression else head
+                encoding, bom = decode.encoding_of(inner, len(inner) < SAMPLE_BYTES)
                 middle = part(length // 2, SAMPLE_BYTES) if length > 3 * SAMPLE_BYTES else b""
                 tail = part(length - SAMPLE_BYTES, SAMPLE_BYTES) if length > 3 * SAMPLE_BYTES else b""
                 digest = None
@@ -50,14 +53,20 @@ def _probe(frames: Iterator[pd.DataFrame], checksum: bool) -> Iterator[pd.DataFr
                     while chunk := handle.read(CHUNK_BYTES):
                         sha.update(chunk)
                     digest = sha.hexdigest()
-            rows.append((path, length, head, middle, tail, digest))
-        yield pd.DataFrame(rows, columns=["path", "length", "head", "middle", "tail", "sha256"])
+            rows.append((path, length, head, middle, tail, digest, compression, decode.container_of(head), encoding, bom,
+                         inner[:16].hex().upper(), decode.text_of(inner, encoding)))
+        yield pd.DataFrame(rows, columns=PROBED)
+
+
+PROBED = ["path", "length", "head", "middle", "tail", "sha256", "compression", "container", "encoding", "bom", "start", "text"]
 
 
 def probe(files: DataFrame, checksum: bool = False) -> DataFrame:
-    """Adds three byte samples and, on request, the SHA-256 of the whole file."""
+    """Adds three byte samples, what the head is (compression, container, encoding, its text) and, on request, the SHA-256 of the whole file."""
+    ship(files.sparkSession)
     spread = files.repartition(F.col("path"))  # one file may be far larger than another; spread them evenly
-    schema = "path string, length long, head binary, middle binary, tail binary, sha256 string"
+    schema = ("path string, length long, head binary, middle binary, tail binary, sha256 string, compression string, container string, encoding string, bom string, "
+              "start string, text string")
     return spread.mapInPandas(lambda frames: _probe(frames, checksum), schema)
 
 
@@ -75,31 +84,24 @@ def count_of(text: Column, token: str) -> Column:
 DELIMITERS = [",", "\t", "|", ";"]
 
 
+QUOTED = r'"(?:[^"]|"")*"'
+
+
 def introspect(probed: DataFrame) -> DataFrame:
-    """Container, compression, byte-order mark, newline, binary flag, delimiters, boundary and reader hints."""
-    head = F.substring("head", 1, HEAD_BYTES)
-    base = probed.withColumns({"_hex": F.hex(head), "_text": F.decode(head, "ISO-8859-1")})
-    hexed, text = F.col("_hex"), F.col("_text")
-    # Leading bytes of containers and compressed files.
-    compression = case([(_starts(hexed, "1F8B"), "gzip"), (_starts(hexed, "425A68"), "bzip2"),
-                        (_starts(hexed, "28B52FFD"), "zstd"), (_starts(hexed, "FD377A585A00"), "xz")])
-    container = case([(_starts(hexed, "504B0304"), "zip"), (F.substring(text, 258, 5) == "ustar", "tar")])
-    size = F.greatest(F.length(text), F.lit(1))
-    zeros = count_of(text, "\u0000") / size
-    control = F.length(F.regexp_replace(text, r"[^\x00-\x08\x0B\x0C\x0E-\x1F]", "")) / size
+    """Newline, binary flag, delimiters, boundary, reader hints and format hints from the decoded head; compression and encoding stay."""
+    text, hexed = F.coalesce(F.substring("text", 1, HEAD_BYTES), F.lit("")), F.col("start")
     newline = case([(text.contains("\r\n"), "CRLF"), (text.contains("\n"), "LF"), (text.contains("\r"), "CR")])
-    lines = F.filter(F.slice(F.split(text, "\r\n|\n|\r"), 1, 10), lambda s: F.trim(s) != "")
-    base = base.withColumns({
-        "compression": compression, "container": container,
-        "bom": case([(_starts(hexed, "EFBBBF"), "utf-8-sig"), (_starts(hexed, "FFFE"), "utf-16-le"), (_starts(hexed, "FEFF"), "utf-16-be")]),
-        "is_binary": (F.length(text) == 0) | (zeros > 0.05) | (control > 0.10) | _starts(hexed, "50415231", "504B0304", "1F8B", "4F626A01"),
-        "newline": newline, "_lines": lines,
-        "magic": case([(_starts(hexed, "50415231"), "parquet"), (_starts(hexed, "504B0304", "D0CF11E0"), "excel"), (_starts(hexed, "4F626A01"), "avro"), (_starts(hexed, "7B", "5B"), "json")]),
+    base = probed.withColumns({
+        "is_binary": F.col("encoding").isNull(),
+        "newline": newline, "_lines": F.filter(F.slice(F.split(text, "\r\n|\n|\r"), 1, 10), lambda s: F.trim(s) != ""),
+        "magic": case([(_starts(hexed, "50415231"), "parquet"), (_starts(hexed, "504B0304", "504B0506", "504B0708", "D0CF11E0"), "excel"), (_starts(hexed, "4F626A01"), "avro"),
+                       (text.rlike(r"^[\{\[]"), "json")]),
     })
     rows = F.col("_lines")
 
     def consistent(token):
-        total = F.aggregate(F.slice(rows, 1, 5), F.lit(0), lambda a, s: a + count_of(s, token))
+        bare = F.transform(F.slice(rows, 1, 5), lambda s: F.regexp_replace(s, QUOTED, ""))  # delimiters inside quotes don't count
+        total = F.aggregate(bare, F.lit(0), lambda a, s: a + count_of(s, token))
         return F.when((F.size(rows) >= 2) & (total > 0) & (total >= F.least(F.size(rows), F.lit(5)) * 0.8), F.struct((-total).alias("n"), F.lit(token).alias("d")))
 
     lengths = F.transform(rows, lambda s: F.length(s))
@@ -111,13 +113,16 @@ def introspect(probed: DataFrame) -> DataFrame:
         "record_length": F.when(F.col("newline").isNotNull() & even & ~F.col("is_binary"), mean.cast("int")),
     })
     stream = F.col("container").isNull() & (F.col("compression").isNotNull() | (F.col("length") > 10 * 1024 * 1024))
+    name = F.regexp_replace(F.lower("path"), r"\.(gz|gzip|bz2|xz|zst)$", "")
+    beginning = F.substring(text, 1, 100)
     return base.withColumns({
         "boundary": case([(F.size("delimiters") > 0, "delimited"), (F.col("record_length").isNotNull(), "fixed-width"),
                           (F.col("newline").isNotNull() & ~F.col("is_binary"), "newline-delimited")], "unknown"),
         "reader": F.when(stream, F.lit("streaming")).otherwise("random_access"),
-        "possible_json": text.rlike(r"^[\{\[]"), "possible_csv": F.substring(text, 1, 100).contains(","),
-        "extension": F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)),
-    }).drop("_hex", "_text", "_lines", "head", "middle", "tail")
+        "possible_json": text.rlike(r"^[\{\[]"), "possible_csv": beginning.contains(","), "possible_tsv": beginning.contains("\t"),
+        "possible_parquet": F.col("magic").eqNullSafe(F.lit("parquet")), "possible_excel": F.col("magic").eqNullSafe(F.lit("excel")),
+        "extension": F.regexp_extract(name, r"\.([^./]+)$", 1),
+    }).drop("head", "middle", "tail", "start", "_lines")
 
 
 # Extension -> format, and whether the format is binary.
@@ -138,11 +143,13 @@ def score_formats(inventory: DataFrame) -> DataFrame:
         if fmt == "csv":
             score = score + F.when(c("possible_csv"), 3).otherwise(0) + F.when(F.array_contains("delimiters", ","), 2).otherwise(0)
         if fmt == "tsv":
-            score = score + F.when(F.array_contains("delimiters", "\t"), 2).otherwise(0)
+            score = score + F.when(c("possible_tsv"), 3).otherwise(0) + F.when(F.array_contains("delimiters", "\t"), 2).otherwise(0)
         if fmt == "json":
             score = score + F.when(c("possible_json"), 3).otherwise(0)
+        if fmt == "parquet":
+            score = score + F.when(c("possible_parquet"), 3).otherwise(0)
         if fmt == "excel":
-            score = score + F.when(c("container") == "zip", 2).otherwise(0)
+            score = score + F.when(c("possible_excel"), 3).otherwise(0) + F.when(c("container") == "zip", 2).otherwise(0)
         return F.struct(F.when(right, score).otherwise(0).alias("score"), F.lit(fmt).alias("format"))
 
     order = BINARY_FORMATS + TEXT_FORMATS
@@ -172,9 +179,14 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str], sep: str
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_bad"]])
     rows = spark.read.csv(path, schema=schema, sep=sep, header=header, mode="PERMISSIVE",
                           columnNameOfCorruptRecord="_bad", enforceSchema=True)
+    return rows.filter(fits(columns, sep)).drop("_bad")
+
+
+def fits(columns: list[str], sep: str) -> Column:
+    """Whether a line, kept in ``_bad`` if it is corrupt, has no more fields than there are columns."""
     unquoted = F.regexp_replace("_bad", r'"(?:\\.|""|[^"\\])*"', "")  # separators inside quotes don't count
     too_many = F.col("_bad").isNotNull() & (count_of(unquoted, sep) >= len(columns))
-    return rows.filter(~too_many).drop("_bad")
+    return ~too_many | (F.length(F.col(f"`{columns[0]}`")) < 0)  # never true: a reader must be asked for a real column as well
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType, array: bool = False) -> DataFrame:
