@@ -10,7 +10,7 @@ from bureaulake.operators import batches, privacy, profile
 from bureaulake.queries.ctes import sql
 from bureaulake.queries.monitoring_queries import verified
 from bureaulake.queries.profile_queries import _COLUMNS, _MISSING, _UP, upload
-from bureaulake.sources import files, reports, scratch
+from bureaulake.sources import detect, files, reports, scratch
 from bureaulake.sources.views import table
 
 QUERIES, ORACLE = {}, {}
@@ -44,16 +44,20 @@ def _delimited(spark, d, sep, name):
 _SCAN = sql("SELECT customer_id, email, segment, signup_date FROM up WHERE customer_id % 50 <> 7", up=_UP)
 
 
+def _scanned(spark, path):
+    """A folder read by what detection says of its files."""
+    return detect.read_all(spark, path, "part-*").select(F.col("customer_id").try_cast("long").alias("customer_id"), *_NARROW[1:])
+
+
 @query("scan_csv", _SCAN)
 def scan_csv(spark, d):
-    rows = files.read_delimited(spark, _delimited(spark, d, ",", "csv"), _NARROW)
-    return rows.withColumn("customer_id", F.col("customer_id").try_cast("long"))
+    """Separator, header and names as detected; lines with too many fields are skipped."""
+    return _scanned(spark, _delimited(spark, d, ",", "csv"))
 
 
 @query("scan_tsv", _SCAN)
 def scan_tsv(spark, d):
-    rows = files.read_delimited(spark, _delimited(spark, d, "\t", "tsv"), _NARROW, sep="\t")
-    return rows.withColumn("customer_id", F.col("customer_id").try_cast("long"))
+    return _scanned(spark, _delimited(spark, d, "\t", "tsv"))
 
 
 def _struct(**fields):
@@ -108,41 +112,94 @@ def scan_parquet(spark, d):
     return rows.filter("nation < 10").groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("balance"), 4).alias("balance"))
 
 
-@query("scan_txt", sql("SELECT CAST(customer_id AS VARCHAR) AS col_0, segment AS col_1, signup_date AS col_2 FROM up", up=_UP))
+@query("scan_txt", sql("SELECT CAST(customer_id AS VARCHAR) AS col_0, segment AS col_1, signup_date AS col_2 FROM up WHERE customer_id % 30 <> 11", up=_UP))
 def scan_txt(spark, d):
+    """Text with a delimiter and no header; every 30th line has a field too many and is skipped."""
     path = scratch.folder(spark, "txt")
-    upload(spark, d).select(F.concat_ws("|", F.col("customer_id").cast("string"), "segment", "signup_date").alias("value")).write.text(path)
-    return files.read_text(spark, path)
+    extra = F.when(F.col("customer_id") % 30 == 11, F.lit("|x")).otherwise("")
+    upload(spark, d).select(F.concat(F.concat_ws("|", F.col("customer_id").cast("string"), "segment", "signup_date"), extra).alias("value")).write.text(path)
+    return detect.read_all(spark, path, "part-*").select("col_0", "col_1", "col_2")
+
+
+#: What each upload folder holds: its share of the customers, and what its files are.
+_UPLOADS = {
+    "a": "parquet", "b": "csv", "c": "tab text named csv", "d": "csv.gz", "e": "JSON lines", "f": "plain text", "g": "JSON arrays", "h": "csv in UTF-16",
+    "i": "tab text named tsv.gz", "j": "csv without header", "k": "JSON lines named csv", "l": "csv that begins like JSON", "m": "csv with quoted names, semicolons",
+}
 
 
 def _drop_folder(spark, d):
-    """A bronze folder with one sub-folder per format; a JSON-lines folder is declared as csv by its name."""
+    """A bronze folder with one upload per sub-folder; some are not what their names say."""
     path = scratch.folder(spark, "bronze")
-    df = upload(spark, d)
-    slim = df.select("customer_id", "segment", "nation")
-    slim.write.parquet(f"{path}/a")
-    slim.write.csv(f"{path}/b", header=True)
-    slim.write.csv(f"{path}/c", header=True, sep="\t")
-    slim.write.json(f"{path}/e")
-    df.select("segment").write.text(f"{path}/f")
-    slim.write.option("compression", "gzip").csv(f"{path}/g", header=True)
+    df = upload(spark, d).select("customer_id", "segment", "nation").withColumn("part", (F.col("customer_id") % len(_UPLOADS)).cast("int"))
+
+    def of(letter):
+        return df.filter(F.col("part") == list(_UPLOADS).index(letter)).drop("part")
+
+    def lines(letter, first, value, suffix):
+        """One text file per task, each with its own first line."""
+        rows = of(letter).select(value.alias("value"))
+        table = rows.select("value").withColumnRenamed("value", first) if first else rows
+        table.write.option("quote", "\u0000").csv(f"{path}/{letter}", header=bool(first), sep="\u0001", compression=suffix)
+
+    json = F.to_json(F.struct("customer_id", "segment", "nation"))
+    of("a").write.parquet(f"{path}/a")
+    of("b").write.csv(f"{path}/b", header=True)
+    of("c").write.csv(f"{path}/c", header=True, sep="\t")
+    of("d").write.csv(f"{path}/d", header=True, compression="gzip")
+    of("e").write.json(f"{path}/e")
+    of("f").select("segment").write.text(f"{path}/f")
+    blocks = of("g").groupBy(F.floor(F.col("customer_id") / 4000).alias("block")).agg(F.to_json(F.collect_list(F.struct("customer_id", "segment", "nation"))).alias("value"))
+    blocks.select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/g")  # at most 4000 customers a file
+    of("h").write.csv(f"{path}/h", header=True, encoding="UTF-16LE")
+    of("i").write.csv(f"{path}/i", header=True, sep="\t", compression="gzip")
+    of("j").select("customer_id", "nation", (F.col("nation") + 1).alias("next")).write.csv(f"{path}/j", header=False)
+    lines("k", None, json, "none")
+    lines("l", "{customer_id},segment,nation", F.concat_ws(",", "customer_id", "segment", "nation"), "none")
+    of("m").select("customer_id", F.col("segment").alias("market, segment"), "nation").write.csv(f"{path}/m", header=True, sep=";", quoteAll=True)
     return path
 
 
-@query("file_inventory")
+def _folder(path):
+    return F.element_at(F.split(path, "/"), -2).alias("folder")
+
+
+_KINDS = "(VALUES " + ", ".join([
+    # folder, extension, compression, encoding, newline, delimiters, boundary, magic, format, separator, header, is read by Spark alone, fallback
+    "('a', 'parquet', NULL, 'binary', NULL, '', 'unknown', 'parquet', 'parquet', NULL, NULL, true, NULL)",
+    "('b', 'csv', NULL, 'utf-8', 'LF', ',', 'delimited', NULL, 'csv', ',', true, true, NULL)",
+    "('c', 'csv', NULL, 'utf-8', 'LF', 'TAB', 'delimited', NULL, 'csv', 'TAB', true, true, NULL)",
+    "('d', 'csv', 'gzip', 'utf-8', 'LF', ',', 'delimited', NULL, 'csv', ',', true, true, NULL)",
+    "('e', 'json', NULL, 'utf-8', 'LF', ',', 'delimited', 'json', 'json', NULL, NULL, true, NULL)",
+    "('f', 'txt', NULL, 'utf-8', 'LF', '', 'newline-delimited', NULL, 'txt', NULL, NULL, true, NULL)",
+    "('g', 'txt', NULL, 'utf-8', 'LF', '', 'newline-delimited', 'json', 'json', NULL, NULL, true, 'txt')",
+    "('h', 'csv', NULL, 'utf-16-le', 'LF', ',', 'delimited', NULL, 'csv', ',', true, false, NULL)",
+    "('i', 'csv', 'gzip', 'utf-8', 'LF', 'TAB', 'delimited', NULL, 'csv', 'TAB', true, true, NULL)",
+    "('j', 'csv', NULL, 'utf-8', 'LF', ',', 'delimited', NULL, 'csv', ',', false, true, NULL)",
+    "('k', 'csv', NULL, 'utf-8', 'LF', ',', 'delimited', 'json', 'json', NULL, NULL, true, 'csv')",
+    "('l', 'csv', NULL, 'utf-8', 'LF', ',', 'delimited', 'json', 'json', NULL, NULL, true, 'csv')",
+    "('m', 'csv', NULL, 'utf-8', 'LF', ';', 'delimited', NULL, 'csv', ';', true, true, NULL)"]) + """
+  ) k(folder, extension, compression, encoding, newline, delimiters, boundary, magic, format, separator, header, native, fallback)"""
+
+
+def _tab(c):
+    return F.when(c == "\t", F.lit("TAB")).otherwise(c)
+
+
+@query("file_inventory", f"SELECT folder, extension, compression, nullif(encoding, 'binary') AS encoding, newline, encoding = 'binary' AS is_binary, delimiters, boundary, CASE WHEN compression IS NULL THEN 'random_access' ELSE 'streaming' END AS reader, magic FROM {_KINDS}")
 def file_inventory(spark, d):
+    """What the files of each upload are; one row per folder and kind of file."""
     probed = files.probe(files.list_files(spark, _drop_folder(spark, d), "part-*"))
     return files.introspect(probed).select(
-        F.element_at(F.split("path", "/"), -2).alias("folder"), "extension", "container", "compression", "bom", "newline", "is_binary",
-        F.array_join(F.transform("delimiters", lambda t: F.when(t == "\t", F.lit("TAB")).otherwise(t)), " ").alias("delimiters"),
-        "boundary", "reader", "possible_json", "possible_csv", "magic")
+        _folder("path"), "extension", "compression", "encoding", "newline", "is_binary",
+        F.array_join(F.transform("delimiters", _tab), " ").alias("delimiters"), "boundary", "reader", "magic").distinct()
 
 
-@query("file_format_scores")
+@query("file_format_scores", f"SELECT folder, extension, format, separator, header, native, fallback, fallback IS NOT NULL AS conflict FROM {_KINDS}")
 def file_format_scores(spark, d):
-    probed = files.probe(files.list_files(spark, _drop_folder(spark, d), "part-*"))
-    scored = files.score_formats(files.introspect(probed))
-    return scored.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "extension", "format", "score", "conflict", "fallback")
+    """Format, separator, header and fallback of each upload; one row per folder and layout."""
+    found = detect.layouts(files.list_files(spark, _drop_folder(spark, d), "part-*"))
+    return found.select(_folder("path"), "extension", "format", _tab(F.col("separator")).alias("separator"), "header", "native", "fallback", "conflict").distinct()
 
 
 @query("row_count_estimate")
@@ -152,29 +209,20 @@ def row_count_estimate(spark, d):
         F.sum("estimated_rows").alias("estimated_rows"), F.count(F.lit(1)).alias("files"))
 
 
-@query("scan_dispatch", sql("SELECT folder, count(*) AS n, count(DISTINCT segment) AS segments FROM up, (VALUES ('a'), ('b'), ('c'), ('e'), ('f'), ('g')) v(folder) GROUP BY 1", up=_UP))
+_DISPATCH = """SELECT chr(97 + CAST(customer_id % 13 AS INTEGER)) AS folder, count(*) AS n,
+  CASE WHEN customer_id % 13 = 5 THEN NULL ELSE sum(customer_id) END::BIGINT AS ids, CASE WHEN customer_id % 13 IN (5) THEN NULL ELSE sum(customer_id * nation) END::BIGINT AS products,
+  CASE WHEN customer_id % 13 = 9 THEN NULL ELSE sum(CAST('0x' || substr(md5(segment), 1, 6) AS BIGINT)) END::BIGINT AS digest FROM up GROUP BY customer_id % 13"""
+
+
+@query("scan_dispatch", sql(_DISPATCH, up=_UP))
 def scan_dispatch(spark, d):
-    """Each folder by its detected format and delimiter; compressed text falls back to delimited text."""
-    path = _drop_folder(spark, d)
-    scored = files.score_formats(files.introspect(files.probe(files.list_files(spark, path, "part-*"))))
-    by_folder = scored.groupBy(F.element_at(F.split("path", "/"), -2).alias("folder")).agg(
-        F.max("format").alias("format"), F.max("compression").alias("compression"), F.max(F.get("delimiters", F.lit(0))).alias("sep"))
-    columns = ["customer_id", "segment", "nation"]
-    schema = _struct(customer_id=_TEXT, segment=_TEXT, nation=_TEXT)
-    readers = {
-        "parquet": lambda p, _: spark.read.parquet(p).select(*[F.col(c).cast("string") for c in columns]),
-        "csv": lambda p, sep: files.read_delimited(spark, p, columns, sep=sep or ","),
-        "tsv": lambda p, sep: files.read_delimited(spark, p, columns, sep=sep or "\t"),
-        "json": lambda p, _: files.read_json(spark, p, schema),
-        "jsonl": lambda p, _: files.read_json(spark, p, schema),
-        "txt": lambda p, _: spark.read.text(p).select(F.lit(None).cast("string").alias("customer_id"), F.col("value").alias("segment"), F.lit(None).cast("string").alias("nation")),
-    }
-    loaded = None
-    for row in sorted(by_folder.collect()):  # one row per upload folder
-        kind = row["format"] if not row["compression"] else "csv"
-        rows = readers[kind](f"{path}/{row['folder']}", row["sep"]).withColumn("folder", F.lit(row["folder"]))
-        loaded = rows if loaded is None else loaded.unionByName(rows)
-    return loaded.groupBy("folder").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("segment").alias("segments"))
+    """All rows of a folder of mixed uploads, each read as what it is; rows and digests of the values per upload."""
+    rows = detect.read_all(spark, _drop_folder(spark, d), "part-*")
+    number = F.coalesce("customer_id", "{customer_id}", "col_0").try_cast("long")
+    nation = F.coalesce("nation", "col_1").try_cast("long")
+    segment = F.coalesce("segment", F.col("`market, segment`"), "text")
+    digest = F.conv(F.substring(F.md5(segment.cast("binary")), 1, 6), 16, 10).cast("long")
+    return rows.groupBy(_folder("_file")).agg(F.count(F.lit(1)).alias("n"), F.sum(number).alias("ids"), F.sum(number * nation).alias("products"), F.sum(digest).alias("digest"))
 
 
 @query("schema_nesting")

@@ -9,7 +9,7 @@ from bureaulake.functions import parse
 from bureaulake.functions.bins import case
 from bureaulake.operators import privacy, profile, ranking
 from bureaulake.queries.ctes import sql
-from bureaulake.sources import views
+from bureaulake.sources import detect, scratch, views
 from bureaulake.sources.views import table
 
 QUERIES, ORACLE = {}, {}
@@ -134,12 +134,14 @@ def date_formats(spark, d):
     return profile.date_formats(df, profile.text_columns(df))
 
 
-@query("schema_detect", sql(_each("""SELECT '{c}' AS "column", arg_min(kind, struct_pack(a := -n, b := kind)) AS type, CAST(sum(n) AS BIGINT) AS n, max(n) AS votes FROM (
+@query("schema_detect", sql("SELECT *, true AS has_header, 0.9e0 AS confidence FROM (" + _each("""SELECT '{c}' AS "column", arg_min(kind, struct_pack(a := -n, b := kind)) AS type, CAST(sum(n) AS BIGINT) AS n, max(n) AS votes FROM (
   SELECT CASE WHEN regexp_matches({c}, '^[+-]?\\d+$') THEN 'integer' WHEN regexp_matches(replace({c}, ',', ''), '^[+-]?\\d*\\.?\\d+$') AND NOT contains({c}, ',') THEN 'float'
-    WHEN regexp_matches({c}, '^(\\d{4}-\\d{2}-\\d{2}|\\d{2}/\\d{2}/\\d{4})$') THEN 'date' ELSE 'string' END AS kind, count(*) AS n FROM (SELECT CAST({c} AS VARCHAR) AS {c} FROM up) WHERE {c} IS NOT NULL GROUP BY 1)"""), up=_UP))
+    WHEN regexp_matches({c}, '^(\\d{4}-\\d{2}-\\d{2}|\\d{2}/\\d{2}/\\d{4})$') THEN 'date' ELSE 'string' END AS kind, count(*) AS n FROM (SELECT CAST({c} AS VARCHAR) AS {c} FROM up) WHERE {c} IS NOT NULL GROUP BY 1)""") + ")", up=_UP))
 def schema_detect(spark, d):
-    """Majority type of every column, from values only."""
-    return profile.majority_types(upload(spark, d).select(*[F.col(c).cast("string").alias(c) for c in _COLUMNS]))
+    """Header, majority type of every column and confidence of an uploaded csv, from its files alone."""
+    path = scratch.folder(spark, "schema")
+    upload(spark, d).select(*_COLUMNS).write.csv(path, header=True)
+    return detect.schema(spark, path, "part-*")
 
 
 # --- samples -------------------------------------------------------------------------------------------------
