@@ -32,8 +32,11 @@ from bureaulake.llm import spans, tokens
 from bureaulake.llm.blocks import gathered, pack, spread, unpack
 from bureaulake.llm.common import groups_of, partitions, prepare, stored
 
-#: Bits of a phrase's number within its partition. Bytes of text of a run of documents, of a piece of it, and of all texts for each partition.
-BITS, RUN, PIECE, PART = 36, 16 << 20, 1 << 20, 64 << 20
+#: Bits of a phrase's number within its partition, and bytes of text counted at once.
+BITS, PIECE = 36, 1 << 20
+#: Bytes of text of a run of documents, and of all texts for each partition. Every run has a row for every partition, so both should
+#: grow with the memory of a task where there is much text.
+RUN, PART = 8 << 20, 16 << 20
 NO_LANGUAGE = "und"
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?"] + [*range(10, 14)]] = True
@@ -133,12 +136,12 @@ def unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray | None]:
 # ---- first pass
 
 
-def _cut(longest: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cut(longest: int, buckets: int, run_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Runs of documents: one row for each piece of text (bucket -1), and one for each partition with its counted phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
-        for table in groups_of(batches, "text", RUN):
+        for table in groups_of(batches, "text", run_bytes):
             texts, found = [], []
             langs = table.column("lang").to_pylist()
             for i, j, data, offsets in tokens.chunks(table.column("text"), PIECE):
@@ -247,7 +250,7 @@ def _exact(longest: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def frequent(docs: DataFrame, threshold: int = 10, longest: int = 3) -> DataFrame:
+def frequent(docs: DataFrame, threshold: int = 10, longest: int = 3, run_bytes: int = RUN, part_bytes: int = PART) -> DataFrame:
     """lang, size, phrase, f: every phrase of 1 to ``longest`` words that a language has at least ``threshold`` times, and how often.
 
     One more row for each language, with size 0, has the number of its words.
@@ -255,8 +258,8 @@ def frequent(docs: DataFrame, threshold: int = 10, longest: int = 3) -> DataFram
     spark = prepare(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), "text")
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    buckets = max(16, 2 * partitions(spark), size // PART)
-    cut = stored(docs.mapInArrow(_cut(longest, buckets), PIECES), "phrases-cut")
+    buckets = max(16, 2 * partitions(spark), size // part_bytes)
+    cut = stored(docs.mapInArrow(_cut(longest, buckets, run_bytes), PIECES), "phrases-cut")
     answers = cut.where("bucket >= 0").groupBy("bucket").applyInArrow(_survivors(threshold), PIECES)
     texts = cut.where("bucket < 0")
     counts = texts.unionAll(answers).groupBy("run").applyInArrow(_exact(longest, buckets), "lang string, size int, phrase string, f long")
