@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from bureaulake.functions import parse
 from bureaulake.functions.bins import case
-from bureaulake.operators.ranking import quantiles
+from bureaulake.operators.ranking import quantiles_of_counts, value_counts
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 Z_LIMIT = 1.96
@@ -22,28 +22,32 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def per_column(df: DataFrame, columns: list[str], metrics) -> DataFrame:
-    """``metrics(column) -> {name: aggregate}`` for all columns in one aggregation, then one row per column."""
-    aggregated = df.agg(*[
+def per_column(df: DataFrame, columns: list[str], metrics, keys: list[str] = ()) -> DataFrame:
+    """``metrics(column) -> {name: aggregate}`` for all columns in one aggregation, then one row per column (and ``keys``)."""
+    aggregated = df.groupBy(*keys).agg(*[
         F.struct(F.lit(c).alias("column"), *[m.alias(n) for n, m in metrics(c).items()]).alias(f"_{i}")
         for i, c in enumerate(columns)])
-    return aggregated.select(F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
+    return aggregated.select(*keys, F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
 
 
-def missing(df: DataFrame) -> DataFrame:
-    def metrics(c):
-        return {"null_count": F.count_if(F.col(c).isNull()), "total_rows": F.count(F.lit(1))}
+def missing_metrics(c: str) -> dict[str, Column]:
+    return {"null_count": F.count_if(F.col(c).isNull()), "total_rows": F.count(F.lit(1))}
+
 
+def completeness_pct() -> Column:
     share = (F.col("total_rows") - F.col("null_count")) / F.when(F.col("total_rows") > 0, F.col("total_rows")) * 100
+    return F.round(F.coalesce(share, F.lit(0.0)), 2)
+
+
+def missing(df: DataFrame) -> DataFrame:
     pattern = case([(F.col("null_count") == 0, "complete"), (F.col("null_count") < F.col("total_rows"), "random")], "all_null")
-    return per_column(df, df.columns, metrics).select(
-        "column", "null_count", F.round(F.coalesce(share, F.lit(0.0)), 2).alias("completeness_pct"), "total_rows", pattern.alias("pattern"))
+    return per_column(df, df.columns, missing_metrics).select("column", "null_count", completeness_pct().alias("completeness_pct"), "total_rows", pattern.alias("pattern"))
 
 
 def distribution(df: DataFrame, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """min, max, mean, median, sample standard deviation and distinct count of the numeric columns.
 
-    Exact medians and distinct counts run over (column, value) rows, which spreads them over all tasks.
+    Exact medians and distinct counts come from one stored count per (column, value): the table is read twice altogether.
     ``exact=False`` takes everything from one pass with sketches of fixed size.
     """
     columns = numeric_columns(df)
@@ -57,10 +61,10 @@ def distribution(df: DataFrame, exact: bool = True, accuracy: int = 10_000) -> D
 
     stats = per_column(df, columns, metrics).filter("n > 0")
     if exact:
-        long = as_double_rows(df, columns)
-        counts = long.distinct().groupBy("column").agg(F.count("value").alias("unique_count"))
-        medians = quantiles(long, ["column"], [0.5]).select("column", F.col("quantile").alias("median"))
-        stats = stats.join(counts, "column").join(medians, "column")
+        counts = value_counts(as_double_rows(df, columns), ["column"])
+        distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("unique_count"))
+        medians = quantiles_of_counts(counts, ["column"], [0.5]).select("column", F.col("quantile").alias("median"))
+        stats = stats.join(distinct, "column").join(medians, "column")
     return stats
 
 
@@ -94,27 +98,20 @@ def smallest_per_group(df: DataFrame, keys: list[str], order: str, values: list[
     return first.withColumn("_r", F.row_number().over(whole)).filter(F.col("_r") <= limit).drop("_r", "_salt")
 
 
-def logical_types(df: DataFrame) -> DataFrame:
-    """integer, float, boolean, datetime, string_numeric or string; all rows are tested, not a sample."""
-    def of(field):
-        kind = field.dataType
-        if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-            return F.lit("float")
-        if isinstance(kind, NUMERIC):
-            return F.lit("integer")
-        if isinstance(kind, T.BooleanType):
-            return F.lit("boolean")
-        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return F.lit("datetime")
-        if not isinstance(kind, T.StringType):
-            return F.lit("string")
-        value = F.trim(F.col(field.name))
-        looks = F.bool_and(F.when(F.col(field.name).isNotNull(), value.rlike(parse.NUMBER)))
+def logical_type(field: T.StructField) -> Column:
+    """Aggregate: integer, float, boolean, datetime, string_numeric or string; all rows are tested, not a sample."""
+    kind = field.dataType
+    if isinstance(kind, T.StringType):
+        looks = F.bool_and(F.when(F.col(field.name).isNotNull(), F.trim(F.col(field.name)).rlike(parse.NUMBER)))
         return F.when(F.coalesce(looks, F.lit(True)), F.lit("string_numeric")).otherwise("string")
+    typed = {(T.FloatType, T.DoubleType, T.DecimalType): "float", NUMERIC: "integer", (T.BooleanType,): "boolean",
+             (T.DateType, T.TimestampType, T.TimestampNTZType): "datetime"}
+    return F.max(F.lit(next((name for kinds, name in typed.items() if isinstance(kind, kinds)), "string")))
+
 
+def logical_types(df: DataFrame) -> DataFrame:
     fields = {f.name: f for f in df.schema.fields}
-    return per_column(df, df.columns, lambda c: {"type": F.max(of(fields[c])) if not isinstance(fields[c].dataType, T.StringType)
-                                                 else of(fields[c])})
+    return per_column(df, df.columns, lambda c: {"type": logical_type(fields[c])})
 
 
 def schema_hash(types: DataFrame) -> DataFrame:
@@ -139,27 +136,52 @@ TEXT_PATTERNS = {
 SEPARATED = r"(?i)^[A-Z0-9_-]+$"
 
 
-def text_patterns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Patterns that more than half of the values match; else separators, else UNIQUE_TEXT or TEXT.
+def shape_metrics(c: str, text: bool = True) -> dict[str, Column]:
+    """How many values have each of the named shapes; nulls for columns that aren't text."""
+    value = F.trim(F.col(c).cast("string"))
+    return {n: F.count_if(value.rlike(p)) if text else F.max(F.lit(None).cast("long")) for n, p in {**TEXT_PATTERNS, "SEPARATED": SEPARATED}.items()}
+
+
+def shapes(df: DataFrame, stats: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """Adds ``patterns`` and ``n_distinct`` to ``column, n`` and the counts of :func:`shape_metrics`.
 
-    All rows count.  The distinct share uses a two-step distinct over (column, value).
+    Patterns that more than half of the values match; else separators, else UNIQUE_TEXT or TEXT. Only columns that no pattern
+    decides need a distinct count, which is taken over hashes of 128 bits.
     """
+    named = F.array_compact(F.array(*[F.when(F.col(p) > F.col("n") * 0.5, F.lit(p)) for p in TEXT_PATTERNS]))
+    stats = stats.filter("n > 0").withColumn("_named", F.when(F.size(named) > 0, named).when(F.col("SEPARATED") >= F.col("n") * 0.5, F.array(F.lit("ALPHANUMERIC_WITH_SEPARATORS"))))
+    texts = [c for c in text_columns(df) if c not in keys]
+    open_ = F.broadcast(stats.filter("_named is null").select(*keys, "column"))  # a row per column and key
+    long = df.unpivot(list(keys), texts, "column", "value").filter("value is not null").join(open_, [*keys, "column"], "left_semi")
+    distinct = long.select(*keys, "column", F.xxhash64("value").alias("a"), F.xxhash64("value", F.lit(1)).alias("b")).distinct().groupBy(*keys, "column").agg(
+        F.count(F.lit(1)).alias("n_distinct"))
+    rest = F.array(F.when(F.col("n_distinct") / F.col("n") > 0.9, F.lit("UNIQUE_TEXT")).otherwise("TEXT"))
+    return stats.join(distinct, [*keys, "column"], "left").withColumn("patterns", F.coalesce("_named", rest)).drop("_named")
+
+
+def text_patterns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Text patterns per column; all rows count."""
     columns = text_columns(df) if columns is None else columns
-    shapes = {**TEXT_PATTERNS, "SEPARATED": SEPARATED}
+    stats = per_column(df, columns, lambda c: {"n": F.count(c), **shape_metrics(c)})
+    return shapes(df.select(*columns), stats).select("column", "n", "patterns")
+
+
+def grouped(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Profile of every column within each group of ``keys``: gaps, type, min, max, mean and text patterns.
+
+    All measures come from one aggregation; a second pass counts distinct values where no pattern decides.
+    """
+    fields = {f.name: f for f in df.schema.fields if f.name not in keys}
 
     def metrics(c):
-        value = F.trim(F.col(c))
-        return {"n": F.count(c), **{n: F.count_if(value.rlike(p)) for n, p in shapes.items()}}
+        number = F.col(c).cast("double") if isinstance(fields[c].dataType, NUMERIC) else F.lit(None).cast("double")
+        text = isinstance(fields[c].dataType, T.StringType)
+        return {**missing_metrics(c), "n": F.count(c), "type": logical_type(fields[c]), "min": F.min(number), "max": F.max(number), "mean": F.avg(number),
+                "is_text": F.max(F.lit(text)), **shape_metrics(c, text)}
 
-    stats = per_column(df, columns, metrics).filter("n > 0")
-    distinct = df.unpivot([], columns, "column", "value").filter("value is not null").distinct().groupBy("column").agg(
-        F.count(F.lit(1)).alias("n_distinct"))
-    named = F.array_compact(F.array(*[F.when(F.col(p) > F.col("n") * 0.5, F.lit(p)) for p in TEXT_PATTERNS]))
-    fallback = case([
-        (F.col("SEPARATED") >= F.col("n") * 0.5, "ALPHANUMERIC_WITH_SEPARATORS"),
-        (F.col("n_distinct") / F.col("n") > 0.9, "UNIQUE_TEXT")], "TEXT")
-    patterns = F.when(F.size(named) > 0, named).otherwise(F.array(fallback))
-    return stats.join(distinct, "column").select("column", "n", "n_distinct", patterns.alias("patterns"))
+    stats = per_column(df, list(fields), metrics, keys).withColumn("completeness_pct", completeness_pct())
+    found = shapes(df, stats.filter("is_text"), keys).select(*keys, "column", "patterns")
+    return stats.join(found, [*keys, "column"], "left").select(*keys, "column", "type", "completeness_pct", "min", "max", "mean", "patterns")
 
 
 def date_formats(df: DataFrame, columns: list[str], minimum: int = 5) -> DataFrame:
@@ -223,26 +245,33 @@ def column_sets(presence: DataFrame) -> DataFrame:
     return each.agg(F.count(F.lit(1)).alias("all_columns"), F.count_if(F.col("n") == F.col("samples")).alias("common_columns"))
 
 
-def examples(df: DataFrame, columns: list[str], size: int = 3) -> DataFrame:
-    """Up to ``size`` different values of each column, the smallest by hash, as text.
+def examples(df: DataFrame, columns: list[str], size: int = 3, width: int = 50) -> DataFrame:
+    """Up to ``size`` different values of each column, those with the smallest hashes, as text cut to ``width`` characters.
 
-    The size belongs to the report.  Values are taken per task first: the aggregate state is ``size`` values.
+    The size belongs to the report. The smallest hash of each first byte is known after one partial aggregation; the ``size``-th of
+    these can only be too large as a limit, so a second pass needs to look at the few values up to it.
     """
     long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "value").filter("value is not null")
-    digest = F.md5(F.col("value").cast("binary"))
-    firsts = long.groupBy("column", F.substring(digest, 1, 2).alias("part")).agg(F.min(F.struct(digest.alias("d"), "value")).alias("top"))
-    ordered = F.slice(F.array_sort(F.collect_list("top")), 1, size)  # at most 256 values per column
-    return firsts.groupBy("column").agg(F.transform(ordered, lambda t: t["value"]).alias("examples"))
+    long = long.withColumn("d", F.md5(F.col("value").cast("binary")))
+    firsts = long.groupBy("column", F.substring("d", 1, 2).alias("part")).agg(F.min("d").alias("d"))
+    limits = firsts.groupBy("column").agg(F.get(F.array_sort(F.collect_list("d")), F.lit(size - 1)).alias("limit"))  # at most 256 a column
+    near = long.join(F.broadcast(limits), "column").filter(F.col("limit").isNull() | (F.col("d") <= F.col("limit")))  # a row per column
+    kept = smallest_per_group(near.select("column", "d", "value").distinct(), ["column"], "d", ["value"], size)
+    listed = kept.groupBy("column").agg(F.array_sort(F.collect_list(F.struct("d", F.substring("value", 1, width).alias("value")))).alias("top"))
+    return listed.select("column", F.transform("top", lambda t: t["value"]).alias("examples"))
 
 
 def merged(profiles: DataFrame) -> DataFrame:
     """Profiles of several samples to one: numbers averaged, the most frequent type, patterns united."""
-    types = profiles.groupBy("column", "type").agg(F.count(F.lit(1)).alias("votes")).groupBy("column").agg(
-        F.min_by("type", F.struct((-F.col("votes")).alias("v"), "type")).alias("type"))
-    numbers = profiles.groupBy("column").agg(
-        F.avg("completeness_pct").alias("completeness_pct"), F.avg("mean").alias("mean"), F.avg("min").alias("min"),
-        F.avg("max").alias("max"), F.count(F.lit(1)).alias("samples"))
-    return numbers.join(types, "column")
+    votes = profiles.groupBy("column", "type").agg(
+        F.count(F.lit(1)).alias("votes"), F.sum("completeness_pct").alias("c"), F.count("mean").alias("numbers"), F.sum("mean").alias("mean"), F.sum("min").alias("min"),
+        F.sum("max").alias("max"), F.flatten(F.collect_set("patterns")).alias("patterns"))
+    whole = votes.groupBy("column").agg(
+        F.min_by("type", F.struct((-F.col("votes")).alias("v"), "type")).alias("type"), F.sum("votes").alias("samples"), F.sum("numbers").alias("numbers"),
+        *[F.sum(c).alias(c) for c in ("c", "mean", "min", "max")], F.array_sort(F.array_distinct(F.flatten(F.collect_list("patterns")))).alias("patterns"))
+    numbers = F.when(F.col("numbers") > 0, F.col("numbers"))
+    return whole.select("column", "type", (F.col("c") / F.col("samples")).alias("completeness_pct"), *[(F.col(c) / numbers).alias(c) for c in ("mean", "min", "max")],
+                        "samples", "patterns")
 
 
 def completeness(missing_rows: DataFrame, critical: list[str], weight: float = 2.0) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bureaulake.sources import scratch
+
 HASH_PREFIX = 4  # 65 536 buckets for an evenly spread hash
 BUCKETS = 256
 
@@ -67,13 +69,36 @@ def with_value_bucket(df: DataFrame, keys: list[str], value: str, name: str = "_
     return joined.withColumn(name, F.size(F.filter("_splits", lambda s: s < F.col(value)))).drop("_splits")
 
 
+def row_numbers(df: DataFrame, keys: list[str], order: str, name: str = "row_number", most: int = 1_000_000) -> DataFrame:
+    """Adds a 1-based exact row number per ``keys`` along a numeric column.
+
+    Keys with up to ``most`` rows are ordered whole: there may be any number of them and they cost one shuffle. Only the others, of
+    which there are at most all rows divided by ``most``, get split points. Null keys count as equal.
+    """
+    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
+    plain = df.join(heavy, same, "left_anti").withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("long"))
+    hot = df.join(heavy, same, "left_semi")
+    hot = row_number_in_buckets(with_value_bucket(hot, keys, order, "_part"), keys, F.col("_part"), [F.col(order)], name)
+    return plain.unionByName(hot.select(*plain.columns))
+
+
+def value_counts(df: DataFrame, keys: list[str], name: str = "value-counts") -> DataFrame:
+    """How often each value that isn't null occurs per ``keys``, as ``value, _n``; stored, since quantiles read it several times."""
+    return scratch.written(df.filter("value is not null").groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n")), name)
+
+
 def quantiles(df: DataFrame, keys: list[str], shares: list[float], buckets: int = BUCKETS) -> DataFrame:
-    """Exact interpolated quantiles of ``value`` per ``keys``: one row per key and ``share``.
+    """Exact interpolated quantiles of ``value`` per ``keys``: one row per key and ``share``."""
+    return quantiles_of_counts(value_counts(df, keys), keys, shares, buckets)
+
+
+def quantiles_of_counts(counts: DataFrame, keys: list[str], shares: list[float], buckets: int = BUCKETS) -> DataFrame:
+    """The same from :func:`value_counts`.
 
-    No task holds all values.  Equal values collapse map-side, buckets between split points of the values give the rows
-    before each bucket, and only the buckets that hold a wanted rank are ordered.
+    No task holds all values.  Buckets between split points of the values give the rows before each bucket, and only the buckets
+    that hold a wanted rank are ordered.
     """
-    counts = df.filter("value is not null").groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
     span = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     spread = with_value_bucket(counts, keys, "value", "_b", buckets)
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bureaulake import catalog
-from bureaulake.operators.ranking import row_number_in_buckets, with_value_bucket
+from bureaulake.operators.ranking import row_numbers
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column], values: list[str]) -> DataFrame:
@@ -23,8 +23,7 @@ def first(df: DataFrame, keys: list[str], order: list[Column], values: list[str]
 
 def version_numbers(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Adds ``mini_version`` 0, 1, 2.. per key along a numeric column, also for a key with very many rows."""
-    numbered = row_number_in_buckets(with_value_bucket(df, keys, order, "_part"), keys, F.col("_part"), [F.col(order)], "_n")
-    return numbered.withColumn("mini_version", F.col("_n") - 1).drop("_n", "_part")
+    return row_numbers(df, keys, order, "_n").withColumn("mini_version", F.col("_n") - 1).drop("_n")
 
 
 def reuse(requests: DataFrame, artefacts: DataFrame, keys: list[str]) -> DataFrame:
@@ -55,12 +54,23 @@ def not_yet_stored(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFr
 def visible_decisions(audit: DataFrame, lookups: DataFrame, days: int = 30) -> DataFrame:
     """Newest decision of the same id at most ``days`` before the lookup day.
 
-    Both sides are reduced to one row per (id, day) first.  A decision is then made visible on the days it
-    can serve and the newest per (id, day) wins, so the join is one to one on (id, day): an id with very many
-    decisions never meets all of its lookups pairwise.
+    Both sides are reduced to one row per (id, day) first and cut into blocks of ``days + 1`` days. A lookup can only see decisions of
+    its own block and the last one of the block before, which is carried over the edge as one row. So one ordered pass within
+    (id, block) finds the newest decision; such a group has at most a row per day and side, however often an id occurs.
     """
+    size = days + 1
+
+    def block(day):
+        return F.floor(F.unix_date(day) / size).cast("int")
+
     daily = latest(audit, ["request_id", "decision_date"], [F.col("audit_id")], ["decision", "audit_id"])
-    reach = F.sequence(F.col("decision_date"), F.date_add("decision_date", days))
-    seen = daily.select("request_id", "decision", "audit_id", "decision_date", F.explode(reach).alias("asked_on"))
-    best = latest(seen, ["request_id", "asked_on"], [F.col("decision_date")], ["decision", "audit_id", "decision_date"])
-    return lookups.join(best, ["request_id", "asked_on"], "left")
+    given = daily.select("request_id", block(F.col("decision_date")).alias("block"), F.col("decision_date").alias("day"),
+                         F.struct("decision", "audit_id", "decision_date").alias("seen"))
+    carried = latest(given, ["request_id", "block"], [F.col("day")], ["day", "seen"]).select("request_id", (F.col("block") + 1).alias("block"), "day", "seen")
+    asked = lookups.select("request_id", "asked_on").distinct().select(
+        "request_id", block(F.col("asked_on")).alias("block"), F.col("asked_on").alias("day"), F.lit(None).cast(given.schema["seen"].dataType).alias("seen"))
+    rows = given.withColumn("side", F.lit(0)).unionByName(carried.withColumn("side", F.lit(0))).unionByName(asked.withColumn("side", F.lit(1)))
+    along = Window.partitionBy("request_id", "block").orderBy("day", "side").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("seen", F.last("seen", ignorenulls=True).over(along)).filter("side = 1")
+    found = found.filter(F.col("seen.decision_date") >= F.date_sub("day", days)).select("request_id", F.col("day").alias("asked_on"), "seen.*")
+    return lookups.join(found, ["request_id", "asked_on"], "left")

@@ -565,9 +565,9 @@ def platt_scale(spark, d):
 
 def fraud_limits(scores):
     """One row with the 1st and 5th percentile, minimum and maximum of ``anomaly_raw``."""
-    values = scores.select(F.lit("anomaly").alias("key"), F.col("anomaly_raw").alias("value"))
-    cuts = ranking.quantiles(values, ["key"], [0.01, 0.05])
-    ends = scores.agg(F.min("anomaly_raw").alias("min_score"), F.max("anomaly_raw").alias("max_score"))
+    counts = ranking.value_counts(scores.select(F.lit("anomaly").alias("key"), F.col("anomaly_raw").alias("value")), ["key"], "anomaly-counts")
+    cuts = ranking.quantiles_of_counts(counts, ["key"], [0.01, 0.05])
+    ends = counts.agg(F.min("value").alias("min_score"), F.max("value").alias("max_score"))
     return cuts.agg(F.max(F.when(F.col("share") == 0.01, F.col("quantile"))).alias("p1"),
                     F.max(F.when(F.col("share") == 0.05, F.col("quantile"))).alias("p5")).crossJoin(F.broadcast(ends))  # one row each
 

@@ -76,10 +76,10 @@ def zscore_outliers(spark, d):
     return profile.outliers(table(spark, d, "events").select("event_id", "user_id", "value"), "event_id")
 
 
-@query("profile_examples", sql("""SELECT "column", array_to_string(list(value ORDER BY d)[1:3], '|') AS examples FROM (
-  SELECT "column", min(d) AS d, arg_min(value, d) AS value FROM (SELECT "column", value, md5(value) AS d FROM ("""
+@query("profile_examples", sql("""SELECT "column", string_agg(value, '|' ORDER BY d) AS examples FROM (
+  SELECT "column", value[1:50] AS value, d, row_number() OVER (PARTITION BY "column" ORDER BY d) AS rn FROM (SELECT DISTINCT "column", value, md5(value) AS d FROM ("""
     + _each("SELECT '{c}' AS \"column\", {c} AS value FROM up WHERE {c} IS NOT NULL", ["full_name", "email", "phone_number", "amount_text", "signup_date", "segment"])
-    + """)) GROUP BY "column", substr(d, 1, 2)) GROUP BY 1""", up=_UP))
+    + """))) WHERE rn <= 3 GROUP BY 1""", up=_UP))
 def profile_examples(spark, d):
     """Three different values of each text column."""
     return profile.examples(upload(spark, d), _TEXTS).select("column", F.array_join("examples", "|").alias("examples"))
@@ -197,16 +197,8 @@ _PART_NUMBERS = _each("SELECT '{c}' AS \"column\", sample_id, round(count({c}) *
   FROM (SELECT *, """ + _NAMED + """ AS named FROM named_parts) WHERE n > 0) GROUP BY 1""", named_parts=_NAMED_PARTS, parts=_PARTS, up=_UP))
 def profile_merged(spark, d):
     """Profiles of the table's three parts united into one row per column: types, numbers and the union of text patterns."""
-    rows = _parts(spark, d)
-    each, patterns = [], []
-    for part in range(3):
-        own = rows.filter(F.col("sample_id") == part).drop("sample_id")
-        gaps = profile.missing(own).select("column", "completeness_pct")
-        each.append(gaps.join(profile.logical_types(own), "column").join(profile.distribution(own, exact=False).select("column", "mean", "min", "max"), "column", "left"))
-        patterns.append(profile.text_patterns(own).select("column", F.explode("patterns").alias("pattern")))
-    united = patterns[0].unionByName(patterns[1]).unionByName(patterns[2]).groupBy("column").agg(F.array_join(F.array_sort(F.collect_set("pattern")), ",").alias("patterns"))
-    merged = profile.merged(each[0].unionByName(each[1]).unionByName(each[2])).join(united, "column", "left")
-    return merged.select("column", "type", *[F.round(n, 4).alias(n) for n in ("completeness_pct", "mean", "min", "max")], "samples", F.coalesce("patterns", F.lit("")).alias("patterns"))
+    merged = profile.merged(profile.grouped(_parts(spark, d), ["sample_id"]))
+    return merged.select("column", "type", *[F.round(n, 4).alias(n) for n in ("completeness_pct", "mean", "min", "max")], "samples", F.array_join("patterns", ",").alias("patterns"))
 
 
 @query("split_stratified", """SELECT segment, split, count(*) AS n, min(key) AS first_key, max(key) AS last_key FROM (SELECT *, CASE WHEN rn <= floor(size * 0.70e0) THEN 'train'

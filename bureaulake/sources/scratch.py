@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -26,3 +26,10 @@ def folder(spark: SparkSession, name: str) -> str:
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table stored below the shared folder and read again: what is used several times is worked out once and survives lost executors."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
