@@ -42,7 +42,8 @@ BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?"] + [*range(10, 14)]] = True
 APART = BREAK.copy()
 APART[[32, 9]] = True
-PIECES = "run long, bucket int, mass long, payload binary"
+#: ``mass`` is the number of occurrences in a run's summary of a partition, and -1 for a piece of text.
+ROWS = "run long, bucket int, mass long, payload binary"
 
 
 # ---- phrases of texts
@@ -137,7 +138,7 @@ def unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray | None]:
 
 
 def _cut(longest: int, buckets: int, run_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Runs of documents: one row for each piece of text (bucket -1), and one for each partition with its counted phrases."""
+    """Runs of documents: one row for each partition with its counted phrases, and one for each piece of text, dealt to any partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
@@ -149,7 +150,7 @@ def _cut(longest: int, buckets: int, run_bytes: int) -> Callable[[Iterator[pa.Re
                 place, often = np.unique(np.concatenate([places(h, buckets) for _, _, h in Phrases(data, offsets, langs[i:j]).each_size(longest)]), return_counts=True)
                 found.append((place, often.astype(np.int32), np.searchsorted(place, np.arange(buckets + 1, dtype=np.int64) << BITS)))
             ours = (part << 24) + number
-            rows: tuple[list, ...] = ([ours] * len(texts), [-1] * len(texts), [0] * len(texts), texts)
+            rows: tuple[list, ...] = ([ours] * len(texts), [(ours + k) % buckets for k in range(len(texts))], [-1] * len(texts), texts)
             for b in range(buckets):
                 place, often = summed([(p[at[b] : at[b + 1]], n[at[b] : at[b + 1]]) for p, n, at in found])
                 if len(place):
@@ -198,10 +199,12 @@ class Summary:
 
 
 def _survivors(threshold: int) -> Callable[[pa.Table], pa.Table]:
-    """One partition's summary, and which of each run's numbers survive in it."""
+    """One partition's summary, and which of each run's numbers survive in it; pieces of text go through."""
 
     def run(group: pa.Table) -> pa.Table:
-        summary = Summary(pc.sum(group.column("mass")).as_py() // threshold + 1)
+        mass = group.column("mass")
+        texts, group = group.filter(pc.less(mass, 0)), group.filter(pc.greater_equal(mass, 0))
+        summary = Summary((pc.sum(group.column("mass")).as_py() or 0) // threshold + 1)
         payloads = group.column("payload")
         held, size = [], 0
         for payload in payloads:
@@ -213,18 +216,19 @@ def _survivors(threshold: int) -> Callable[[pa.Table], pa.Table]:
         summary.merge(held)
         kept = summary.at_least(threshold)
         del summary, held
-        out, runs = [], []
-        for ours, payload in zip(group.column("run").to_pylist(), payloads, strict=True):
+        out, runs, buckets = [], [], []
+        for ours, bucket, payload in zip(group.column("run").to_pylist(), group.column("bucket").to_pylist(), payloads, strict=True):
             numbers, _ = unpacked(payload.as_py())
             where = np.searchsorted(kept, numbers)
             hit = where < len(kept)
             hit[hit] = kept[where[hit]] == numbers[hit]
             if hit.any():
                 runs.append(ours)
+                buckets.append(bucket)
                 out.append(packed(numbers[hit]))
-        bucket = group.column("bucket")[0].as_py()
-        return pa.table({"run": pa.array(runs, pa.int64()), "bucket": pa.array([bucket] * len(out), pa.int32()),
-                         "mass": pa.array([0] * len(out), pa.int64()), "payload": pa.array(out, pa.binary())})
+        answers = pa.table({"run": pa.array(runs, pa.int64()), "bucket": pa.array(buckets, pa.int32()),
+                            "mass": pa.array([0] * len(out), pa.int64()), "payload": pa.array(out, pa.binary())})
+        return pa.concat_tables([answers, texts.cast(answers.schema)])
 
     return run
 
@@ -237,8 +241,8 @@ def _exact(longest: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
 
     def run(group: pa.Table) -> pa.Table:
         texts, kept = [], []
-        for bucket, payload in zip(group.column("bucket").to_pylist(), group.column("payload"), strict=True):
-            if bucket < 0:
+        for bucket, mass, payload in zip(group.column("bucket").to_pylist(), group.column("mass").to_pylist(), group.column("payload"), strict=True):
+            if mass < 0:
                 texts.append(payload)
             else:
                 kept.append(unpacked(payload.as_py())[0] + (bucket << BITS))
@@ -259,10 +263,9 @@ def frequent(docs: DataFrame, threshold: int = 10, longest: int = 3, run_bytes:
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), "text")
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(16, 2 * partitions(spark), size // part_bytes)
-    cut = stored(docs.mapInArrow(_cut(longest, buckets, run_bytes), PIECES), "phrases-cut")
-    answers = cut.where("bucket >= 0").groupBy("bucket").applyInArrow(_survivors(threshold), PIECES)
-    texts = cut.where("bucket < 0")
-    counts = texts.unionAll(answers).groupBy("run").applyInArrow(_exact(longest, buckets), "lang string, size int, phrase string, f long")
+    cut = docs.mapInArrow(_cut(longest, buckets, run_bytes), ROWS)
+    answers = cut.groupBy("bucket").applyInArrow(_survivors(threshold), ROWS)
+    counts = answers.groupBy("run").applyInArrow(_exact(longest, buckets), "lang string, size int, phrase string, f long")
     return counts.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where((F.col("size") == 0) | (F.col("f") >= threshold))
 
 
