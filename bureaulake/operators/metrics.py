@@ -73,6 +73,13 @@ def per_class(df: DataFrame, classes: int) -> DataFrame:
                       ratio(2 * F.col("tp"), F.col("guessed") + F.col("support")).alias("f1"))
 
 
+def confusion(df: DataFrame, classes: int) -> DataFrame:
+    """The matrix of ``label, predicted`` as rows, also where nothing falls in a cell."""
+    cells = df.groupBy("label", "predicted").agg(F.count(F.lit(1)).alias("n"))  # classes x classes rows
+    every = df.sparkSession.range(classes * classes).select(F.floor(F.col("id") / classes).cast("int").alias("label"), (F.col("id") % classes).cast("int").alias("predicted"))
+    return every.join(cells, ["label", "predicted"], "left").select("label", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
 def gate(metrics: DataFrame, limits: DataFrame) -> DataFrame:
     """Metrics against limits; ``limits`` has model_type, metric, low, high (either may be null)."""
     value = F.col("value")

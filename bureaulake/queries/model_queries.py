@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bureaulake import catalog
 from bureaulake.functions import decision as dec
-from bureaulake.ml import forest, models
+from bureaulake.ml import forest, log, models, search
 from bureaulake.operators import metrics, registry
 from bureaulake.plans import facts
 from bureaulake.queries.decision_queries import flagged, reason_codes, top_five
@@ -17,9 +17,11 @@ from bureaulake.sources import scratch
 QUERIES, ORACLE = {}, {}
 
 
-def query(name):
+def query(name, oracle=None):
     def register(fn):
         QUERIES[name] = fn
+        if oracle:
+            ORACLE[name] = oracle
         return fn
     return register
 
@@ -192,3 +194,82 @@ def model_roundtrip(spark, d):
     versions = same.select(F.lit("credit_risk").alias("model_type"), F.lit("1").alias("version"), (F.col("equal") / F.col("rows")).alias("metric"))
     gate = registry.champion_gate(versions.select("model_type", "metric"), versions)
     return same.crossJoin(F.broadcast(gate.select("promote")))  # one row each
+
+
+# --- selection, search and the model log ---------------------------------------------------------------------------
+
+
+def _loan_data(spark, d):
+    table = training_table(spark, d).withColumn("max_successful_loan_ghs", F.col("max_successful_loan_ghs") / 50)
+    known = models.clipped_target(table.filter("max_successful_loan_ghs is not null"), "max_successful_loan_ghs")
+    return _stored(models.labelled(known, "max_successful_loan_ghs", stratify=False), "loan-data")
+
+
+def _selected(data, classes):
+    """The training data with only the features that hold 95 % of the importance, and the importance table."""
+    found = search.select_features(models.part(data, "train"), classes)
+    names = [r["feature"] for r in found.filter("selected").orderBy("rank").collect()]  # at most thirty
+    return _stored(search.with_selected(data, names), "selected"), found
+
+
+@query("feature_selection", f"""SELECT m AS model_type, {len(catalog.FEATURES)}::BIGINT AS features, 1e0 AS total, true AS enough, true AS fewest, true AS fed_back
+FROM (VALUES ('loan_amount'), ('income_verification')) v(m)""")
+def feature_selection(spark, d):
+    """Importance of fitted forests per model: all features, the fewest with 95 % of it, and whether the next fit sees just these."""
+    out = None
+    income = _stored(models.labelled(training_table(spark, d), "income_tier"), "income-data")
+    for kind, data, classes in (("loan_amount", _loan_data(spark, d), False), ("income_verification", income, True)):
+        chosen, found = _selected(data, classes)
+        width = chosen.select(F.size(models.vector_to_array("features")).alias("w")).agg(F.min("w").alias("low"), F.max("w").alias("high"))
+        last = F.max(F.when(F.col("selected"), F.col("share")))
+        before = F.max(F.when(F.col("selected") & (F.col("rank") < F.col("kept")), F.col("share")))
+        kept = found.agg(F.count_if("selected").alias("kept"))
+        row = found.crossJoin(F.broadcast(kept)).crossJoin(F.broadcast(width)).agg(  # one row each
+            F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"), (last >= 0.95).alias("enough"),
+            F.coalesce(before < 0.95, F.lit(True)).alias("fewest"), ((F.max("low") == F.max("kept")) & (F.max("high") == F.max("kept"))).alias("fed_back"))
+        row = row.select(F.lit(kind).alias("model_type"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+_RUNGS = "SELECT rung, share, trials, kept, 'ok' AS problem FROM (VALUES (0, 0.25e0, 8::BIGINT, 4::BIGINT), (1, 0.5e0, 4::BIGINT, 2::BIGINT), (2, 1e0, 2::BIGINT, 1::BIGINT)) v(rung, share, trials, kept)"
+
+
+def _rounds(spark, rows, larger, low, high):
+    """The search per round: trials, how many went on, and whether these were the best and all values possible."""
+    table = spark.createDataFrame(rows, search.LOG)
+    value = F.col("value") if larger else -F.col("value")
+    kept, out = F.min(F.when(F.col("kept"), value)), F.max(F.when(~F.col("kept"), value))
+    fine = F.bool_and(F.col("value").between(low, high)) & F.coalesce(kept >= out, F.lit(True))
+    return table.groupBy("rung", "share").agg(F.count(F.lit(1)).alias("trials"), F.count_if("kept").alias("kept"), F.when(fine, F.lit("ok")).otherwise("wrong").alias("problem"))
+
+
+@query("loan_tune", _RUNGS)
+def loan_tune(spark, d):
+    """Search over the selected features by validation RMSE, half of the trials going on per round."""
+    data, _ = _selected(_loan_data(spark, d), False)
+    rows, _ = search.tune_loan(models.part(data, "train"), models.part(data, "validation"))
+    return _rounds(spark, rows, False, 0.0, 100_000.0)
+
+
+@query("income_tune", _RUNGS)
+def income_tune(spark, d):
+    data, _ = _selected(_stored(models.labelled(training_table(spark, d), "income_tier"), "income-data"), True)
+    rows, _ = search.tune_income(models.part(data, "train"), models.part(data, "validation"))
+    return _rounds(spark, rows, True, 0.0, 1.0)
+
+
+@query("model_log", "SELECT * FROM (VALUES (1, 'run-1', true, true), (2, 'run-2', true, true)) v(version, run_id, as_compared, loads)")
+def model_log(spark, d):
+    """Two trainings and a repeated one: two versions, each promoted exactly if it is as good as its champion; stored models load."""
+    data, folder = _risk_data(spark, d), scratch.folder(spark, "model-log")
+    held = models.part(data, "holdout")
+    for run, trees in (("run-1", 4), ("run-2", 2), ("run-1", 4)):
+        model, path = models.fit_risk(models.part(data, "train"), trees=trees), scratch.folder(spark, "model")
+        found = metrics.binary(models.raw_probability(model, held).select(F.col("label").cast("int").alias("label"), "score")).select("auc", "log_loss").first()
+        model.save(path)
+        log.append(spark, folder, "credit_risk", run, {"auc": float(found["auc"] or 0.5), "log_loss": float(found["log_loss"])}, "auc", {"trees": trees}, path)
+    rows = log.read(spark, folder)
+    sizes = [(r["version"], len(PipelineModel.load(r["model_path"]).stages) == 1) for r in rows.select("version", "model_path").collect()]  # one per training
+    as_compared = F.col("promoted") == (F.col("champion_value").isNull() | (F.col("metric") >= F.col("champion_value")))
+    return rows.join(spark.createDataFrame(sizes, "version int, loads boolean"), "version").select("version", "run_id", as_compared.alias("as_compared"), "loads")

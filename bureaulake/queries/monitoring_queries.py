@@ -201,6 +201,15 @@ def multiclass_metrics(spark, d):
         "class", "support", *[F.round(n, 4).alias(n) for n in ("precision", "recall", "f1", "weighted_f1")])
 
 
+@query("confusion_matrix", sql("""SELECT CAST(a AS INTEGER) AS label, CAST(b AS INTEGER) AS predicted, count(tier) AS n FROM range(0, 4) x(a), range(0, 4) y(b) LEFT JOIN (
+  SELECT tier, (key % 4 + CASE WHEN key % 7 = 0 THEN 1 ELSE 0 END) % 4 AS guess FROM labelled) ON tier = a AND guess = b GROUP BY 1, 2""", labelled=_SCORED))
+def confusion_matrix(spark, d):
+    """Four by four: actual against predicted tier."""
+    key = F.col("key")
+    rows = scored_orders(spark, d).select(F.col("tier").cast("int").alias("label"), ((key % 4 + F.when(key % 7 == 0, 1).otherwise(0)) % 4).cast("int").alias("predicted"))
+    return metrics.confusion(rows, 4)
+
+
 @query("multiclass_auc", sql("SELECT round(sum(support * a) / sum(support), 4) AS auc_ovr FROM (" + " UNION ALL ".join(
     f"SELECT (SELECT count(*) FROM labelled WHERE tier = {c}) AS support, {_auc_sql(f'ovr{c}')} AS a" for c in range(4)) + ")",
     labelled=_SCORED, **{f"ovr{c}": f"SELECT CAST(tier = {c} AS INTEGER) AS label, ((key * {c + 3} + CASE WHEN tier = {c} THEN 200 ELSE 0 END) % 997) / 1000e0 AS score FROM labelled" for c in range(4)}))
