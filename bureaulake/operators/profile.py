@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from bureaulake.functions import parse
 from bureaulake.functions.bins import case
 from bureaulake.operators.ranking import quantiles_of_counts, value_counts
+from bureaulake.sources import scratch
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 Z_LIMIT = 1.96
@@ -162,7 +163,7 @@ def shapes(df: DataFrame, stats: DataFrame, keys: list[str] = ()) -> DataFrame:
 def text_patterns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Text patterns per column; all rows count."""
     columns = text_columns(df) if columns is None else columns
-    stats = per_column(df, columns, lambda c: {"n": F.count(c), **shape_metrics(c)})
+    stats = scratch.written(per_column(df, columns, lambda c: {"n": F.count(c), **shape_metrics(c)}), "shapes")  # a row per column, read twice
     return shapes(df.select(*columns), stats).select("column", "n", "patterns")
 
 
@@ -179,7 +180,7 @@ def grouped(df: DataFrame, keys: list[str]) -> DataFrame:
         return {**missing_metrics(c), "n": F.count(c), "type": logical_type(fields[c]), "min": F.min(number), "max": F.max(number), "mean": F.avg(number),
                 "is_text": F.max(F.lit(text)), **shape_metrics(c, text)}
 
-    stats = per_column(df, list(fields), metrics, keys).withColumn("completeness_pct", completeness_pct())
+    stats = scratch.written(per_column(df, list(fields), metrics, keys).withColumn("completeness_pct", completeness_pct()), "profiles")  # a row per column and group
     found = shapes(df, stats.filter("is_text"), keys).select(*keys, "column", "patterns")
     return stats.join(found, [*keys, "column"], "left").select(*keys, "column", "type", "completeness_pct", "min", "max", "mean", "patterns")
 
