@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from bureaulake import catalog
 from bureaulake.functions.bins import case
 
+#: Fixed value: rows that a window needs before drift is judged from it.
+LEAST_ROWS = 50
+
 
 def histogram_bin(value: Column) -> Column:
     """0..9 by the ten equal edges of [0, 1] as doubles, the last bin closed; null outside."""

@@ -182,7 +182,7 @@ def grouped(df: DataFrame, keys: list[str]) -> DataFrame:
 
     stats = scratch.written(per_column(df, list(fields), metrics, keys).withColumn("completeness_pct", completeness_pct()), "profiles")  # a row per column and group
     found = shapes(df, stats.filter("is_text"), keys).select(*keys, "column", "patterns")
-    return stats.join(found, [*keys, "column"], "left").select(*keys, "column", "type", "completeness_pct", "min", "max", "mean", "patterns")
+    return stats.join(found, [*keys, "column"], "left").select(*keys, "column", "type", "n", "completeness_pct", "min", "max", "mean", "patterns")
 
 
 def date_formats(df: DataFrame, columns: list[str], minimum: int = 5) -> DataFrame:
@@ -275,6 +275,13 @@ def merged(profiles: DataFrame) -> DataFrame:
                         "samples", "patterns")
 
 
+def across(profiles: DataFrame) -> DataFrame:
+    """What samples say about each column: in how many it has values, the union of its types, and average, least and most values."""
+    return profiles.groupBy("column").agg(
+        F.count_if(F.col("n") > 0).alias("samples"), F.array_join(F.array_sort(F.collect_set("type")), ",").alias("types"),
+        F.avg("n").alias("avg_filled"), F.min("n").alias("min_filled"), F.max("n").alias("max_filled"))
+
+
 def completeness(missing_rows: DataFrame, critical: list[str], weight: float = 2.0) -> DataFrame:
     """Average, weighted and minimum completeness of a table in [0, 1]."""
     w = F.when(F.col("column").isin(critical), F.lit(weight)).otherwise(1.0)

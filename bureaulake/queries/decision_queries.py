@@ -494,44 +494,6 @@ def audit_lookup(spark, d):
                         F.date_format("decision_date", "yyyy-MM-dd").alias("decision_date"), "audit_id")
 
 
-# Words that tell what a question is about.
-_ABOUT = {
-    "decision": ["decision", "declined", "approved", "refer", "fraud_hold", "approve", "decline", "score"],
-    "training": ["train", "model", "auc", "retrain", "version", "champion", "challenger", "metrics"],
-    "drift": ["drift", "psi", "distribution", "shift"],
-}
-_HAS = {n: "(" + " OR ".join(f"contains(q, '{w}')" for w in words) + ")" for n, words in {
-    "decision": ["decision", "declined", "approved", "refer", "fraud_hold", "approve", "decline", "score"],
-    "training": ["train", "model", "auc", "retrain", "version", "champion", "challenger", "metrics"],
-    "drift": ["drift", "psi", "distribution", "shift"]}.items()}
-
-
-@query("explain_context", sql(f"""SELECT conv_id, turn, wants_decision, wants_training, wants_drift, label AS decision,
-  NOT has_id AND wants_decision AS ask_for_decision, wants_training AS ask_for_training FROM (SELECT conv_id, turn,
-  conv_id % 3 = 0 AS has_id, (conv_id % 3 = 0) OR {_HAS['decision']} AS wants_decision, {_HAS['training']} AS wants_training, {_HAS['drift']} AS wants_drift,
-  CASE WHEN conv_id % 3 = 0 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = conv_id) THEN {_LABEL_SQL.format('conv_id % 5')} END AS label
-  FROM (SELECT conv_id, turn, lower(text) AS q FROM conversations WHERE role = 'user'))"""))
-def explain_context(spark, d):
-    """What a question needs, with the decision it names; whole texts are searched."""
-    text = F.lower("text")
-
-    def about(name):
-        found = F.lit(False)
-        for word in _ABOUT[name]:
-            found = found | text.contains(word)
-        return F.coalesce(found, F.lit(False))
-
-    named = F.col("conv_id") % 3 == 0
-    questions = table(spark, d, "conversations").filter("role = 'user'").select(
-        "conv_id", "turn", F.when(named, F.concat(F.lit("REQ-"), "conv_id")).alias("request_id"),
-        (named | about("decision")).alias("wants_decision"), about("training").alias("wants_training"), about("drift").alias("wants_drift"))
-    key = F.col("c_custkey")
-    known = table(spark, d, "customer").select(F.concat(F.lit("REQ-"), key).alias("request_id"), _label(key % 5).alias("decision"))
-    return questions.join(known, "request_id", "left").select(
-        "conv_id", "turn", "wants_decision", "wants_training", "wants_drift", "decision",
-        (F.col("request_id").isNull() & F.col("wants_decision")).alias("ask_for_decision"), F.col("wants_training").alias("ask_for_training"))
-
-
 @query("reason_codes_lookup", sql("""SELECT feature, code, text FROM (SELECT feature, CASE feature
   WHEN 'utilisation_ratio' THEN 'R02' WHEN 'credit_age_months' THEN 'R03' WHEN 'num_accounts_total' THEN 'R03' WHEN 'total_outstanding_debt_ghs' THEN 'R04'
   WHEN 'total_monthly_instalment_ghs' THEN 'R04' WHEN 'num_enquiries_3m' THEN 'R05' WHEN 'num_enquiries_12m' THEN 'R05' WHEN 'has_active_arrears' THEN 'R06'

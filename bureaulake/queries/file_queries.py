@@ -282,14 +282,31 @@ def sink_silver(spark, d):
         F.count(F.lit(1)).alias("n"), F.count_distinct("email").alias("emails"), F.count_if(F.col("email").isNull()).alias("gaps"))
 
 
-@query("sink_context", sql("""SELECT category, "column", completeness_pct, null_count, type FROM miss JOIN (VALUES ('amount_text', NULL, 'string'), ('balance', NULL, 'float'),
+@query("sink_context", sql("""SELECT category, "column", completeness_pct, null_count, type, 'csv' AS format, 'utf-8' AS encoding, true AS has_header, 0.9e0 AS confidence,
+  (SELECT count(*) FROM up) AS total_rows, CASE WHEN (SELECT count(*) FROM up) <= 10000 THEN 'full_dataset' ELSE 'reservoir' END AS strategy FROM miss JOIN (VALUES ('amount_text', NULL, 'string'), ('balance', NULL, 'float'),
   ('customer_id', 'ids', 'integer'), ('email', 'emails', 'string'), ('full_name', 'names', 'string'), ('nation', NULL, 'integer'), ('phone_number', 'phones', 'string_numeric'),
   ('segment', NULL, 'string'), ('signup_date', NULL, 'string')) v(c, category, type) ON c = "column" """, miss=_MISSING, up=_UP))
 def sink_context(spark, d):
-    """Side-car with schema, gaps and masked columns as one JSON record."""
-    path = scratch.folder(spark, "context")
+    """Side-car of an upload as one JSON record: what its files are, its schema, how it is sampled, gaps, types and masked columns."""
+    source, path = scratch.folder(spark, "context-upload"), scratch.folder(spark, "context")
     df = upload(spark, d)
-    rows = profile.missing(df).join(profile.logical_types(df), "column").withColumn("category", privacy.column_category(F.col("column")))
-    one = rows.agg(F.array_sort(F.collect_list(F.struct("column", "type", "null_count", "completeness_pct", "category"))).alias("columns"))
-    one.write.json(path)
-    return spark.read.json(path).select(F.inline("columns"))
+    df.select(*_COLUMNS).write.csv(source, header=True)
+    found = detect.layouts(files.list_files(spark, source, "part-*"))
+    introspection = found.agg(F.min("format").alias("format"), F.min("encoding").alias("encoding"), F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    schema = detect.schema(spark, source, "part-*").agg(F.bool_and("has_header").alias("has_header"), F.min("confidence").alias("confidence"))
+    rows = F.count(F.lit(1))
+    sampling = df.agg(rows.alias("total_rows"), F.when(rows <= SAMPLE_ROWS, F.lit("full_dataset")).otherwise("reservoir").alias("strategy"))
+    profiled = profile.missing(df).join(profile.logical_types(df), "column").withColumn("category", privacy.column_category(F.col("column")))
+    columns = profiled.agg(F.array_sort(F.collect_list(F.struct("column", "type", "null_count", "completeness_pct", "category"))).alias("columns"))  # a row per column
+
+    def part(one, name):
+        return F.broadcast(one.select(F.struct(*one.columns).alias(name)))
+
+    record = columns.crossJoin(part(introspection, "introspection")).crossJoin(part(schema, "schema")).crossJoin(part(sampling, "sampling"))  # one row each
+    record.write.json(path)
+    back = spark.read.json(path)
+    return back.select(F.inline("columns"), "introspection.format", "introspection.encoding", "schema.has_header", "schema.confidence", "sampling.total_rows", "sampling.strategy")
+
+
+#: Rows up to which an upload is analysed as a whole instead of by samples.
+SAMPLE_ROWS = 10_000

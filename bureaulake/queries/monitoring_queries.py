@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from bureaulake import catalog
 from bureaulake.functions.bins import case
-from bureaulake.operators import batches, features, metrics, monitoring, registry
+from bureaulake.operators import batches, context, features, metrics, monitoring, registry
 from bureaulake.plans import facts
+from bureaulake.queries import decision_queries as dq
 from bureaulake.queries.ctes import FEATURE_NAMES, FEATURE_SQL, _imputed, sql
 from bureaulake.queries.decision_queries import _feature_name
 from bureaulake.queries.scoring_queries import _FLAG
@@ -83,11 +84,11 @@ def drift_retrain(spark, d):
     return monitoring.verdict(_psi(spark, d)).select(F.array_join("models_to_retrain", ",").alias("models"))
 
 
-@query("trailing_7d", """SELECT day, sum(n) OVER (ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)::BIGINT AS rows_7d,
+@query("trailing_7d", """SELECT *, rows_7d >= 50 AS enough FROM (SELECT day, sum(n) OVER (ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)::BIGINT AS rows_7d,
   round(sum(s) OVER (ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW), 4) AS value_7d FROM (
-  SELECT date_trunc('day', ts)::DATE AS day, count(*) AS n, sum(value) AS s FROM events GROUP BY 1)""".replace("SELECT day,", "SELECT strftime(day, '%Y-%m-%d') AS day,", 1))
+  SELECT date_trunc('day', ts)::DATE AS day, count(*) AS n, sum(value) AS s FROM events GROUP BY 1))""".replace("SELECT day,", "SELECT strftime(day, '%Y-%m-%d') AS day,", 1))
 def trailing_7d(spark, d):
-    """Rows and values of the seven days up to each day.
+    """Rows and values of the seven days up to each day, and whether there are the 50 rows that drift is judged from.
 
     Days are summed first.  Each daily sum then counts towards the seven days it belongs to, so the second
     step is a plain aggregation over days and no window runs over the whole table.
@@ -96,7 +97,7 @@ def trailing_7d(spark, d):
     spread = daily.select("n", "s", "d", F.explode(F.sequence("d", F.date_add("d", 6))).alias("day"))
     known = daily.select(F.col("d").alias("day"))
     return spread.join(known, "day", "left_semi").groupBy("day").agg(
-        F.sum("n").alias("rows_7d"), F.round(F.sum("s"), 4).alias("value_7d")).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+        F.sum("n").alias("rows_7d"), F.round(F.sum("s"), 4).alias("value_7d")).withColumns({"day": F.date_format("day", "yyyy-MM-dd"), "enough": F.col("rows_7d") >= monitoring.LEAST_ROWS})
 
 
 # --- fairness --------------------------------------------------------------------------------------------------
@@ -478,3 +479,32 @@ def ops_rollup(spark, d):
         F.round(F.count_if(F.col("event_type") == "error") / F.count(F.lit(1)), 4).alias("error_rate"),
         F.count_if(F.col("event_type") == "purchase").alias("approvals"), F.count_distinct("user_id").alias("applicants"),
         F.round(F.percentile(latency, 0.5), 4).alias("p50"), F.round(F.percentile(latency, 0.95), 4).alias("p95"))
+
+
+# --- explanation context ---------------------------------------------------------------------------------------
+
+
+def _has(name):
+    return "(" + " OR ".join(f"contains(q, '{w}')" for w in context.ABOUT[name]) + ")"
+
+
+@query("explain_context", sql(f"""SELECT q.conv_id, turn, wants_decision, wants_training, wants_drift, a.decision, a.audit_id, t.training, c.champions,
+  concat_ws(' ', CASE WHEN wants_decision AND request_id IS NULL THEN '{context.NOTES['decision']}' END, CASE WHEN wants_training AND training_id IS NULL THEN '{context.NOTES['training']}' END,
+    CASE WHEN wants_drift THEN '{context.NOTES['drift']}' END) AS notes
+FROM asked q LEFT JOIN LATERAL (SELECT event_id AS audit_id, {dq._LABEL_SQL.format('event_id % 5')} AS decision FROM events e WHERE e.event_type = 'purchase' AND 'REQ-' || e.user_id = q.request_id
+    AND CAST(e.ts AS DATE) BETWEEN q.asked_on - 30 AND q.asked_on ORDER BY CAST(ts AS DATE) DESC, event_id DESC LIMIT 1) a ON true
+  LEFT JOIN runs t USING (training_id), champions c""",
+    asked=f"""SELECT conv_id, turn, request_id, training_id, asked_on, request_id IS NOT NULL OR {_has('decision')} AS wants_decision, training_id IS NOT NULL OR {_has('training')} AS wants_training,
+  {_has('drift')} AS wants_drift FROM (SELECT conv_id, turn, lower(text) AS q, CASE WHEN conv_id % 3 = 0 THEN 'REQ-' || conv_id END AS request_id,
+    CASE WHEN conv_id % 5 = 0 THEN 'run-' || conv_id END AS training_id, DATE '2024-01-05' + CAST(conv_id % 40 AS INTEGER) AS asked_on FROM conversations WHERE role = 'user')""",
+    tr=_TR, runs="""SELECT training_id, '{' || string_agg('"' || model_type || '":"' || status || '"', ',' ORDER BY model_type) || '}' AS training FROM (SELECT DISTINCT training_id, model_type, status FROM tr) GROUP BY 1""",
+    mv=_MV, champions="""SELECT '{' || string_agg('"' || m || '":"' || coalesce(CAST(version AS VARCHAR), 'NOT_REGISTERED') || '"', ',' ORDER BY m) || '}' AS champions
+  FROM (VALUES ('credit_risk'), ('fraud_detection'), ('loan_amount'), ('income_verification')) t(m) LEFT JOIN (SELECT model_type, max(version) AS version FROM mv GROUP BY 1) ON m = model_type"""))
+def explain_context(spark, d):
+    """Whole questions with the audited decision, the training run and the champions they need, and notes on what they lack."""
+    conv = F.col("conv_id")
+    questions = table(spark, d, "conversations").filter("role = 'user'").select(
+        "conv_id", "turn", "text", F.when(conv % 3 == 0, F.concat(F.lit("REQ-"), conv)).alias("request_id"), F.when(conv % 5 == 0, F.concat(F.lit("run-"), conv)).alias("training_id"),
+        F.date_add(F.lit("2024-01-05").cast("date"), (conv % 40).cast("int")).alias("asked_on"))
+    known = context.explain(questions, dq.decisions_log(spark, d), training_results(spark, d), registry.champion_snapshot(spark, _latest_models(spark, d)))
+    return known.select("conv_id", "turn", "wants_decision", "wants_training", "wants_drift", "decision", "audit_id", "training", "champions", "notes")

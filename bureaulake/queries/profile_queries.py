@@ -185,6 +185,17 @@ def sample_stats(spark, d):
     return stats.crossJoin(F.broadcast(sets))  # one row
 
 
+_FILLED = _each("SELECT '{c}' AS \"column\", count({c}) AS n FROM parts GROUP BY sample_id")
+
+
+@query("sample_types", sql("""SELECT "column", t AS types, count(*) FILTER (n > 0) AS samples, round(avg(n), 4) AS avg_filled, min(n) AS min_filled, max(n) AS max_filled
+  FROM filled JOIN (""" + _TYPES.replace("VALUES", "SELECT * FROM (VALUES", 1) + """) v(c0, t)) ON c0 = "column" GROUP BY 1, 2""", filled=_FILLED, parts=_PARTS, up=_UP))
+def sample_types(spark, d):
+    """Types and numbers of values of each column over the three parts of a table."""
+    found = profile.across(profile.grouped(_parts(spark, d), ["sample_id"]))
+    return found.withColumn("avg_filled", F.round("avg_filled", 4))
+
+
 _NAMED_PARTS = _each("SELECT '{c}' AS \"column\", sample_id, count({c}) AS n, count(DISTINCT {c}) AS d, count(*) FILTER (regexp_matches(trim({c}), '^[A-Za-z0-9_-]+$')) AS sep, " + _SHARES + " FROM parts GROUP BY sample_id", _TEXTS)
 _PART_NUMBERS = _each("SELECT '{c}' AS \"column\", sample_id, round(count({c}) * 100e0 / count(*), 2) AS c, CAST(NULL AS DOUBLE) AS m, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi FROM parts GROUP BY sample_id", _TEXTS) + " UNION ALL " + _each(
     "SELECT '{c}', sample_id, round(count({c}) * 100e0 / count(*), 2), avg({c}), min({c}), max({c}) FROM parts GROUP BY sample_id", ["customer_id", "balance", "nation"])
@@ -278,24 +289,19 @@ def pii_tokenize(spark, d):
     return privacy.mask(upload(spark, d), {"full_name": "tokenize"}).select("customer_id", "full_name")
 
 
-_PII = {"email": "[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}",
-        "uuid": "\\b[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\\b",
-        "credit_card": "\\b[0-9]{13,19}\\b", "date_string": "\\b[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}\\b"}
-
-
 def _redact_sql(text):
-    for n, p in _PII.items():
+    for n, p in privacy.TEXT_PII.items():
         text = f"regexp_replace({text}, '{p}', '[{n.upper()}]', 'g')"
     return text
 
 
 @query("pii_text_scan", "SELECT doc_id, " + ", ".join(
-    f"CAST(len(regexp_extract_all(text, '{p}')) AS INTEGER) AS {n}" for n, p in _PII.items()) + f", md5({_redact_sql('text')}) AS redacted_md5 FROM documents")
+    f"CAST(len(regexp_extract_all(text, '{p}')) AS INTEGER) AS {n}" for n, p in privacy.TEXT_KINDS.items()) + f", md5({_redact_sql('text')}) AS redacted_md5 FROM documents")
 def pii_text_scan(spark, d):
-    """Personal data in whole document texts: counts per kind and a digest of the redacted text."""
+    """Nine kinds of values in whole document texts: counts per kind, and a digest of the text without those that identify someone."""
     text = F.col("text")
     return table(spark, d, "documents").select(
-        "doc_id", *[privacy.count_in_text(text, n).alias(n) for n in privacy.TEXT_PII], F.md5(privacy.redact_text(text)).alias("redacted_md5"))
+        "doc_id", *[privacy.count_in_text(text, n).alias(n) for n in privacy.TEXT_KINDS], F.md5(privacy.redact_text(text)).alias("redacted_md5"))
 
 
 # --- scalar parsing ------------------------------------------------------------------------------------------------
