@@ -11,7 +11,9 @@ closest to, then against all that are left. So a group of copies of any size cos
 a task, and no candidate is dropped unseen.
 
 Null texts and texts without words have the empty set: n_shingles 0, in a component of their own. Texts with fewer words than
-a shingle have the whole sequence as one. Rows with the same doc_id and text get the same result. Null ids stay null.
+a shingle have the whole sequence as one. Rows with the same doc_id and text get the same result. Rows that share a doc_id but not
+the set are different members: each is linked by its own text, and kept if the smallest doc_id reachable is its own. Null ids stay
+null and are linked with nothing.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bureaulake.llm import tokens
@@ -95,9 +97,9 @@ def _sign(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                         keys.append(None)
                         bits.append(None)
                         bands.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
                                               pa.array(bits, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
-                                             names=["doc_id", "n_shingles", "set_key", "bits", "bands"])
+                                             names=["doc_id", "text_key", "n_shingles", "set_key", "bits", "bands"])
 
     return run
 
@@ -105,8 +107,11 @@ def _sign(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
 def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [s.view(np.int64) for _, _, data, offsets in tokens.chunks(batch.column("text")) for s in shingle_sets(data, offsets, size)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], names=["id", "shingles"])
+            found = [s for _, _, data, offsets in tokens.chunks(batch.column("text")) for s in shingle_sets(data, offsets, size)]
+            ids, keys = batch.column("id").to_pylist(), batch.column("set_key").to_pylist()
+            own = [k for k, s in enumerate(found) if xxhash.xxh3_128_digest(s.tobytes()) == keys[k]]  # not another text of the same doc_id
+            yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in own], pa.int64()), pa.array([found[k].view(np.int64) for k in own], pa.list_(pa.int64()))],
+                                             names=["id", "shingles"])
 
     return run
 
@@ -187,16 +192,22 @@ def _apart(least: float, threshold: float, closest: int | None) -> Callable[[Ite
     return run
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of (doc_id, text)."""
+#: Classes that share their smallest doc_id with another one get a number below this instead, so that a number means one class.
+APART = -(1 << 62)
+
+
+def _placed(docs: DataFrame, size: int, threshold: float) -> DataFrame:
+    """doc_id, text_key, n_shingles, set_key, component_id and root for each row of (doc_id, text); components with one root are one."""
     prepare(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stored(texts.mapInArrow(_sign(size), "doc_id long, n_shingles long, set_key binary, bits array<long>, bands array<long>"), "signatures")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key"), "text")
+    signed = stored(texts.mapInArrow(_sign(size), "doc_id long, text_key string, n_shingles long, set_key binary, bits array<long>, bands array<long>"), "signatures")
     signed = signed.withColumn("set_key", F.when(F.col("doc_id").isNotNull(), F.col("set_key")))
-    # copies of a set are one class, known by its smallest id; equal sets have equal signatures
-    classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("id"))
-    heads = stored(signed.join(classes.select("id"), F.col("doc_id") == F.col("id"), "left_semi").select(
-        F.col("doc_id").alias("id"), "n_shingles", "bits", "bands").dropDuplicates(["id"]), "classes")
+    # copies of a set are one class; equal sets have equal signatures
+    classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("low"))
+    clash = F.row_number().over(Window.partitionBy("low").orderBy("set_key")) > 1
+    classes = stored(classes.withColumn("id", F.when(clash, F.lit(APART) - F.shiftrightunsigned(F.xxhash64("set_key"), 2)).otherwise(F.col("low"))), "classes")
+    own = classes.select(F.col("low").alias("doc_id"), "set_key", "id")
+    heads = stored(signed.join(own, ["doc_id", "set_key"]).select("id", "n_shingles", "bits", "bands").dropDuplicates(["id"]), "heads")
     buckets = heads.select("id", F.posexplode("bands").alias("band", "key"))
     sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(buckets.join(sizes, ["band", "key"]), "buckets")  # (band, key, id, n) of buckets with company
@@ -205,8 +216,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
         "band", "key", (-F.col("top.minus")).alias("top"))
     least = lowest_estimate(threshold)
     bits = heads.select("id", "bits", F.col("n_shingles").alias("n"))
-    sets = stored(texts.withColumnRenamed("doc_id", "id").join(company.select("id"), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(
-        _sets(size), "id long, shingles array<long>"), "sets")
+    wanted = texts.join(own.join(company.select("id"), "id", "left_semi"), "doc_id").select("id", "set_key", "text_key", "text").dropDuplicates(["id", "text_key"])
+    sets = stored(wanted.select("id", "set_key", "text").mapInArrow(_sets(size), "id long, shingles array<long>").dropDuplicates(["id"]), "sets")
 
     def likely(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with their estimate, where it can still reach the threshold."""
@@ -254,14 +265,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
             links = stored(links.unionAll(confirmed(new)), "links")
             tested = stored(tested.unionAll(new), "tested")
     roots = components(links, "a", "b").withColumnRenamed("node", "id")
-    placed = classes.join(roots, "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left")
-    out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    found = classes.join(roots, "id", "left").select("set_key", "low", F.coalesce("component", "id").alias("root"))
+    lowest = found.where(F.col("root") <= APART).groupBy("root").agg(F.min("low").alias("lowest"))  # only where doc_ids clash
+    found = found.join(lowest, "root", "left").select("set_key", "root", F.coalesce("lowest", "root").alias("component_id"))
+    linked = signed.where("set_key is not null").join(found, "set_key")
+    alone = signed.where("set_key is null").withColumns({"root": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    columns = ["doc_id", "text_key", "n_shingles", "set_key", "component_id", "root"]
+    return linked.select(*columns).unionAll(alone.select(*columns))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of (doc_id, text)."""
+    return _placed(docs, size, threshold).select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
-    """One row of each group of near-duplicates, with all its columns; rows without doc_id stay."""
-    kept = near_duplicates(docs, size, threshold).where("kept").select(F.col("doc_id").alias("kept_id"))
-    known = docs.where("doc_id is not null")
-    return known.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"]).unionAll(docs.where("doc_id is null"))
+    """One row of each group of near-duplicates, with all its columns: that of the smallest doc_id, and of equal ones of the smallest
+    digest of the text. Rows without doc_id stay; of texts without words those that differ in doc_id or text do."""
+    placed = _placed(docs, size, threshold)
+    groups = placed.where("root is not null and doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("first")).select("first.*")
+    kept = groups.unionAll(placed.where("root is null and doc_id is not null").select("doc_id", "text_key")).distinct()
+    known = docs.where("doc_id is not null").withColumns({"_kept_id": F.col("doc_id").cast("long"), "_text_key": F.md5(F.coalesce("text", F.lit("")).cast("binary"))})
+    rows = known.join(kept, (F.col("_kept_id") == kept["doc_id"]) & (F.col("_text_key") == kept["text_key"]), "left_semi")
+    return rows.dropDuplicates(["_kept_id", "_text_key"]).drop("_kept_id", "_text_key").unionAll(docs.where("doc_id is null"))

@@ -349,3 +349,19 @@ def test_matches_sql(spark, duck, sf_dir, key):
 def test_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES)
     assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+
+
+def test_texts_that_share_a_doc_id(spark):
+    """Each text is linked by itself, whatever other texts its doc_id has; of each group one row stays."""
+    words = lambda k, n=60: " ".join(f"w{k}x{i}" for i in range(n))
+    near = words(5).split(" ")
+    near[30] = "other"
+    rows = [(1, words(1)), (1, words(2)), (2, words(1)), (3, words(2)), (0, words(3)), (1, words(3)), (4, words(4)), (4, words(4)), (7, words(5)), (7, " ".join(near)), (8, words(5)),
+            (9, ""), (9, None), (9, " "), (None, words(1))]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, text_key string")
+    found = Counter(map(tuple, minhash.near_duplicates(docs, 5).select("doc_id", "component_id", "kept").collect()))
+    assert found == Counter([(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (0, 0, True), (1, 0, False), (4, 4, True), (4, 4, True), (7, 7, True), (7, 7, True), (8, 7, False),
+                             (9, 9, True), (9, 9, True), (9, 9, True), (None, None, None)])
+    kept = Counter((r["doc_id"], r["text"]) for r in minhash.one_of_each(docs, 5).collect())
+    assert {k: n for k, n in kept.items() if k[0] not in (7, 9)} == {(1, words(1)): 1, (1, words(2)): 1, (0, words(3)): 1, (4, words(4)): 1, (None, words(1)): 1}
+    assert sum(n for k, n in kept.items() if k[0] == 7) == 1 and sum(n for k, n in kept.items() if k[0] == 9) == 2
