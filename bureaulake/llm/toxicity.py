@@ -25,10 +25,10 @@ CHAR_ROWS, WIDTH, HIDDEN = 1 << 15, 8, 8
 WORD_TEXTS = 20
 #: Words of a window, and from one window's begin to the next.
 WINDOW, STRIDE = 32, 24
-#: Toxic texts that the network is trained on, of others twice as many, and windows of each text; the calibration sees all windows.
-SAMPLE, TEXT_WINDOWS = 1200, 20
-#: Bytes of the longest text that may be in the training sample, so that the sample is bounded.
-LONGEST = 100_000
+#: Toxic texts that the network is trained on, of others twice as many; all windows of each, whatever its length.
+SAMPLE = 1200
+#: Bytes of the longest text that may be drawn, where a task's memory asks for a bound; by default there is none.
+LONGEST: int | None = None
 THRESHOLD = 0.3
 GRAMS = (3, 4, 5)
 #: Spellings whose n-grams are held at once.
@@ -244,23 +244,19 @@ def train(texts: list[str | None], toxic: np.ndarray, share: float = 0.1, epochs
     seen = np.unique(tokens.owners(words.first) * np.int64(len(words.keys) + 1) + words.spelling)
     often = np.bincount(seen % (len(words.keys) + 1), minlength=len(words.keys) + 1)[1:] >= min(WORD_TEXTS, 2 + toxic.sum() // 10)
     p = initial(words.keys[often])
-    # of long texts, windows at even distances
-    ahead = np.flatnonzero(np.append(True, words.text[1:] != words.text[:-1]))
-    total = np.diff(np.append(ahead, len(words.text)))
-    chosen = np.concatenate([a + np.unique(np.linspace(0, n - 1, min(n, TEXT_WINDOWS)).astype(int)) for a, n in zip(ahead, total, strict=True)])
-    label = toxic[words.text[chosen]].astype(np.float32)
-    spelled = words.windows(chosen).astype(np.int32)
+    label = toxic[words.text].astype(np.float32)
+    spelled = np.concatenate([words.windows(np.arange(k, min(k + 8192, len(words.text)))).astype(np.int32) for k in range(0, len(words.text), 8192)])
     m = {k: np.zeros_like(v) for k, v in p.items() if k != "vocabulary"}
     s = {k: np.zeros(1, np.float32) if k in TABLES else np.zeros_like(v) for k, v in m.items()}
-    epochs = max(epochs, -(-steps * batch // max(1, len(chosen))))
+    epochs = max(epochs, -(-steps * batch // max(1, len(label))))
     step = 0
     for epoch in range(epochs):
-        use = np.arange(len(chosen))
+        use = np.arange(len(label))
         if 4 * epoch >= epochs:
             logits = score_windows(p, inputs(p, words), spelled)
-            order = np.lexsort((logits, words.text[chosen]))
-            last = np.append(words.text[chosen][order][1:] != words.text[chosen][order][:-1], True)
-            worst = np.zeros(len(chosen), bool)
+            order = np.lexsort((logits, words.text))
+            last = np.append(words.text[order][1:] != words.text[order][:-1], True)
+            worst = np.zeros(len(label), bool)
             worst[order[last]] = True
             clean = label == 0  # of clean windows the half that looks more toxic
             clean &= logits >= np.median(logits[clean])
@@ -331,8 +327,8 @@ def score_windows(p: dict[str, np.ndarray], x: np.ndarray, spelled: np.ndarray,
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMPLE) -> tuple[dict[str, np.ndarray] | None, float]:
-    """The network, and the share of toxic labels; trained on at most ``sample`` toxic and twice as many other texts
-    of at most LONGEST bytes, drawn by a hash of the id."""
+    """The network, and the share of toxic labels; trained on at most ``sample`` toxic and twice as many other whole texts,
+    drawn by a hash of the id."""
     prepare(docs.sparkSession)
     marks = labels.select(F.col("doc_id").alias("doc_id"), "toxic").where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in marks.where(training).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -340,7 +336,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMP
     if len(sizes) < 2:
         return None, share
     draw = F.xxhash64("doc_id", F.lit("toxicity"))
-    short = F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST
+    short = F.lit(True) if LONGEST is None else F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST
     # the draw is made on ids alone, of texts that can be used, so that only the drawn texts are gathered
     usable = marks.where(training).join(docs.where(short).select("doc_id"), "doc_id", "left_semi")
     drawn = usable.where("toxic = 1").orderBy(draw, "doc_id").limit(sample).unionAll(usable.where("toxic = 0").orderBy(draw, "doc_id").limit(2 * sample))
