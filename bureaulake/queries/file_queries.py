@@ -202,11 +202,16 @@ def file_format_scores(spark, d):
     return found.select(_folder("path"), "extension", "format", _tab(F.col("separator")).alias("separator"), "header", "native", "fallback", "conflict").distinct()
 
 
-@query("row_count_estimate")
+@query("row_count_estimate", sql("SELECT folder, n, true AS near FROM (SELECT chr(97 + CAST(customer_id % 13 AS INTEGER)) AS folder, count(*) AS n FROM up GROUP BY 1) WHERE folder IN ('b', 'c', 'j', 'l', 'm')", up=_UP))
 def row_count_estimate(spark, d):
-    probed = files.probe(files.list_files(spark, _drop_folder(spark, d), "part-*.csv"))
-    return files.estimate_rows(probed).groupBy(F.element_at(F.split("path", "/"), -2).alias("folder")).agg(
-        F.sum("estimated_rows").alias("estimated_rows"), F.count(F.lit(1)).alias("files"))
+    """Rows of plain text uploads, and whether the estimate from byte samples is within a tenth of them."""
+    path = _drop_folder(spark, d)
+    probed = files.probe(files.list_files(spark, path, "part-*.csv"))
+    headers = F.when(F.col("folder") == "j", 0).otherwise(F.count(F.lit(1)))  # a line per file
+    guessed = files.estimate_rows(probed).withColumn("folder", _folder("path")).filter(F.col("folder").isin("b", "c", "j", "l", "m")).groupBy("folder").agg(
+        (F.sum("estimated_rows") - headers).alias("guess"))
+    counted = upload(spark, d).groupBy(F.char(97 + F.col("customer_id") % len(_UPLOADS)).alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+    return guessed.join(counted, "folder").select("folder", "n", (F.abs(F.col("guess") - F.col("n")) <= F.col("n") / 10).alias("near"))
 
 
 _DISPATCH = """SELECT chr(97 + CAST(customer_id % 13 AS INTEGER)) AS folder, count(*) AS n,
@@ -244,7 +249,7 @@ def bronze_verify(spark, d):
     """Source and bronze folders compared by SHA-256 and size; one copy is missing a folder's files."""
     source, bronze = scratch.folder(spark, "source"), scratch.folder(spark, "copy")
     rows = upload(spark, d).select(F.col("customer_id").cast("string").alias("value"), (F.col("customer_id") % 4).alias("upload"))
-    ordered = rows.repartition(4, "upload").sortWithinPartitions("upload", "value")
+    ordered = rows.repartition("upload").sortWithinPartitions("upload", "value")
     ordered.write.partitionBy("upload").text(source)
     changed = ordered.withColumn("value", F.when(F.col("upload") == 1, F.concat("value", F.lit("!"))).otherwise(F.col("value")))
     changed.filter("upload <> 2").write.partitionBy("upload").text(bronze)

@@ -9,7 +9,7 @@ from bureaulake.functions import parse
 from bureaulake.functions.bins import case
 from bureaulake.operators import privacy, profile, ranking
 from bureaulake.queries.ctes import sql
-from bureaulake.sources import detect, scratch, views
+from bureaulake.sources import detect, files, scratch, views
 from bureaulake.sources.views import table
 
 QUERIES, ORACLE = {}, {}
@@ -234,19 +234,24 @@ def completeness_scores(spark, d):
     return profile.completeness(profile_missing(spark, d), ["email", "balance"])
 
 
-_MAILS = "SELECT count(*) FILTER (regexp_matches(trim(email), '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$')) / count(email)::DOUBLE AS pii, CAST(count(*) > 0 AS INTEGER) AS readable FROM up"
-_VOTES = ORACLE["schema_detect"]
+_SURE = """SELECT (count(*) FILTER (regexp_matches(trim(email), '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$')) / count(email)::DOUBLE
+  + count(*) FILTER (regexp_matches(trim(phone_number), '^[\\+]?[(]?[0-9]{1,4}[)]?[-\\s\\.]?[(]?[0-9]{1,4}[)]?[-\\s\\.]?[0-9]{1,9}$')) / count(phone_number)::DOUBLE) / 2 AS pii FROM up"""
 
 
-@query("quality_report", sql("""SELECT CAST(4 AS BIGINT) AS parts, round((schema * 0.2e0 + weighted * 0.5e0 + pii * 0.2e0 + readable * 0.1e0) / (0.2e0 + 0.5e0 + 0.2e0 + 0.1e0), 4) AS quality_score
-  FROM complete, mails, (SELECT avg(votes / n::DOUBLE) AS schema FROM (""" + _VOTES + "))", mails=_MAILS, complete=_COMPLETE, miss=_MISSING, up=_UP))
+@query("quality_report", sql("""SELECT CAST(4 AS BIGINT) AS parts, round((0.9e0 * 0.2e0 + weighted * 0.5e0 + pii * 0.2e0 + 1e0 * 0.1e0) / (0.2e0 + 0.5e0 + 0.2e0 + 0.1e0), 4) AS quality_score
+  FROM complete, sure""", sure=_SURE, complete=_COMPLETE, miss=_MISSING, up=_UP))
 def quality_report(spark, d):
-    """Four measured parts: agreement of the values with their column's type, completeness, mail addresses that are some, rows read."""
-    df = upload(spark, d)
-    agreement = schema_detect(spark, d).agg(F.avg(F.col("votes") / F.col("n")).alias("schema"))
-    mail = F.trim("email").rlike(profile.TEXT_PATTERNS["EMAIL"])
-    found = df.agg((F.count_if(mail) / F.count("email")).alias("pii"), (F.count(F.lit(1)) > 0).cast("int").alias("readable"))
-    one = completeness_scores(spark, d).crossJoin(F.broadcast(agreement)).crossJoin(F.broadcast(found))  # one row each
+    """Four measured parts of an uploaded file: confidence of its schema, completeness, how surely its personal columns are some, whether its text can be decoded."""
+    df, path = upload(spark, d), scratch.folder(spark, "quality")
+    df.select(*_COLUMNS).write.csv(path, header=True)
+    schema = detect.schema(spark, path, "part-*").agg(F.min("confidence").alias("schema"))
+    readable = detect.layouts(files.list_files(spark, path, "part-*")).agg(F.bool_and(F.col("encoding") != "binary").cast("int").alias("readable"))
+
+    def share(column, shape):
+        return F.count_if(F.trim(column).rlike(profile.TEXT_PATTERNS[shape])) / F.count(column)
+
+    personal = df.agg(((share("email", "EMAIL") + share("phone_number", "PHONE")) / 2).alias("pii"))
+    one = completeness_scores(spark, d).crossJoin(F.broadcast(schema)).crossJoin(F.broadcast(readable)).crossJoin(F.broadcast(personal))  # one row each
     return profile.quality_score(one.select(F.inline(profile.quality_parts(F.col("schema"), F.col("weighted"), F.col("pii"), F.col("readable")))))
 
 
