@@ -38,6 +38,8 @@ BITS, PIECE = 36, 1 << 20
 #: grow with the memory of a task where there is much text.
 RUN, PART = 8 << 20, 16 << 20
 NO_LANGUAGE = "und"
+#: Parts of a language that are ranked apart before all.
+PARTS = 64
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?"] + [*range(10, 14)]] = True
 APART = BREAK.copy()
@@ -295,8 +297,11 @@ def collocations(docs: DataFrame, threshold: int = 10, longest: int = 3, top: in
         "lang", F.array_join(F.slice("words", F.col("at"), F.col("short")), " ").alias("phrase"), F.col("a").alias("longer"))
     held = held.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     stays = scored.join(held, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < inside * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = stays.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("cut.score"), F.desc("a"), F.col("phrase")]
+    # the best of each of some parts of a language first, so that the last step sees a bounded number of them, however many tasks there are
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    best = stays.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     totals = counts.where("size = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"),
                                               "n", F.col("cut.score").cast("long").alias("score"))
