@@ -17,18 +17,32 @@ from bureaulake.operators.features import age_years
 
 # Canonical field -> other names it may arrive under, in order of preference.
 AGREEMENT_ALIASES = {
-    "accountStatusCode": ["status_code", "account_status_code"], "monthsInArrears": ["months_in_arrears"],
+    "accountStatusCode": ["status_code", "account_status_code"],
+    "monthsInArrears": ["months_in_arrears"],
     "openingBalanceAmt": ["opening_balance_amt", "credit_limit"],
     "currentBalanceAmt": ["current_balance", "current_balance_amt"],
-    "dateAccountOpened": ["date_opened", "dateOpened", "date_account_opened"], "closedDate": ["closed_date"],
-    "subscriberName": ["subscriber_name"], "accountType": ["facility_type", "account_type"],
-    "loanType": ["loan_type", "facility_type"], "accountNo": ["account_no"], "creditLimit": ["credit_limit"],
+    "dateAccountOpened": ["date_opened", "dateOpened", "date_account_opened"],
+    "closedDate": ["closed_date"],
+    "subscriberName": ["subscriber_name"],
+    "accountNo": ["account_no"],
+    "accountType": ["facility_type", "account_type"],
+    "loanType": ["loan_type", "facility_type"],
+    "creditLimit": ["credit_limit"],
 }
 PERSONAL_ALIASES = {
-    "birthDate": ["birth_date"], "consumerID": ["consumer_id"], "nationalIDNo": ["national_id"],
-    "employerDetail": ["employer"], "dependants": [], "firstName": ["first_name"],
-    "surname": ["last_name", "lastName"], "otherNames": ["other_names"], "gender": [], "phone": ["phoneNumber"],
-    "email": [], "address": ["residentialAddress"], "maritalStatus": ["marital_status"],
+    "birthDate": ["birth_date"],
+    "consumerID": ["consumer_id"],
+    "firstName": ["first_name"],
+    "surname": ["last_name", "lastName"],
+    "otherNames": ["other_names"],
+    "nationalIDNo": ["national_id"],
+    "employerDetail": ["employer"],
+    "dependants": [],
+    "gender": [],
+    "phone": ["phoneNumber"],
+    "email": [],
+    "address": ["residentialAddress"],
+    "maritalStatus": ["marital_status"],
 }
 SUMMARY_ALIASES = {
     "totalOutstandingdebtGHS": ["total_outstanding_debt_ghs"],

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -17,7 +19,9 @@ def ship(spark: SparkSession) -> None:
         return
     _shipped.add(spark.sparkContext.applicationId)
     root = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), "bureaulake.zip")
+    place = tempfile.mkdtemp(prefix="ship-")
+    atexit.register(shutil.rmtree, place, ignore_errors=True)
+    path = os.path.join(place, "bureaulake.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as packed:
         for folder, _, names in os.walk(root):
             for name in sorted(names):

@@ -67,12 +67,16 @@ def staged(df: DataFrame, bucket: Column, buckets: int, name: str) -> DataFrame:
 def run(stream: DataFrame, write: Callable[[DataFrame, int, str], None], mode: str, name: str) -> str:
     """Process everything available and return the folder that ``write(batch, batch_id, folder)`` filled."""
     spark = stream.sparkSession
-    out = scratch.folder(spark, name)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # state on disk, not on the heap
-    query = (stream.writeStream.outputMode(mode).trigger(availableNow=True)
-             .option("checkpointLocation", scratch.folder(spark, f"{name}-state"))
-             .foreachBatch(lambda batch, batch_id: write(batch, batch_id, out)).start())
-    query.awaitTermination()
+    out, key = scratch.folder(spark, name), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)  # state on disk, not on the heap; a query keeps what it starts with
+    try:
+        query = (stream.writeStream.outputMode(mode).trigger(availableNow=True)
+                 .option("checkpointLocation", scratch.folder(spark, f"{name}-state"))
+                 .foreachBatch(lambda batch, batch_id: write(batch, batch_id, out)).start())
+        query.awaitTermination()
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     return out
 
 
