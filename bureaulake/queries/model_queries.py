@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from bureaulake import catalog
 from bureaulake.functions import decision as dec
+from bureaulake.functions.bins import case
 from bureaulake.ml import forest, log, models, search
 from bureaulake.operators import metrics, registry
 from bureaulake.plans import facts
 from bureaulake.queries.decision_queries import flagged, reason_codes, top_five
-from bureaulake.queries.scoring_queries import training_rows
+from bureaulake.queries.ctes import sql
+from bureaulake.queries.scoring_queries import _INCOME, training_rows
 from bureaulake.sources import scratch
 
 QUERIES, ORACLE = {}, {}
@@ -26,6 +28,25 @@ def query(name, oracle=None):
     return register
 
 
+def contract(name, oracle, check):
+    """Registers what SQL can state about a model's output: which rows there are, and whether their values are possible and agree with
+    each other. The function itself keeps the whole output."""
+    def register(fn):
+        def run(spark, d):
+            return check(fn(spark, d))
+
+        QUERIES[name], ORACLE[name] = run, oracle
+        return fn
+    return register
+
+
+def _within(column, low, high):
+    return F.coalesce(F.col(column).between(low, high), F.lit(False))
+
+
+_EVERY = "SELECT request_id, true AS possible, true AS labelled FROM income"
+
+
 def training_table(spark, d):
     """Training rows written once; every pass of a learner reads this table instead of the raw bureau data."""
     path = scratch.folder(spark, "training")
@@ -47,7 +68,10 @@ def _long(one_row, names):
     return one_row.unpivot([], names, "metric", "value")
 
 
-@query("risk_train")
+@contract("risk_train", """SELECT 'credit_risk' AS model_type, metric, true AS possible, true AS as_limits FROM (VALUES ('auc'), ('f1'), ('precision'), ('recall'), ('log_loss')) v(metric)""",
+          lambda rows: rows.select("model_type", "metric", _within("value", 0, F.when(F.col("metric") == "log_loss", 100.0).otherwise(1.0)).alias("possible"),
+                                   (F.col("passed") == F.when(F.col("metric") == "log_loss", F.col("value") <= 0.5).otherwise(F.col("value") >= case(
+                                       [(F.col("metric") == "auc", 0.78), (F.col("metric") == "f1", 0.75), (F.col("metric") == "precision", 0.70)], 0.65))).alias("as_limits")))
 def risk_train(spark, d):
     """Holdout metrics of the default-risk model with the acceptance gate."""
     data = _risk_data(spark, d)
@@ -59,7 +83,8 @@ def risk_train(spark, d):
     return metrics.gate(found, limits)
 
 
-@query("risk_tune")
+@contract("risk_tune", "SELECT CAST(d AS INTEGER) AS max_depth, CAST(s AS DOUBLE) AS step_size, true AS possible FROM (VALUES (2), (4)) x(d), (VALUES (0.1), (0.3)) y(s)",
+          lambda rows: rows.select("max_depth", "step_size", _within("auc", 0, 1).alias("possible")))
 def risk_tune(spark, d):
     data = _risk_data(spark, d)
     grid, found, _ = models.tune_risk(data.filter("split <> 'holdout'"))
@@ -67,7 +92,8 @@ def risk_tune(spark, d):
     return spark.createDataFrame([(int(p["maxDepth"]), float(p["stepSize"]), float(a)) for p, a in rows], "max_depth int, step_size double, auc double")
 
 
-@query("risk_calibrate")
+@contract("risk_calibrate", "SELECT true AS finite, true AS possible",
+          lambda rows: rows.select((~F.isnan("a") & ~F.isnan("b") & _within("a", -1e6, 1e6)).alias("finite"), (_within("raw_loss", 0, 100) & _within("calibrated_loss", 0, 100)).alias("possible")))
 def risk_calibrate(spark, d):
     """Platt parameters and log-loss before and after calibration on the holdout."""
     data = _risk_data(spark, d)
@@ -83,7 +109,8 @@ def risk_calibrate(spark, d):
     return rows.agg(F.lit(a).alias("a"), F.lit(b).alias("b"), loss(F.col("score")).alias("raw_loss"), loss(F.col("calibrated")).alias("calibrated_loss"))
 
 
-@query("risk_score")
+@contract("risk_score", sql(_EVERY, income=_INCOME), lambda rows: rows.select(
+    "request_id", (_within("probability_of_default", 0, 1) & _within("pd_confidence", 0.5, 1)).alias("possible"), (F.col("risk_tier") == dec.pd_tier(F.col("probability_of_default"))).alias("labelled")))
 def risk_score(spark, d):
     """Calibrated default probability and tier of every applicant, labelled or not."""
     table = training_table(spark, d)
@@ -94,7 +121,9 @@ def risk_score(spark, d):
     return scored.select("request_id", "probability_of_default", "pd_confidence", dec.pd_tier(F.col("probability_of_default")).alias("risk_tier"))
 
 
-@query("risk_explain")
+@contract("risk_explain", sql(_EVERY, income=_INCOME), lambda rows: rows.select(
+    "request_id", F.forall(F.split("top_features", ","), lambda f: f.isin(catalog.FEATURES)).alias("possible"),
+    ((F.size(F.split("top_features", ",")) == 5) & (F.size(F.split("top_values", ",")) == 5) & F.col("reason_codes").isNotNull()).alias("labelled")))
 def risk_explain(spark, d):
     """Top five contributions and reason codes of every applicant."""
     table = training_table(spark, d)
@@ -113,7 +142,8 @@ def _forest(spark, d, trees=200):
     return vectors, nodes
 
 
-@query("fraud_train")
+@contract("fraud_train", "SELECT CAST(t AS INTEGER) AS tree, true AS grown, true AS sampled FROM range(0, 200) r(t)", lambda rows: rows.select(
+    "tree", (F.col("nodes") == 2 * F.col("leaves") - 1).alias("grown"), F.col("rows").between(1, 256).alias("sampled")))
 def fraud_train(spark, d):
     """Size and depth facts of each tree of the isolation forest."""
     _, nodes = _forest(spark, d)
@@ -122,7 +152,8 @@ def fraud_train(spark, d):
                                      F.sum(F.when(leaf, F.col("size"))).alias("rows"))
 
 
-@query("fraud_score")
+@contract("fraud_score", sql(_EVERY, income=_INCOME), lambda rows: rows.select(
+    "request_id", _within("fraud_anomaly_score", 0, 1).alias("possible"), F.col("fraud_risk_flag").isin("LOW", "MEDIUM", "HIGH").alias("labelled")))
 def fraud_score(spark, d):
     """Anomaly score and flag of every applicant with thresholds at the 1st and 5th percentile."""
     vectors, nodes = _forest(spark, d)
@@ -138,7 +169,8 @@ def _loan(spark, d):
     return table, data, models.fit_loan(models.part(data, "train"))
 
 
-@query("loan_train")
+@contract("loan_train", "SELECT model, true AS possible FROM (VALUES ('boosted'), ('forest'), ('linear'), ('ensemble')) v(model)", lambda rows: rows.select(
+    "model", (_within("mae", 0, F.col("rmse") + 1e-9) & (F.col("rmse") <= 1e6) & F.coalesce(F.col("r2") <= 1, F.lit(True))).alias("possible")))
 def loan_train(spark, d):
     """Holdout errors of the three members and their mean."""
     _, data, model = _loan(spark, d)
@@ -150,7 +182,9 @@ def loan_train(spark, d):
     return out
 
 
-@query("loan_score")
+@contract("loan_score", sql(_EVERY, income=_INCOME), lambda rows: rows.select(
+    "request_id", _within("recommended_loan_amount", catalog.LOAN_FLOOR, catalog.LOAN_CEILING).alias("possible"),
+    (F.col("loan_tier") == dec.loan_tier(F.col("recommended_loan_amount"))).alias("labelled")))
 def loan_score(spark, d):
     table, _, model = _loan(spark, d)
     scored = model.transform(models.with_vector(table)).withColumn("recommended_loan_amount", models.loan_amount())
@@ -163,7 +197,8 @@ def _income(spark, d):
     return table, data, models.fit_income(models.part(data, "train"))
 
 
-@query("income_train")
+@contract("income_train", "SELECT CAST(c AS INTEGER) AS class, true AS possible FROM range(0, 4) r(c)", lambda rows: rows.select(
+    F.col("class").cast("int").alias("class"), (_within("precision", 0, 1) & _within("recall", 0, 1) & _within("f1", 0, 1) & (F.col("tp") <= F.col("support"))).alias("possible")))
 def income_train(spark, d):
     """Per-class holdout metrics of the income model."""
     _, data, model = _income(spark, d)
@@ -171,7 +206,8 @@ def income_train(spark, d):
     return metrics.per_class(scored.select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("predicted")), 4)
 
 
-@query("income_score")
+@contract("income_score", sql(_EVERY, income=_INCOME), lambda rows: rows.select(
+    "request_id", (_within("income_tier", 0, 3) & _within("income_confidence", 0.25, 1)).alias("possible"), (F.col("income_tier_label") == dec.income_label(F.col("income_tier"))).alias("labelled")))
 def income_score(spark, d):
     table, _, model = _income(spark, d)
     scored = model.transform(models.with_vector(table))
@@ -179,7 +215,8 @@ def income_score(spark, d):
     return scored.select("request_id", tier.alias("income_tier"), dec.income_label(tier).alias("income_tier_label"), confidence.alias("income_confidence"))
 
 
-@query("model_roundtrip")
+@contract("model_roundtrip", "SELECT true AS scored, true AS same, true AS promote", lambda rows: rows.select(
+    (F.col("rows") > 0).alias("scored"), (F.col("equal") == F.col("rows")).alias("same"), "promote"))
 def model_roundtrip(spark, d):
     """A stored champion scores exactly like the fitted one; its version row goes through the champion gate."""
     data = _risk_data(spark, d)
