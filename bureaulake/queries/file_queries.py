@@ -230,7 +230,27 @@ def scan_dispatch(spark, d):
     return rows.groupBy(_folder("_file")).agg(F.count(F.lit(1)).alias("n"), F.sum(number).alias("ids"), F.sum(number * nation).alias("products"), F.sum(digest).alias("digest"))
 
 
-@query("schema_nesting")
+# The nested report restated: fields of both products, and when a field is filled.
+_PERSONAL = "personalDetailsSummary personalDetailsSummary.consumerID personalDetailsSummary.birthDate personalDetailsSummary.birth_date personalDetailsSummary.dependants personalDetailsSummary.employerDetail personalDetailsSummary.employer personalDetailsSummary.nationalIDNo personalDetailsSummary.national_id"
+_SHARED = f"response response.statusCode {_PERSONAL} highestDelinquencyRating highestDelinquencyRating.highestDelinquencyRating enquiryHistory enquiryHistory.subscriberEnquiryResultID enquiryHistory.dateRequested enquiryHistory.enquiryReason enquiryHistory.subscriberName creditAccountSummary"
+_OWN = {
+    "consumer_full_report_45": " ".join(["creditAccountSummary." + c for c in "totalOutstandingdebtGHS totalMonthlyInstalmentGHS totalActiveAccountsGHS totalNumberofAccountsGHS totalNumberofDishonouredGHS totalAccountInArrearGHS totalAmountInArrearGHS".split()]
+        + ["creditAgreementSummary"] + ["creditAgreementSummary." + c for c in "accountStatusCode status_code monthsInArrears months_in_arrears openingBalanceAmt opening_balance_amt currentBalanceAmt current_balance dateAccountOpened date_opened closedDate accountType loanType".split()]
+        + ["accountMonthlyPaymentHistory"] + [f"accountMonthlyPaymentHistory.m{m:02d}" for m in range(1, 25)] + ["judgementSummary", "defaults", "dudCheqEventSummary", "addressHistory", "addressHistory.address"]),
+    "consumer_mobile_report_49": " ".join(["creditAccountSummary." + c for c in "highestAmountTaken totalOutstandingdebt totalMonthlyInstalment".split()]
+        + ["detailedFacilityInfo"] + ["detailedFacilityInfo." + c for c in "accountStatusCode monthsInArrears openingBalanceAmt".split()]),
+}
+_PATHS = ", ".join(f"('{p}')" for r, own in _OWN.items() for p in [r, *(f"{r}.{f}" for f in (_SHARED + " " + own).split())])
+_LISTS = "enquiryHistory creditAgreementSummary accountMonthlyPaymentHistory judgementSummary defaults dudCheqEventSummary addressHistory detailedFacilityInfo".split()
+
+
+@query("schema_nesting", f"""SELECT path, len(string_split(path, '.'))::INTEGER AS depth, len(string_split(path, '.')) = 2 AND field IN ({', '.join(f"'{f}'" for f in _LISTS)}) AS is_array,
+  count(*) FILTER (CASE WHEN path LIKE '%.personalDetailsSummary.birthDate' THEN NOT alias WHEN field = 'birth_date' THEN alias WHEN field = 'employerDetail' THEN NOT alias AND k % 3 <> 0
+    WHEN field = 'employer' THEN alias AND k % 3 <> 0 WHEN field = 'nationalIDNo' THEN NOT alias AND k % 11 <> 0 WHEN field = 'national_id' THEN alias AND k % 11 <> 0
+    WHEN path LIKE '%.highestDelinquencyRating.highestDelinquencyRating' THEN k % 9 <> 0 WHEN field = 'totalAccountInArrearGHS' THEN k % 6 <> 0
+    WHEN field = 'judgementSummary' THEN k % 5 <> 0 WHEN field = 'defaults' THEN k % 31 = 2 WHEN field = 'dudCheqEventSummary' THEN k % 3 = 0 ELSE true END) AS filled
+FROM (SELECT path, split_part(path, '.', -1) AS field FROM (VALUES {_PATHS}) v(path)), (SELECT c_custkey AS k, c_custkey % 4 = 1 AS alias FROM customer)
+WHERE CASE WHEN path LIKE 'consumer_full%' THEN k % 10 <> 9 ELSE k % 10 < 3 OR k % 10 IN (7, 8) END GROUP BY path, field""")
 def schema_nesting(spark, d):
     """Path, depth and array flag of a nested file, with the rows that fill each field."""
     path = scratch.folder(spark, "nested")
