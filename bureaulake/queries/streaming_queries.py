@@ -8,8 +8,8 @@ from bureaulake.operators import batches, monitoring
 from bureaulake.queries import decision_queries as dq
 from bureaulake.queries import monitoring_queries as mq
 from bureaulake.queries import report_queries as rq
-from bureaulake.queries.ctes import sql
-from bureaulake.sources import views
+from bureaulake.queries.ctes import FEATURE_NAMES, _imputed, sql
+from bureaulake.sources import scratch, views
 from bureaulake.sources.views import table
 from bureaulake.streaming import jobs
 
@@ -168,6 +168,37 @@ def stream_drift(spark, d):
     return scores.select(parts[0].alias("day"), parts[1].alias("feature"), "psi")
 
 
+_DAILY_COHORT = "SELECT cohort, DATE '2024-01-01' + CAST(applicant_id % 14 AS INTEGER) AS d, " + ", ".join(f"{_imputed(n)} AS {n}" for n in FEATURE_NAMES) + " FROM cohort_fact"
+_DAILY_LONG = "SELECT cohort, d, feature, " + mq._BIN + " AS bin FROM (SELECT * FROM daily_cohort) UNPIVOT (value FOR feature IN (" + ", ".join(FEATURE_NAMES) + "))"
+
+
+@query("stream_feature_drift", sql("""SELECT day, feature, round(sum((a - e) * ln(a / e)), 4) AS psi FROM (
+  SELECT g.day, g.feature, g.bin, coalesce(bb.n, 0) / bt.total::DOUBLE + 1e-6 AS e, coalesce(w.n, 0) / g.total::DOUBLE + 1e-6 AS a
+  FROM (SELECT day, feature, total, unnest(range(0, 10)) AS bin FROM totals WHERE total >= 10 AND day IN (SELECT day FROM totals GROUP BY 1 HAVING max(total) >= 50)) g
+  JOIN (SELECT feature, sum(n) AS total FROM base WHERE bin IS NOT NULL GROUP BY 1) bt USING (feature)
+  LEFT JOIN win w ON w.day = g.day AND w.feature = g.feature AND w.bin = g.bin LEFT JOIN base bb ON bb.feature = g.feature AND bb.bin = g.bin) GROUP BY 1, 2""",
+    cohort_fact=mq._COHORT_FACT, daily_cohort=_DAILY_COHORT, daily_long=_DAILY_LONG,
+    base="SELECT feature, bin, count(*) AS n FROM daily_long WHERE cohort = 'baseline' GROUP BY 1, 2",
+    win="SELECT strftime(d - CAST(o AS INTEGER), '%Y-%m-%d') AS day, feature, bin, count(*) AS n FROM daily_long, range(0, 7) r(o) WHERE cohort = 'recent' GROUP BY 1, 2, 3",
+    totals="SELECT day, feature, sum(n) AS total FROM win GROUP BY 1, 2"))
+def stream_feature_drift(spark, d):
+    """All thirty features of scored applicants, streamed over two weeks, against the baseline cohort: seven-day windows with 50 or more applicants."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("applicant_id") % 14).cast("int"))
+    vectors = scratch.written(mq.cohorts(spark, d).select("cohort", jobs.utc(day.cast("timestamp_ntz")).alias("at"), *FEATURE_NAMES), "cohort-vectors")
+    base = monitoring.histograms(vectors.filter("cohort = 'baseline'").drop("cohort", "at"))
+    recent = vectors.filter("cohort = 'recent'").drop("cohort")
+    stream = jobs.staged(recent, F.floor(F.dayofmonth(jobs.utc_day(F.col("at")).cast("date")) / 8), 2, "vectors").withWatermark("at", "1 day")
+    long = stream.unpivot(["at"], FEATURE_NAMES, "feature", "value").filter("value is not null")
+    windowed = long.groupBy(F.window("at", "7 days", "1 day").alias("w"), "feature", monitoring.histogram_bin(F.col("value")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = jobs.newest(windowed.select(jobs.utc_day(F.col("w.start")).alias("day"), "feature", "bin", "n"), ["day", "feature", "bin"], "feature-drift")
+    enough = counts.groupBy("day", "feature").agg(F.sum("n").alias("rows")).groupBy("day").agg(F.max("rows").alias("rows")).filter(F.col("rows") >= monitoring.LEAST_ROWS).select("day")
+    tagged = counts.join(enough, "day", "left_semi").withColumn("tag", F.concat_ws("|", "day", "feature"))
+    expected = tagged.select("tag", "feature").distinct().join(base, "feature").select(F.col("tag").alias("feature"), "bin", "n")
+    scores = monitoring.psi(expected, tagged.select(F.col("tag").alias("feature"), "bin", "n"), minimum=10)
+    parts = F.split("feature", r"\|")
+    return scores.select(parts[0].alias("day"), parts[1].alias("feature"), "psi")
+
+
 @query("stream_audit", """SELECT strftime(d, '%Y-%m-%d') AS day, count(*) AS n FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events WHERE event_type = 'purchase') GROUP BY 1""")
 def stream_audit(spark, d):
     """Decisions arrive in three micro-batches with repeats across them; each is stored once."""
