@@ -20,6 +20,8 @@ from bureaulake.sources import decode
 HEAD_BYTES = 8192
 SAMPLE_BYTES = 65536
 CHUNK_BYTES = 8 << 20
+#: Files whose samples a task holds at once.
+PROBED_AT_ONCE = 64
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -55,7 +57,11 @@ def _probe(frames: Iterator[pd.DataFrame], checksum: bool) -> Iterator[pd.DataFr
                     digest = sha.hexdigest()
             rows.append((path, length, head, middle, tail, digest, compression, decode.container_of(head), encoding, bom,
                          inner[:16].hex().upper(), decode.text_of(inner, encoding)))
-        yield pd.DataFrame(rows, columns=PROBED)
+            if len(rows) == PROBED_AT_ONCE:
+                yield pd.DataFrame(rows, columns=PROBED)
+                rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=PROBED)
 
 
 PROBED = ["path", "length", "head", "middle", "tail", "sha256", "compression", "container", "encoding", "bom", "start", "text"]
