@@ -31,6 +31,8 @@ HEADER_SHARE = 0.7
 LINES, CHARACTERS = 10_000, 4 << 20
 DEFAULT_SEPARATOR = {"csv": ",", "tsv": "\t"}
 READABLE = ["csv", "tsv", "txt", "json", "jsonl", "parquet"]
+#: Names that the readers add; a column of an upload with such a name gets a number. Where a row comes from, until then.
+RESERVED, SOURCE = ["_file", "_format", "_bad"], "__source_file"
 KEY = ["format", "separator", "header", "names", "encoding", "array", "native"]
 
 
@@ -48,11 +50,18 @@ def is_number(cell: Column) -> Column:
 
 
 def unique_names(found: Column) -> Column:
-    """Names of a header line: trimmed; an empty one says where it stands, a repeated one how often it stood before."""
+    """Names of a header line: trimmed; an empty one says where it stands, a repeated one (in any case) how often it stood before."""
     filled = F.transform(found, lambda c, i: F.when(F.trim(c) == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(F.trim(c)))
-    return F.transform(filled, lambda c, i: F.when(
-        (i > 0) & F.array_contains(F.slice(filled, F.lit(1), i), c),
-        F.concat(c, F.lit("."), F.size(F.filter(F.slice(filled, F.lit(1), i), lambda x: x == c)).cast("string"))).otherwise(c))
+
+    def before(names, i):
+        return F.concat(F.array(*[F.lit(r) for r in RESERVED]), F.transform(F.slice(names, F.lit(1), i), lambda c: F.lower(c)))
+
+    def counted(c, i):
+        n = F.size(F.filter(before(filled, i), lambda x: x == F.lower(c)))
+        return F.when(n > 0, F.concat(c, F.lit("."), n.cast("string"))).otherwise(c)
+
+    once = F.transform(filled, counted)
+    return F.transform(once, lambda c, i: F.when(F.array_contains(before(once, i), F.lower(c)), F.concat(c, F.lit("."), i.cast("string"))).otherwise(c))
 
 
 def _as_format(found: DataFrame, fmt: Column) -> DataFrame:
@@ -116,7 +125,7 @@ def plain_path(path: Column) -> Column:
 
 
 def read_from() -> Column:
-    return plain_path(F.col("_metadata.file_path")).alias("_file")
+    return plain_path(F.col("_metadata.file_path")).alias(SOURCE)
 
 
 def _escaped(paths: list[str]) -> list[str]:
@@ -124,7 +133,7 @@ def _escaped(paths: list[str]) -> list[str]:
 
 
 def decoded_lines(spark: SparkSession, paths: list[str], encoding: str, skip_first: bool, whole: bool) -> DataFrame:
-    """``value, _file`` of files that tasks decompress and decode: line by line, or with ``whole`` one row per file."""
+    """``value`` and source of the files that tasks decompress and decode: line by line, or with ``whole`` one row per file."""
     ship(spark)
 
     def short(path: str) -> str:
@@ -138,7 +147,7 @@ def decoded_lines(spark: SparkSession, paths: list[str], encoding: str, skip_fir
                     handle.seek(0)
                     found = decode.lines(decode.content(handle, kind), encoding)
                     if whole:
-                        yield pd.DataFrame({"value": [" ".join(found)], "_file": [short(path)]})
+                        yield pd.DataFrame({"value": [" ".join(found)], SOURCE: [short(path)]})
                         continue
                     if skip_first:
                         next(found, None)
@@ -147,13 +156,13 @@ def decoded_lines(spark: SparkSession, paths: list[str], encoding: str, skip_fir
                         held.append(line)
                         size += len(line)
                         if len(held) >= LINES or size >= CHARACTERS:
-                            yield pd.DataFrame({"value": held, "_file": short(path)})
+                            yield pd.DataFrame({"value": held, SOURCE: short(path)})
                             held, size = [], 0
                     if held:
-                        yield pd.DataFrame({"value": held, "_file": short(path)})
+                        yield pd.DataFrame({"value": held, SOURCE: short(path)})
 
     listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 10_000), F.col("path"))
-    return listed.mapInPandas(run, "value string, _file string")
+    return listed.mapInPandas(run, f"value string, {SOURCE} string")
 
 
 def _delimited(spark: SparkSession, group: Group) -> DataFrame:
@@ -165,7 +174,7 @@ def _delimited(spark: SparkSession, group: Group) -> DataFrame:
         rows = rows.select("*", read_from())
     else:
         lines = decoded_lines(spark, group.paths, group.encoding, group.header, False).filter("value <> ''")
-        rows = lines.select(F.from_csv("value", ", ".join(f"`{n.replace('`', '``')}` string" for n in names), options).alias("r"), "_file").select("r.*", "_file")
+        rows = lines.select(F.from_csv("value", ", ".join(f"`{n.replace('`', '``')}` string" for n in names), options).alias("r"), SOURCE).select("r.*", SOURCE)
     return rows.filter(files.fits(list(group.names), group.separator)).drop("_bad")
 
 
@@ -177,7 +186,7 @@ def _json(spark: SparkSession, group: Group) -> DataFrame:
             lines = decoded_lines(spark, group.paths, group.encoding, False, bool(group.array))
     else:
         lines = decoded_lines(spark, group.paths, group.encoding, False, bool(group.array))
-    parsed = lines.select(F.try_parse_json("value").alias("v"), "value", "_file").filter("v is not null")
+    parsed = lines.select(F.try_parse_json("value").alias("v"), "value", SOURCE).filter("v is not null")
     shape = parsed.agg(F.schema_of_variant_agg("v").alias("s")).first()["s"]
     listed = shape.startswith("ARRAY<")
     inner = shape[6:-1] if listed else shape
@@ -185,11 +194,11 @@ def _json(spark: SparkSession, group: Group) -> DataFrame:
         raise ValueError(f"no JSON objects but {shape[:80]}")
     kind = re.sub(r"\bOBJECT<", "STRUCT<", inner).replace("VARIANT", "STRING").replace("VOID", "STRING")
     records = F.from_json("value", f"ARRAY<{kind}>")  # an object alone counts as a list of one
-    return files.flatten_structs(parsed.select(F.explode(records).alias("r"), "_file").select("r.*", "_file"))
+    return files.flatten_structs(parsed.select(F.explode(records).alias("r"), SOURCE).select("r.*", SOURCE))
 
 
 def read_group(spark: SparkSession, group: Group) -> DataFrame:
-    """All rows of the files of one layout, with their file in ``_file``."""
+    """All rows of the files of one layout, with their file in the column SOURCE."""
     if group.format == "parquet":
         rows = spark.read.option("mergeSchema", "true").parquet(*_escaped(group.paths)).select("*", read_from())
         return files.flatten_structs(rows)
@@ -213,16 +222,25 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def _loaded(spark: SparkSession, group: Group) -> DataFrame | None:
-    """The group's rows, or None if they can't be read this way."""
+def _finished(rows: DataFrame, group: Group) -> DataFrame:
+    """All values as text, columns of reserved names renamed, the file in ``_file`` and the format in ``_format``."""
+    own = [f"{c}.1" if c.lower() in RESERVED else c for c in rows.columns if c != SOURCE]
+    text = as_text(rows)
+    return text.select(*[F.col(f"`{c}`") for c in rows.columns if c != SOURCE], SOURCE).toDF(*own, "_file").withColumn("_format", F.lit(group.format))
+
+
+def _attempt(spark: SparkSession, group: Group) -> tuple[DataFrame | None, str | None]:
+    """The group's rows, or why they can't be read this way."""
+    if group.format not in READABLE:
+        return None, f"no reader for {group.format}"
     try:
-        return as_text(read_group(spark, group)).withColumn("_format", F.lit(group.format))
-    except (PySparkException, ValueError):
-        return None
+        return _finished(read_group(spark, group), group), None
+    except (PySparkException, ValueError) as error:
+        return None, str(error).splitlines()[0][:300]
 
 
-def _filled(loaded: DataFrame | None, group: Group) -> set[str]:
-    """The group's files that have a row; one name per file comes to the driver."""
+def _filled(loaded: DataFrame | None) -> set[str]:
+    """The files that have a row; one name per file comes to the driver."""
     if loaded is None:
         return set()
     try:
@@ -231,31 +249,47 @@ def _filled(loaded: DataFrame | None, group: Group) -> set[str]:
         return set()
 
 
-def read_all(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Rows of all files below a folder, by what each file is; all values as text, columns united by name, plus ``_file`` and ``_format``.
+def read_report(spark: SparkSession, path: str, pattern: str = "*") -> tuple[DataFrame, DataFrame]:
+    """Rows of all files below a folder by what each file is, and the files that could not be read (path, format, problem).
 
-    Spreadsheets and Avro files are not read. An empty folder gives an empty table.
+    All values are text, columns are united by name, ``_file`` and ``_format`` say where a row comes from. Spreadsheets and Avro
+    files are reported, not read. An empty folder gives two empty tables.
     """
     found = layouts(files.list_files(spark, path, pattern)).cache()
-    parts = [_loaded(spark, g) for g in groups(found.filter("fallback IS NULL")) if g.format in READABLE]
+    parts, problems = [], []
+
+    def keep(group: Group, loaded: DataFrame | None, problem: str | None) -> None:
+        if loaded is None:
+            problems.extend((p, group.format, problem) for p in group.paths)
+        else:
+            parts.append(loaded)
+
+    for group in groups(found.filter("fallback IS NULL")):
+        keep(group, *_attempt(spark, group))
     doubtful = found.filter("fallback IS NOT NULL")
     empty: list[str] = []
     for group in groups(doubtful):  # read as the content says, if that gives rows
-        loaded = _loaded(spark, group) if group.format in READABLE else None
-        filled = _filled(loaded, group)
+        loaded, _ = _attempt(spark, group)
+        filled = _filled(loaded)
         spelled = {re.sub(r"^(\w+):/+", r"\1:/", p): p for p in group.paths}
         empty += [p for key, p in spelled.items() if key not in filled]
         if filled:
             parts.append(loaded)
     if empty:  # and else as the name says
         again = doubtful.join(spark.createDataFrame([(p,) for p in empty], "path string"), "path")
-        parts += [_loaded(spark, g) for g in groups(_as_format(again, F.col("fallback"))) if g.format in READABLE]
+        for group in groups(_as_format(again, F.col("fallback"))):
+            keep(group, *_attempt(spark, group))
     found.unpersist()
     rows = None
     for part in parts:
-        if part is not None:
-            rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
-    return spark.createDataFrame([], "_file string, _format string") if rows is None else rows
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    rows = spark.createDataFrame([], "_file string, _format string") if rows is None else rows
+    return rows, spark.createDataFrame(problems, "path string, format string, problem string")
+
+
+def read_all(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """The rows of :func:`read_report`."""
+    return read_report(spark, path, pattern)[0]
 
 
 # --- schema ---------------------------------------------------------------------------------------------------------
@@ -269,7 +303,7 @@ def schema(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """
     found = layouts(files.list_files(spark, path, pattern))
     (group,) = groups(found)
-    rows = read_group(spark, group).drop("_file")
+    rows = read_group(spark, group).drop(SOURCE)
     kinds = profile.majority_types(as_text(rows))
     names = spark.createDataFrame([(i, n) for i, n in enumerate(rows.columns)], "position int, column string")
     typed = names.join(kinds, "column", "left").withColumns({"type": F.coalesce("type", F.lit("unknown")), "n": F.coalesce("n", F.lit(0)), "votes": F.coalesce("votes", F.lit(0))})

@@ -113,6 +113,19 @@ def test_decoding():
     assert list(decode.lines((text[i : i + 1] for i in range(len(text))), "utf-16")) == ["ä€"]
 
 
+def test_clashing_names_and_unreadable_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,ID,a,a,a.1,_file,_bad\n1,2,3,4,5,6,7\n2,2,3,4,5,6,7\n")
+    (tmp_path / "b.json").write_text('{"_file": "x", "_format": 1}\n{"_file": "y", "_format": 2}\n')
+    (tmp_path / "c.json").write_text("[1, 2, 3]")
+    (tmp_path / "d.xlsx").write_bytes(b"PK\x03\x04" + bytes(100))
+    rows, problems = detect.read_report(spark, str(tmp_path))
+    by = {r["_file"].rsplit("/", 1)[1] + str(k): r for k, r in enumerate(sorted(rows.collect(), key=lambda r: (r["_file"], r["id"] or "", r["_file.1"] or "")))}
+    first = by["a.csv0"]
+    assert [first[c] for c in ("id", "ID.1", "a", "a.1", "a.1.4", "_file.1", "_bad.1")] == ["1", "2", "3", "4", "5", "6", "7"]
+    assert (by["b.json2"]["_file.1"], by["b.json2"]["_format.1"], by["b.json2"]["_format"]) == ("x", "1", "json") and len(by) == 4
+    assert sorted((r["path"].rsplit("/", 1)[1], r["format"]) for r in problems.collect()) == [("c.json", "json"), ("d.xlsx", "excel")]
+
+
 def test_broken_compression(spark, tmp_path):
     whole = gzip.compress(table().encode())
     (tmp_path / "x.dat").write_bytes(whole[: len(whole) // 2])
