@@ -83,7 +83,8 @@ def stream_collect(spark, d):
     """Two-phase collection over four micro-batches; ends where the batch collector ends."""
     messages = _messages(spark, d)
     stream = jobs.staged(messages, F.pmod(F.xxhash64("request_id", "model_type"), F.lit(4)), 4, "messages")
-    reached = jobs.final_states(jobs.rows(jobs.collect(stream, delay="400 days"), "collect"))
+    span = messages.agg(F.max("at_ms") - F.min("at_ms")).first()[0] or 0  # any message may come in any micro-batch
+    reached = jobs.final_states(jobs.rows(jobs.collect(stream, delay=f"{span} milliseconds"), "collect"))
     asked = dq.contexts(spark, d).select("request_id")
     return asked.join(reached, "request_id", "left").select("request_id", F.coalesce("state", F.lit("waiting")).alias("state"))
 

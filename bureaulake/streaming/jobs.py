@@ -8,6 +8,7 @@ does no harm.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -195,11 +196,32 @@ def next_step(models: str, selective: bool, label: str | None, flags: dict[str,
     return "decide" if held or PHASE_2 <= flags.keys() else "trigger_phase_2"
 
 
+#: One request between micro-batches: whether its context has come, the newest flag of each model, how far it has got, when it ends.
+REQUEST = ("request_id string, asked boolean, models string, selective boolean, label string, flags map<string,string>, "
+           "triggered boolean, done boolean, at_ms long")
+
+
+@dataclass
+class Request:
+    """Values in the order of :data:`REQUEST`."""
+
+    request_id: str | None
+    asked: bool = False
+    models: str | None = None
+    selective: bool | None = None
+    label: str | None = None
+    flags: dict[str, str | None] = field(default_factory=dict)
+    triggered: bool = False
+    done: bool = False
+    at_ms: int = 0
+
+
 class Collector(StatefulProcessor):
-    """One request: its context, the newest flag of each model that has answered, and how far it has got.
+    """The requests of one group: each has its context, the newest flag of each model that has answered, and how far it has got.
 
-    Each transition is emitted once. A timer per request, moved by every message, ends its state: as a time-out, as results that
-    never had a request, or quietly when it was decided.
+    Each transition is emitted once. A deadline per request, moved by every message, ends its state: as a time-out, as results that
+    never had a request, or quietly when it was decided. State is read and written once per group and micro-batch instead of once per
+    value, and a group's timer is the earliest deadline of its requests.
     """
 
     def __init__(self, timeout_ms: int):
@@ -207,61 +229,76 @@ class Collector(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.context = handle.getValueState("context", "models string, selective boolean, label string")
-        self.flags = handle.getMapState("flags", "model_type string", "flag string")
-        self.reached = handle.getValueState("reached", "triggered boolean, done boolean")
+        self.requests = handle.getListState("requests", REQUEST)
         self.deadline = handle.getValueState("deadline", "at_ms long")
 
+    def _load(self) -> dict[str | None, Request]:
+        found = (Request(*row) for row in self.requests.get())
+        return {r.request_id: r for r in found}
+
+    def _store(self, requests: dict[str | None, Request]) -> None:
+        if requests:
+            self.requests.put([(r.request_id, r.asked, r.models, r.selective, r.label, r.flags, r.triggered, r.done, r.at_ms) for r in requests.values()])
+        else:
+            self.requests.clear()
+        before = self.deadline.get()[0] if self.deadline.exists() else None
+        after = min((r.at_ms for r in requests.values()), default=None)
+        if after == before:
+            return
+        if before is not None:
+            self.handle.deleteTimer(before)
+        if after is None:
+            self.deadline.clear()
+        else:
+            self.deadline.update((after,))
+            self.handle.registerTimer(after)
+
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        latest = None
+        requests, moved, out = self._load(), {}, []
+        columns = ["request_id", "kind", "models", "selective", "label", "model_type", "flag", "at_ms"]
         for frame in rows:
-            newest = int(frame["at_ms"].max())
-            latest = newest if latest is None else max(latest, newest)
-            asked = frame[frame["kind"] == "context"].tail(1)
-            for models, selective, label in asked[["models", "selective", "label"]].itertuples(index=False):
-                self.context.update((models, bool(selective), label))
-            answers = frame[frame["kind"] == "result"].drop_duplicates("model_type", keep="last")  # at most one per model
-            for model, flag in answers[["model_type", "flag"]].itertuples(index=False):
-                self.flags.updateValue((model,), (flag,))
-        triggered, done = self.reached.get() if self.reached.exists() else (False, False)
-        found = None
-        if self.context.exists() and not done:
-            found = next_step(*self.context.get(), {k[0]: v[0] for k, v in self.flags.iterator()})
-            if found == "trigger_phase_2" and triggered:
-                found = None
-        if found:
-            self.reached.update((triggered or found == "trigger_phase_2", found == "decide"))
-        if latest is not None:
-            if self.deadline.exists():
-                latest = max(latest, self.deadline.get()[0] - self.timeout_ms)
-                self.handle.deleteTimer(self.deadline.get()[0])
-            at = max(latest + self.timeout_ms, timerValues.getCurrentWatermarkInMs() + 1)
-            self.deadline.update((at,))
-            self.handle.registerTimer(at)
-        yield pd.DataFrame([(key[0], found, "")] if found else [], columns=["request_id", "state", "missing"])
+            for request_id, kind, models, selective, label, model, flag, at_ms in frame[columns].itertuples(index=False, name=None):
+                request = requests.setdefault(request_id, Request(request_id))
+                moved[request_id] = max(moved.get(request_id, 0), int(at_ms))
+                if kind == "context":
+                    request.asked, request.models, request.selective, request.label = True, models, bool(selective), label
+                elif kind == "result":
+                    request.flags[model] = flag
+        for request_id, latest in moved.items():
+            request = requests[request_id]
+            found = next_step(request.models, request.selective, request.label, request.flags) if request.asked and not request.done else None
+            if found and not (found == "trigger_phase_2" and request.triggered):
+                request.triggered, request.done = request.triggered or found == "trigger_phase_2", found == "decide"
+                out.append((request_id, found, ""))
+            request.at_ms = max(latest + self.timeout_ms, request.at_ms, timerValues.getCurrentWatermarkInMs() + 1)
+        self._store(requests)
+        yield pd.DataFrame(out, columns=["request_id", "state", "missing"])
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = []
-        if not self.context.exists():  # results after their request had timed out, or without a request
-            out.append((key[0], "orphan_results", ""))
-        elif not (self.reached.exists() and self.reached.get()[1]):
-            answered = {k[0] for k, _ in self.flags.iterator()}
-            out.append((key[0], "timeout", ",".join(sorted(set(self.context.get()[0].split(",")) - answered))))
-        for state in (self.context, self.flags, self.reached, self.deadline):
-            state.clear()
+        requests, out = self._load(), []
+        until = max(timerValues.getCurrentWatermarkInMs() - 1, expiredTimerInfo.getExpiryTimeInMs())
+        for request in [r for r in requests.values() if r.at_ms <= until]:
+            if not request.asked:  # results after their request had timed out, or without a request
+                out.append((request.request_id, "orphan_results", ""))
+            elif not request.done:
+                out.append((request.request_id, "timeout", ",".join(sorted(set(request.models.split(",")) - request.flags.keys()))))
+            del requests[request.request_id]
+        self._store(requests)
         yield pd.DataFrame(out, columns=["request_id", "state", "missing"])
 
     def close(self) -> None:
         pass
 
 
-def collect(messages: DataFrame, timeout_ms: int = RETENTION_MS, delay: str = "10 minutes") -> DataFrame:
+def collect(messages: DataFrame, timeout_ms: int = RETENTION_MS, delay: str = "10 minutes", groups: int = 512) -> DataFrame:
     """Transitions of requests from context and result messages.
 
     ``delay`` must cover the disorder of the messages: what is later than that is dropped. Columns of ``messages``: request_id, kind, models, selective, label, model_type, flag, ts, at_ms.
+    ``groups`` is the number of key groups that state is kept in; a task holds the open requests of one group at a time.
     """
     ship(messages.sparkSession)  # the processor's class travels by name
-    keyed = messages.withWatermark("ts", delay).groupBy("request_id")
+    group = F.pmod(F.xxhash64("request_id"), F.lit(groups)).cast("int")
+    keyed = messages.withWatermark("ts", delay).withColumn("_group", group).groupBy("_group")
     return keyed.transformWithStateInPandas(Collector(timeout_ms), EVENTS, "append", "EventTime")
 
 
