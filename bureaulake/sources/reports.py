@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureaulake.sources.views import STATUS_RING, bureau_status, has_45, has_49, table
+from bureaulake.sources.views import STATUS_RING, bureau_status, has_45, has_49, spread, table
 
 
 def _rows(count: Column, build) -> Column:
@@ -106,7 +106,8 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                  money((key * 29) % 900).alias("totalMonthlyInstalment")).alias("creditAccountSummary"),
         enquiries(1, key % 4).alias("enquiryHistory"),
     )
-    return table(spark, sf_dir, "customer").select(key.alias("key"), F.struct(
+    customers = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "report-customers")
+    return customers.select(key.alias("key"), F.struct(
         F.when(key % 10 != 9, report_45).alias("consumer_full_report_45"),
         F.when(has_49(key), report_49).alias("consumer_mobile_report_49"),
     ).alias("payload"))

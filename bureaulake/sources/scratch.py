@@ -28,8 +28,11 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """A table stored below the shared folder and read again: what is used several times is worked out once and survives lost executors."""
+def written(df: DataFrame, name: str, rows: int = 0) -> DataFrame:
+    """A table stored below the shared folder and read again: what is used several times is worked out once and survives lost executors.
+
+    ``rows`` bounds the rows of a file (0: no bound), so that many tasks share the reading of a table of few bytes.
+    """
     path = folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

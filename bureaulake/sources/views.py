@@ -10,12 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bureaulake.functions.bins import case
+from bureaulake.sources import scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, name: str) -> DataFrame:
+    """Rows of a table in files of a few thousand each: a table of few bytes is read by one task, however much work each row brings.
+
+    Dealing them out by a shuffle would not do: filters on what is made of a row move below it.
+    """
+    return scratch.written(df, name, rows=5_000)
+
+
 def has_45(key: Column) -> Column:
     return (key % 10) <= 6
 

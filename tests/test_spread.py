@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from bureaulake.queries import decision_queries, streaming_queries
+from bureaulake.queries import decision_queries, profile_queries, streaming_queries
+from bureaulake.queries import model_queries
+from bureaulake.sources import reports
 
 
 @pytest.fixture
@@ -20,6 +22,18 @@ def customers(spark, tmp_path):
     return make
 
 
+def test_work_on_one_small_file_is_shared(spark, customers):
+    d = customers(range(1, 12_001))
+    made = reports.lines(spark, d).filter("line like '%request_id%'")  # a filter that needs the whole line
+    assert made.rdd.getNumPartitions() > 1 and reports.lines(spark, d).count() == 12_000
+    assert profile_queries.upload(spark, d).rdd.getNumPartitions() > 1
+
+
+def test_learners_read_many_files(spark):
+    stored = model_queries._stored(spark.range(0, 50_000, 1, 1), "rows")
+    assert len(stored.inputFiles()) == 3 and stored.count() == 50_000
+
+
 def test_requests_of_many_years_are_collected(spark, customers):
     """Keys are minutes: messages of the first request may come after those of the last, years later."""
     d = customers([*range(1, 40), *range(3_000_000, 3_000_040)])
