@@ -10,7 +10,7 @@ from bureaulake.functions.bins import case
 from bureaulake.operators import privacy, profile, ranking
 from bureaulake.queries.ctes import sql
 from bureaulake.sources import detect, files, scratch, views
-from bureaulake.sources.views import table
+from bureaulake.sources.views import spread, table
 
 QUERIES, ORACLE = {}, {}
 
@@ -28,7 +28,8 @@ def upload(spark, d):
     """An uploaded customer file with gaps, money text and dates in two layouts."""
     key = F.col("c_custkey")
     signup = F.date_add(F.lit("2019-01-01").cast("date"), (key * 17 % 1500).cast("int"))
-    return table(spark, d, "customer").select(
+    columns = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_nationkey"]
+    return spread(table(spark, d, "customer").select(*columns), "upload-customers").select(
         key.alias("customer_id"), F.when(key % 9 != 0, F.col("c_name")).alias("full_name"),
         F.when(key % 10 != 0, F.concat(F.lit("user"), key, F.lit("@example.com"))).alias("email"),
         F.concat(F.lit("0244"), F.lpad((key % 1000000).cast("string"), 6, "0")).alias("phone_number"),
