@@ -47,16 +47,20 @@ def _within(column, low, high):
 _EVERY = "SELECT request_id, true AS possible, true AS labelled FROM income"
 
 
+#: Rows of a stored file: learners pass over these tables many times, in no more tasks than there are files.
+_FILE_ROWS = 20_000
+
+
 def training_table(spark, d):
     """Training rows written once; every pass of a learner reads this table instead of the raw bureau data."""
     path = scratch.folder(spark, "training")
-    training_rows(spark, d).select("request_id", *catalog.FEATURES, "default_flag", "max_successful_loan_ghs", "income_tier").write.parquet(path)
+    training_rows(spark, d).select("request_id", *catalog.FEATURES, "default_flag", "max_successful_loan_ghs", "income_tier").write.option("maxRecordsPerFile", _FILE_ROWS).parquet(path)
     return spark.read.parquet(path)
 
 
 def _stored(df, name):
     path = scratch.folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", _FILE_ROWS).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
