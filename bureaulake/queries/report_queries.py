@@ -9,6 +9,7 @@ from bureaulake.functions import parse
 from bureaulake.operators import batches, features, reports
 from bureaulake.queries.ctes import FEATURE_NAMES, sql
 from bureaulake.sources import reports as source
+from bureaulake.sources import scratch
 from bureaulake.sources.views import table
 
 QUERIES, ORACLE = {}, {}
@@ -142,12 +143,18 @@ def unflatten_report(spark, d):
         parse.number_or_null(mobile["creditAccountSummary"]["highestAmountTaken"]).alias("highest_amount"))
 
 
+def _flat(spark, d, names):
+    """Some columns of the flat rows, stored: conditions that name a column often would find its latest element each time anew."""
+    flat = reports.flatten(_normal(spark, d), "payload")
+    return scratch.written(flat.select("key", *[reports.quoted(n) for n in names]), "flat-rows")
+
+
 @query("contract_flat_rows", sql("""SELECT coalesce(error, 'ok') AS outcome, count(*) AS n FROM (
   SELECT CASE WHEN hit AND k % 4 = 0 THEN 'missing: ' || concat_ws(',', 'consumer_full_report_45.creditAgreementSummary.accountStatusCode',
       'consumer_full_report_45.creditAgreementSummary.monthsInArrears', 'consumer_full_report_45.creditAgreementSummary.openingBalanceAmt')
     WHEN NOT hit AND NOT mobile THEN 'no product 45 and no product 49' END AS error FROM keys) GROUP BY 1""", **_CTE))
 def contract_flat_rows(spark, d):
-    flat = reports.flatten(_normal(spark, d), "payload")
+    flat = _flat(spark, d, [*reports.REQUIRED_FLAT, "consumer_mobile_report_49.response.statusCode"])
     errors = reports.flat_contract_errors(flat)
     return flat.groupBy(F.coalesce(errors, F.lit("ok")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -157,8 +164,7 @@ def contract_flat_rows(spark, d):
                              latest=_LATEST, **_CTE))
 def restore_required(spark, d):
     """Masking blanks two agreement fields on odd keys; full-report rows get them back."""
-    flat = reports.flatten(_normal(spark, d), "payload").filter(
-        reports.quoted("consumer_full_report_45.creditAgreementSummary.accountStatusCode").isNotNull())
+    flat = _flat(spark, d, reports.REQUIRED_FLAT).filter(reports.quoted(reports.REQUIRED_FLAT[1]).isNotNull())
     code, arrears = reports.REQUIRED_FLAT[1], reports.REQUIRED_FLAT[2]
     odd = F.col("key") % 2 == 1
     both = flat.select("key", *[reports.quoted(n).alias(f"original:{n}") for n in reports.REQUIRED_FLAT],

@@ -5,8 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from bureaulake.queries import decision_queries, profile_queries, streaming_queries
-from bureaulake.queries import model_queries
+from bureaulake.queries import decision_queries, model_queries, profile_queries, report_queries, streaming_queries
 from bureaulake.sources import reports
 
 
@@ -40,3 +39,10 @@ def test_requests_of_many_years_are_collected(spark, customers):
     found = {tuple(r) for r in streaming_queries.stream_collect(spark, d).collect()}
     batch = decision_queries.collect_predictions(spark, d).select("request_id", "state")
     assert found == {tuple(r) for r in batch.collect()} and len(found) == 79
+
+
+def test_flat_columns_are_found_once(spark, customers):
+    """Conditions read stored columns; nothing of the report is parsed again for them."""
+    kept = report_queries.restore_required(spark, customers(range(1, 13)))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "jsontostructs" not in plan.lower() and kept.count() > 0
