@@ -11,6 +11,7 @@ Null and empty texts have the end id alone. Repeated ids and rows are kept, besi
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -32,45 +33,86 @@ CHECKPOINT = 64
 #: Longest code in bits; more only if there are more ids than that tells apart.
 LIMIT = 16
 #: Distinct pre-tokens a worker remembers before it starts anew, words encoded in one go, and bytes of text handled at once.
-REMEMBER, AT_ONCE, TEXT = 400_000, 1000, 4 << 20
+REMEMBER, AT_ONCE, TEXT = 1_500_000, 1000, 4 << 20
 FILE = "part int, block long, n long, bits binary, checkpoints binary, documents binary"
 
 
 # ---- ids
 
 
+class Met:
+    """Ids of the pre-tokens a worker has met: sorted hashes, and where each one's ids begin and how many they are."""
+
+    def __init__(self) -> None:
+        self.keys, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each key, or where it belongs; whether it is there)."""
+        order = np.argsort(keys)
+        at = np.empty(len(keys), np.int64)
+        at[order] = np.searchsorted(self.keys, keys[order])
+        there = at < len(self.keys)
+        there[there] = self.keys[at[there]] == keys[there]
+        return at, there
+
+    def add(self, keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Takes in keys that are not there, each with so many of the ids."""
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        starts = self.used + np.cumsum(sizes, dtype=np.int64) - sizes
+        self.used += len(ids)
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys, self.starts = np.insert(self.keys, at, keys[order]), np.insert(self.starts, at, starts[order])
+        self.sizes = np.insert(self.sizes, at, sizes[order])
+
+
 @cache
-def tokenizer(path: str) -> tuple[Tokenizer, np.ndarray, dict[int, bytes]]:
-    """The tokenizer, which of its tokens begin with a blank, and the pre-tokens this worker has met by hash."""
+def tokenizer(path: str) -> tuple[Tokenizer, np.ndarray, list[Met]]:
+    """The tokenizer, which of its tokens begin with a blank, and the pre-tokens this worker has met."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks have the cores
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
     blank = np.zeros(t.get_vocab_size(), bool)
     for token, i in t.get_vocab().items():
         blank[i] = token.startswith("Ġ")
-    return t, blank, {}
-
-
-def _learn(path: str, keys: list[int], words: list[bytes]) -> None:
-    """Encodes distinct pre-tokens. Those of a blank and something else are strung together: each begins a pre-token anywhere."""
-    t, blank, known = tokenizer(path)
-    strung = [k for k, w in enumerate(words) if len(w) > 1 and w[0] == 32 and w[1] != 32 and not w.isspace() and w.count(b" ") == 1 and w[1:2].strip()]
-    left = set(range(len(words)))
-    runs = [strung[i : i + AT_ONCE] for i in range(0, len(strung), AT_ONCE)]
-    for run, found in zip(runs, t.encode_batch_fast([b"".join([words[k] for k in r]).decode() for r in runs], add_special_tokens=False), strict=True):
-        ids = np.array(found.ids, np.uint32)
-        at = np.append(np.flatnonzero(blank[ids]), len(ids))
-        if len(at) == len(run) + 1:
-            for k, a, b in zip(run, at[:-1].tolist(), at[1:].tolist(), strict=True):
-                known[keys[k]] = ids[a:b].tobytes()
-            left.difference_update(run)
-    alone = sorted(left)
-    for k, found in zip(alone, t.encode_batch_fast([words[k].decode() for k in alone], add_special_tokens=False), strict=True):
-        known[keys[k]] = np.array(found.ids, np.uint32).tobytes()
+    return t, blank, [Met()]
+
+
+def _learn(path: str, keys: np.ndarray, text: np.ndarray, sizes: np.ndarray) -> None:
+    """Encodes distinct pre-tokens, given one after the other. Those of a blank and something else are strung together: each begins
+    a pre-token anywhere."""
+    t, blank, (met,) = tokenizer(path)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    blanks = np.concatenate([[0], np.cumsum(text == 32)])
+    strung = (sizes > 1) & (text[starts] == 32) & (blanks[ends] - blanks[starts] == 1)
+    strung[strung] = ~tokens.BLANK[text[starts[strung] + 1]]
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    which = np.flatnonzero(strung)
+    line, line_ends = blocks.slices(text, starts[which], sizes[which]).tobytes(), np.append(0, np.cumsum(sizes[which]))
+    runs = [(i, min(i + AT_ONCE, len(which))) for i in range(0, len(which), AT_ONCE)]
+    for (i, j), coded in zip(runs, t.encode_batch_fast([line[line_ends[i] : line_ends[j]].decode() for i, j in runs], add_special_tokens=False), strict=True):
+        ids = np.array(coded.ids, np.uint32)
+        at = np.flatnonzero(blank[ids])
+        if len(at) == j - i and at[0] == 0:
+            found.append((keys[which[i:j]], np.diff(at, append=len(ids)), ids))
+        else:
+            strung[which[i:j]] = False
+    alone = np.flatnonzero(~strung)
+    whole = text.tobytes()
+    coded = t.encode_batch_fast([whole[a:b].decode() for a, b in zip(starts[alone].tolist(), ends[alone].tolist(), strict=True)], add_special_tokens=False)
+    if len(alone):
+        each = [np.array(c.ids, np.uint32) for c in coded]
+        found.append((keys[alone], np.array([len(x) for x in each], np.int64), np.concatenate(each)))
+    met.add(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
 def encode(column: pa.Array | pa.ChunkedArray, path: str, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, ids, offsets) of runs of texts; each text's ids are followed by ``end``."""
-    _, _, known = tokenizer(path)
+    known = tokenizer(path)[2]
     for i, j, data, offsets in tokens.chunks(column, TEXT):
         n, parts = j - i, []
         for a, b, some, where in tokens.chunks(pa.chunked_array([column.slice(i, n)]) if isinstance(column, pa.Array) else column.slice(i, n)):
@@ -79,29 +121,30 @@ def encode(column: pa.Array | pa.ChunkedArray, path: str, end: int) -> Iterator[
         h = np.concatenate([p[4] for p in parts])
         count = np.concatenate([p[3] for p in parts])
         codes, keys = pd.factorize(h)
-        if len(known) > REMEMBER:
-            known.clear()
-        new = np.array([k not in known for k in keys.tolist()], bool)
-        if new.any():
-            first = np.flatnonzero(codes > np.maximum.accumulate(np.append(-1, codes[:-1])))[new]
-            words, begin = [], 0
+        keys = np.asarray(keys, np.uint64)
+        if len(known[0].keys) > REMEMBER:
+            known[0] = Met()
+        place, there = known[0].find(keys)
+        if not there.all():
+            first = np.flatnonzero(codes > np.maximum.accumulate(np.append(-1, codes[:-1])))[~there]
+            sizes, text, begin = [], [], 0
             for some, starts, ends, _, _ in parts:
                 own = first[(first >= begin) & (first < begin + len(starts))] - begin
-                text = some.tobytes()
-                words += [text[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
+                sizes.append(ends[own] - starts[own])
+                text.append(blocks.slices(some, starts[own], sizes[-1]))
                 begin += len(starts)
-            _learn(path, keys[new].tolist(), words)
-        found = [known[k] for k in keys.tolist()]
-        size = np.array([len(f) // 4 for f in found], np.int64)
-        flat = np.frombuffer(b"".join(found), np.uint32)
-        at = np.concatenate([[0], np.cumsum(size)])
-        total = np.concatenate([[0], np.cumsum(size[codes])])[np.concatenate([[0], np.cumsum(count)])] if len(codes) else np.zeros(n + 1, np.int64)
+            _learn(path, keys[~there], np.concatenate(text), np.concatenate(sizes))
+            place, _ = known[0].find(keys)
+        met = known[0]
+        size = met.sizes[place][codes].astype(np.int64)
+        total = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])] if len(codes) else np.zeros(n + 1, np.int64)
         length = np.diff(total)
         ends_at = np.concatenate([[0], np.cumsum(length + 1)])
         ids = np.full(ends_at[-1], end, np.uint32)
         body = np.ones(len(ids), bool)
         body[ends_at[1:] - 1] = False
-        ids[body] = blocks.take(flat, at, codes) if len(codes) else flat
+        if len(codes):
+            ids[body] = blocks.slices(met.ids, met.starts[place][codes], size)
         yield i, j, ids, ends_at
 
 

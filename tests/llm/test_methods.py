@@ -323,6 +323,24 @@ def test_encoding_like_the_library(texts):
     assert found == [library.encode(t or "", add_special_tokens=False).ids + [2] for t in some]
 
 
+@pytest.mark.parametrize(("remember", "at_once"), [(0, 1), (5, 3), (10_000, 1000)])
+def test_met_pre_tokens_keep_their_ids(texts, monkeypatch, remember, at_once):
+    """However often the memory starts anew and however words are strung together: the library's ids, and each word is encoded once."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, _, held = huffman.tokenizer(path)
+    monkeypatch.setattr(huffman, "REMEMBER", remember)
+    monkeypatch.setattr(huffman, "AT_ONCE", at_once)
+    monkeypatch.setattr(huffman, "TEXT", 200)
+    held[0] = huffman.Met()
+    some = [*texts, " \u00a0 x\u00a0 y  z", " a b  c\n d", "", None] * 2
+    found = []
+    for _, _, ids, offsets in huffman.encode(pa.array(some), path, 2):
+        found += [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)]
+    assert found == [library.encode(t or "", add_special_tokens=False).ids + [2] for t in some]
+    met = held[0]
+    assert (np.diff(met.keys.astype(object)) > 0).all() and met.used == met.sizes.sum()
+
+
 def test_codes_bound_the_cosine():
     rng = np.random.default_rng(8)
     x = rng.standard_normal((400, 64))
