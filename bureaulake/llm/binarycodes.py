@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bureaulake.llm.common import components, prepare, runs, stored
+from bureaulake.llm.common import components, prepare, roots, runs, stored
 
 #: Probability that a pair just at the threshold shares no table, and standard errors that an estimate may be off.
 MISS, SLACK = 0.003, 5.0
@@ -87,20 +87,6 @@ def _codes(dtype: type, bits: int, tables: int) -> Callable[[Iterator[pa.RecordB
     return run
 
 
-def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest of 0..n-1 that each one is connected with."""
-    label = np.arange(n)
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def _links(rows: dict[str, list], table: int, pair: tuple[int, int] | None, dtype: type, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Links found in one tile, as two arrays of places: those of pairs that agree on no earlier table."""
     x = np.stack([np.frombuffer(v, dtype) for v in rows["vector"]]).astype(np.float64)

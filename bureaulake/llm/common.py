@@ -14,6 +14,8 @@ from bureaulake.sources import scratch
 
 #: Bytes of text that Spark hands to a Python worker at once.
 BATCH_BYTES = 16 << 20
+#: Edges of a graph that a task joins up at once.
+EDGES = 1 << 19
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -95,26 +97,68 @@ def runs(batches: Iterator[pa.RecordBatch], key: list[str], columns: list[str])
         yield current, held
 
 
-def components(edges: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest of 0..n-1 that each one is connected with."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
+
+
+def _joined(limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Edges (u, v) to one for each of their nodes, to the smallest node it reaches by them: by ``limit`` edges of a task at a time."""
+
+    def stars(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        edges = pa.Table.from_batches(held)
+        nodes, at = np.unique(np.concatenate([edges.column(c).to_numpy() for c in "uv"]), return_inverse=True)
+        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[roots(len(nodes), at[: len(edges)], at[len(edges) :])])], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size >= limit:
+                yield stars(held)
+                held, size = [], 0
+        if held:
+            yield stars(held)
+
+    return run
+
+
+def components(edges: DataFrame, a: str, b: str, name: str = "components", limit: int = EDGES) -> DataFrame:
     """(node, component): the smallest node reachable, for every node with an edge.
 
-    Alternating large-star and small-star steps. A hub's neighbours are never gathered: each step takes a minimum with
-    partial aggregation and joins it back, where AQE may split a hub. Every round is written to the shared folder.
+    First each task joins up the edges it has, ``limit`` at a time, of which there are as many tasks as there are such portions; if
+    there is one portion, that is all. Else alternating large-star and small-star steps follow until every node has one edge, to a
+    node that has none itself. A hub's neighbours are never gathered: each step takes a minimum with partial aggregation and joins it
+    back, where AQE may split a hub. Every round is written to the shared folder.
     """
-    pairs = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    pairs = stored(pairs, name)
-    before = None
+    pairs = stored(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")), name)
+    n = pairs.count()
+    joined = pairs.coalesce(max(1, -(-n // limit))).mapInArrow(_joined(limit), "u long, v long")
+    if n <= limit:
+        return stored(joined.withColumnsRenamed({"u": "node", "v": "component"}), name)
+    pairs = stored(joined.where("u != v").distinct(), name)
     while True:
-        seen = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
-        if before == (seen["n"], seen["h"]):
+        ends = pairs.select(F.col("u").alias("node"), "v").unionAll(pairs.select("v", F.lit(None).cast("long"))).groupBy("node").agg(
+            F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("ends"), F.count("v").alias("up"))
+        if ends.where((F.col("low") != F.col("high")) | (F.col("up").between(1, F.col("ends") - 1))).isEmpty():
             break
-        before = (seen["n"], seen["h"])
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = stored(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), name)
-    roots = pairs.select(F.col("v").alias("node")).distinct()
+    tops = pairs.select(F.col("v").alias("node")).distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
-        roots.select("node", F.col("node").alias("component")))
+        tops.select("node", F.col("node").alias("component")))

@@ -237,9 +237,13 @@ def _placed(docs: DataFrame, size: int, threshold: float) -> DataFrame:
     pairs = stored(likely(stars).select("a", "b", "id", "like"), "stars")
     # of a class's stars the likeliest goes first; most others then lie within a component already
     first = stored(pairs.groupBy("id").agg(F.max(F.struct("like", "a", "b")).alias("best")).select("best.a", "best.b").distinct(), "first")
-    links = stored(confirmed(first), "links")
+    roots = components(confirmed(first), "a", "b")
     tested = first
 
+    def grown(roots: DataFrame, links: DataFrame) -> DataFrame:
+        """Components after more links; those there are stand for the links they came from."""
+        return components(roots.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(links), "a", "b")
+
     def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
         own = lambda c: F.coalesce(F.col(f"root_{c}"), F.col(c))
         both = pairs
@@ -247,14 +251,14 @@ def _placed(docs: DataFrame, size: int, threshold: float) -> DataFrame:
             both = both.join(roots.withColumnsRenamed({"node": c, "component": f"root_{c}"}), c, "left")
         return both.withColumns({"root_a": own("a"), "root_b": own("b")}).where("root_a != root_b")
 
-    rest = stored(apart(pairs.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), components(links, "a", "b")).select("a", "b"), "rest")
-    links = stored(links.unionAll(confirmed(rest)), "links")
-    tested = stored(tested.unionAll(rest), "tested")
+    rest = stored(apart(pairs.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), roots).select("a", "b"), "rest")
+    if not rest.isEmpty():
+        roots = grown(roots, confirmed(rest))
+        tested = tested.unionAll(rest)
     tile = ["band", "key", "first", "second"]
     cut = F.ceil(F.col("n") / TILE).cast("int")
     for closest in (CLOSEST, None):
-        roots = components(links, "a", "b").withColumnRenamed("node", "id")
-        placed = shared.join(roots, "id", "left").withColumn("root", F.coalesce("component", "id")).drop("component")
+        placed = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("component", "id")).drop("component")
         mixed = placed.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
         members = placed.join(mixed.select("band", "key"), ["band", "key"], "left_semi").join(heads.select("id", "n_shingles", "bits", "bands"), "id")
         tiled = members.withColumns({"half": F.pmod(F.xxhash64("id"), cut).cast("int"), "other": F.explode(F.sequence(F.lit(0), cut - 1))}).select(
@@ -262,10 +266,9 @@ def _placed(docs: DataFrame, size: int, threshold: float) -> DataFrame:
         new = tiled.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(_apart(least, threshold, closest), "a long, b long").distinct()
         new = stored(new.join(tested, ["a", "b"], "left_anti"), "apart")
         if not new.isEmpty():
-            links = stored(links.unionAll(confirmed(new)), "links")
-            tested = stored(tested.unionAll(new), "tested")
-    roots = components(links, "a", "b").withColumnRenamed("node", "id")
-    found = classes.join(roots, "id", "left").select("set_key", "low", F.coalesce("component", "id").alias("root"))
+            roots = grown(roots, confirmed(new))
+            tested = tested.unionAll(new)
+    found = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("set_key", "low", F.coalesce("component", "id").alias("root"))
     lowest = found.where(F.col("root") <= APART).groupBy("root").agg(F.min("low").alias("lowest"))  # only where doc_ids clash
     found = found.join(lowest, "root", "left").select("set_key", "root", F.coalesce("lowest", "root").alias("component_id"))
     linked = signed.where("set_key is not null").join(found, "set_key")

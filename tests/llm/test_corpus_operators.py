@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import struct
 import zlib
@@ -291,6 +292,30 @@ def test_components(spark):
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in (100, *range(200, 230), 300)}}
 
 
+@pytest.mark.parametrize("limit", [1, 13, 1 << 19])
+def test_components_of_any_portions(spark, limit):
+    """Chains, hubs, rings, repeated edges, nulls and negative ids: the same whether edges are joined up in one portion or in many."""
+    rng = random.Random(3)
+    chain = [(i, i + 1) for i in range(60)]
+    edges = chain + [(100, 200 + i) for i in range(30)] + [(-5, -(1 << 62)), (7, 7), (229, 300), (400, 401), (401, 402), (402, 400), (None, 3), (3, None)] + chain[:9]
+    rng.shuffle(edges)
+    table = spark.createDataFrame([e if rng.random() < 0.5 else e[::-1] for e in edges], "x long, y long").repartition(5)
+    found = components(table, "x", "y", limit=limit).collect()
+    lowest = {**{i: 0 for i in range(61)}, **{i: 100 for i in (100, *range(200, 230), 300)}, -5: -(1 << 62), -(1 << 62): -(1 << 62), **{i: 400 for i in (400, 401, 402)}}
+    assert len(found) == len(lowest) and {r["node"]: r["component"] for r in found} == lowest
+
+
+def test_components_need_few_jobs(spark):
+    """A long chain took a job for every exchange of every round, and each costs the driver memory."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "x long, y long")
+    spark.sparkContext.setJobGroup("chain", "components")
+    try:
+        assert {r["component"] for r in components(edges, "x", "y").collect()} == {0}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain")) <= 8
+
+
 def test_empty_tables(spark, nothing, tmp_path):
     docs, labels = nothing
     ranks = bpe.read_ranks(RANKS)
