@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -74,6 +75,15 @@ def groups_of(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Ite
         yield pa.Table.from_batches(held)
 
 
+def give_back() -> None:
+    """Returns what this worker has freed to the machine. Workers are used again, and would keep the most they ever needed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: list[str], columns: list[str]) -> Iterator[tuple[tuple, dict[str, list]]]:
     """(key, columns as lists) of each run of rows with equal keys, also across batches; the rows are sorted by key."""
     held: dict[str, list] = {}

@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 
 from bureaulake.llm import spans, tokens
 from bureaulake.llm.blocks import gathered, pack, spread, unpack
-from bureaulake.llm.common import groups_of, partitions, prepare, stored
+from bureaulake.llm.common import give_back, groups_of, partitions, prepare, stored
 
 #: Bits of a phrase's number within its partition, and bytes of text counted at once.
 BITS, PIECE = 36, 1 << 20
+#: Rows of counted phrases that a task holds before it adds up equal ones.
+SOME = 400_000
 #: Bytes of text of a run of documents, and of all texts for each partition. Every run has a row for every partition, so both should
 #: grow with the memory of a task where there is much text.
 RUN, PART = 8 << 20, 16 << 20
@@ -158,7 +160,10 @@ def _cut(longest: int, buckets: int, run_bytes: int) -> Callable[[Iterator[pa.Re
                 if len(place):
                     for column, value in zip(rows, (ours, b, int(often.sum()), packed(place & ((1 << BITS) - 1), often)), strict=True):
                         column.append(value)
+            del table, found, texts
             yield from _batches(rows)
+            del rows
+            give_back()
             number += 1
 
     return run
@@ -218,6 +223,7 @@ def _survivors(threshold: int) -> Callable[[pa.Table], pa.Table]:
         summary.merge(held)
         kept = summary.at_least(threshold)
         del summary, held
+        give_back()
         out, runs, buckets = [], [], []
         for ours, bucket, payload in zip(group.column("run").to_pylist(), group.column("bucket").to_pylist(), payloads, strict=True):
             numbers, _ = unpacked(payload.as_py())
@@ -249,13 +255,25 @@ def _exact(longest: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
             else:
                 kept.append(unpacked(payload.as_py())[0] + (bucket << BITS))
         places_kept = np.sort(np.concatenate(kept)) if kept else np.zeros(0, np.int64)
-        found = [Phrases(*unpack(t.as_py())).counts(longest, places_kept, buckets) for t in texts]
-        total = pa.concat_tables(found).group_by(["lang", "size", "phrase"]).aggregate([("f", "sum")])
-        return pa.table([total.column(c) for c in ("lang", "size", "phrase", "f_sum")], names=["lang", "size", "phrase", "f"])
+        del kept
+        total, found, size = None, [], 0  # each run has at least one piece of text
+        for k, text in enumerate(texts, 1):
+            found.append(Phrases(*unpack(text.as_py())).counts(longest, places_kept, buckets))
+            size += len(found[-1])
+            if size > SOME or k == len(texts):  # equal phrases of some pieces become one before there are more
+                total = _added([*([] if total is None else [total]), *found])
+                found, size = [], 0
+        give_back()
+        return total
 
     return run
 
 
+def _added(found: list[pa.Table]) -> pa.Table:
+    total = pa.concat_tables(found).group_by(["lang", "size", "phrase"], use_threads=False).aggregate([("f", "sum")])
+    return pa.table([total.column(c) for c in ("lang", "size", "phrase", "f_sum")], names=["lang", "size", "phrase", "f"])
+
+
 def frequent(docs: DataFrame, threshold: int = 10, longest: int = 3, run_bytes: int = RUN, part_bytes: int = PART) -> DataFrame:
     """lang, size, phrase, f: every phrase of 1 to ``longest`` words that a language has at least ``threshold`` times, and how often.
 

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -75,6 +76,24 @@ def test_phrases(spark, corpus, threshold, longest, top):
     assert sorted(map(tuple, found.collect())) == brute_phrases(rows, threshold, longest, top, 50)
 
 
+def test_counts_are_added_up_as_they_come(monkeypatch):
+    """A run's counted phrases are added up before there are many, whatever the number of its pieces; the sums are the same."""
+    text = b"a b c. a b d " * 30
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    kept = np.unique(np.concatenate([phrases.places(h, 7) for _, _, h in phrases.Phrases(data, offsets, ["en"]).each_size(3)]))
+    pieces = [phrases.pack(data, offsets, ["en" if k % 2 else "de"]) for k in range(12)]
+    kept = np.union1d(kept, np.concatenate([phrases.places(h, 7) for _, _, h in phrases.Phrases(data, offsets, ["de"]).each_size(3)]))
+    rows = [(k >> phrases.BITS, 0, phrases.packed(np.array([k & ((1 << phrases.BITS) - 1)]))) for k in kept.tolist()] + [(0, -1, p) for p in pieces]
+    group = pa.table({"run": pa.array([1] * len(rows)), "bucket": pa.array([r[0] for r in rows], pa.int32()), "mass": pa.array([r[1] for r in rows]),
+                      "payload": pa.array([r[2] for r in rows], pa.binary())})
+    held, added = [], phrases._added
+    monkeypatch.setattr(phrases, "_added", lambda found: held.append(sum(map(len, found))) or added(found))
+    monkeypatch.setattr(phrases, "SOME", 40)
+    total = {(r["lang"], r["size"], r["phrase"]): r["f"] for r in phrases._exact(3, 7)(group).to_pylist()}
+    assert total["en", 2, "a b"] == 6 * 60 and total["de", 3, "a b c"] == 6 * 30 and total["en", 0, ""] == 6 * 180 and total["de", 2, "d a"] == 6 * 29
+    assert len(held) > 1 and max(held) < 12 * len(total) / 2
+
+
 def test_phrases_of_nothing(nothing):
     assert phrases.collocations(nothing[0]).collect() == []
 
