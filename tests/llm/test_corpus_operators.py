@@ -373,7 +373,7 @@ def test_matches_sql(spark, duck, sf_dir, key):
 
 def test_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 def test_texts_that_share_a_doc_id(spark):
